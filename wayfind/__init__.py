@@ -1,0 +1 @@
+"""Planning, cleaning and accounting of web-discovery data as Spark jobs."""
