@@ -68,9 +68,11 @@ def bounded_posts(stream: DataFrame, at: str, lateness: str) -> DataFrame:
 
 
 def windowed(events: DataFrame, at: str, lateness: str, length: str, keys: list[str]) -> DataFrame:
-    """Counters per window and keys; on a table it is the batch form."""
+    """Counters per window and keys; on a table it is the batch form. Times without a zone, which watermarks don't take, are read in the session's and given back without."""
+    bare = dict(events.dtypes)[at] == "timestamp_ntz"
+    events = events.withColumn(at, F.col(at).cast("timestamp")) if bare else events
     late = events.withWatermark(at, lateness) if events.isStreaming else events
-    return late.groupBy(F.window(at, length).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event") == "result").alias("results"), F.sum("duration_ms").alias("duration_ms")).select(F.col("w.start").alias("start"), *keys, "n", "results", "duration_ms")
+    return late.groupBy(F.window(at, length).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event") == "result").alias("results"), F.sum("duration_ms").alias("duration_ms")).select((F.col("w.start").cast("timestamp_ntz") if bare else F.col("w.start")).alias("start"), *keys, "n", "results", "duration_ms")
 
 
 def throttled(events: DataFrame, group: str, every_s: int) -> DataFrame:
