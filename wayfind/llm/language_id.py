@@ -96,8 +96,10 @@ class LanguageModel:
 
     def _score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         buckets, of = _grams(words)
-        total = np.stack([np.bincount(of, self.log_p[buckets, k], len(words)) for k in range(len(self.langs))], axis=1)
         letters, script = _letters(words)
+        if not self.langs:
+            return np.zeros((len(words), 0), np.float32), letters
+        total = np.stack([np.bincount(of, self.log_p[buckets, k], len(words)) for k in range(len(self.langs))], axis=1)
         open_to = self.candidates[script]
         open_to[~open_to.any(axis=1)] = True
         return np.where(open_to, total / len(ORDERS), EXCLUDED).astype(np.float32), letters

@@ -18,8 +18,8 @@ from wayfind.llm.common import materialise, text_or_empty
 MAX_PATTERNS = 100_000
 #: Hash ranges in which documents are ranked, so that a hot source is ranked in parallel.
 SLICES = 1024
-#: Rounds that fill what whole documents left of a quota with smaller ones.
-ROUNDS = 4
+#: Documents that fill what the seeded choice left of a quota.
+FILLERS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -100,25 +100,25 @@ def choose(documents: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     """documents(id, pattern, size) with `taken`: whole documents whose sizes come near wanted(pattern, tokens, flow).
 
     Each document is taken flow div tokens times, and the rest of the flow goes to documents in the
-    order of a seeded hash as long as they fit; further rounds fill the gap with the next documents
-    that are small enough for it. Running sums are taken per slice of the hash range, slices being
+    order of a seeded hash as long as they fit. What is left of it then goes to the largest document
+    that still fits, FILLERS times. Running sums are taken per slice of the hash range, slices being
     summed first, so no task ranks a whole pattern.
     """
     rows = documents.join(F.broadcast(wanted), "pattern").withColumn("whole", F.when(F.col("tokens") > 0, F.floor(F.col("flow") / F.col("tokens"))).otherwise(0))
-    rows = rows.select("id", "pattern", "size", "whole", (F.col("flow") - F.col("whole") * F.col("tokens")).alias("gap"), F.xxhash64(F.lit(seed), "id").alias("h"), F.lit(False).alias("more"))
-    rows = rows.withColumn("slice", F.shiftrightunsigned("h", 64 - SLICES.bit_length() + 1))
-    for _ in range(ROUNDS):
-        fits = (F.col("size") > 0) & ~F.col("more") & (F.col("size") <= F.col("gap"))
-        rows = rows.withColumn("s", F.when(fits, F.col("size")).otherwise(0))
-        sliced = rows.groupBy("pattern", "slice").agg(F.sum("s").alias("in_slice"))
-        before = Window.partitionBy("pattern").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        sliced = sliced.select("pattern", "slice", F.coalesce(F.sum("in_slice").over(before), F.lit(0)).alias("before"))
-        within = Window.partitionBy("pattern", "slice").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        placed = rows.join(sliced, ["pattern", "slice"]).withColumn("end", F.col("before") + F.sum("s").over(within))
-        placed = placed.withColumn("take", (F.col("s") > 0) & (F.col("end") <= F.col("gap")))
-        placed, _ = materialise(placed.select("id", "pattern", "size", "whole", "gap", "h", "slice", (F.col("more") | F.col("take")).alias("more"), F.when(F.col("take"), F.col("size")).otherwise(0).alias("used")), "mix")
-        used = placed.groupBy("pattern").agg(F.sum("used").alias("used"))
-        rows = placed.drop("used").join(F.broadcast(used), "pattern").withColumn("gap", F.col("gap") - F.col("used")).drop("used")
+    rows = rows.select("id", "pattern", "size", "whole", (F.col("flow") - F.col("whole") * F.col("tokens")).alias("gap"), F.xxhash64(F.lit(seed), "id").alias("h"))
+    rows = rows.withColumn("slice", F.shiftrightunsigned("h", 64 - SLICES.bit_length() + 1)).withColumn("s", F.when(F.col("size") <= F.col("gap"), F.col("size")).otherwise(0))
+    before = Window.partitionBy("pattern").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sliced = rows.groupBy("pattern", "slice").agg(F.sum("s").alias("in_slice")).select("pattern", "slice", F.coalesce(F.sum("in_slice").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy("pattern", "slice").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.col("before") + F.sum("s").over(within)
+    rows = rows.join(sliced, ["pattern", "slice"]).withColumn("more", (F.col("s") > 0) & (end <= F.col("gap")))
+    rows, _ = materialise(rows.select("id", "pattern", "size", "whole", "gap", "h", "more"), "mix")
+    used = rows.groupBy("pattern").agg(F.sum(F.when(F.col("more"), F.col("size")).otherwise(0)).alias("used"))
+    rows = rows.join(F.broadcast(used), "pattern").withColumn("gap", F.col("gap") - F.col("used")).drop("used")
+    for _ in range(FILLERS):
+        best = rows.filter("id is not null and size > 0 and not more and size <= gap").groupBy("pattern").agg(F.max(F.struct("size", "h", "id")).alias("best"))
+        rows = rows.join(F.broadcast(best), "pattern", "left").withColumn("more", F.col("more") | F.coalesce((F.col("h") == F.col("best.h")) & (F.col("id") == F.col("best.id")), F.lit(False)))
+        rows, _ = materialise(rows.withColumn("gap", F.col("gap") - F.coalesce("best.size", F.lit(0))).drop("best"), "mix")
     return rows.select("id", "pattern", "size", ((F.col("whole") + F.col("more").cast("long")) * F.col("size")).alias("taken"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from wayfind.llm.common import materialise, text_or_empty
 
 UNITS = {
-    "sentence": re.compile(r"[^\n]+?(?:[.!?](?=\s)|(?=\n)|\Z)"),
+    "sentence": re.compile(r"\S[^\n]*?(?:[.!?](?=\s)|(?=\n)|\Z)"),
     "line": re.compile(r"[^\n]+"),
     "paragraph": re.compile(r"(?:[^\n]|\n(?!\s*\n))+"),
 }
