@@ -92,7 +92,7 @@ def test_pipeline_stages(spark):
     told = corpus_pipeline.language(spark, docs, SF)
     assert told.columns == docs.columns and set(ids(docs)) - set(ids(told)) == {10_001, 10_002, 10_003}
     model = language_id.train(docs.filter(id_crc() % 5 != 0), order_by=F.col("doc_id"))
-    assert language_id.predict(told, model).filter("score < 0.5").count() == 0
+    assert language_id.predict(told, model).filter(F.col("score") < corpus_pipeline.LEAST_SHARE).count() == 0
     once = corpus_pipeline.exact(spark, told, SF)
     assert ids(once) == sorted({r["keep_id"] for r in exact_dedup.exact_dedup(told).collect()})
     alone = corpus_pipeline.near(spark, once, SF)
