@@ -39,8 +39,8 @@ def counters(events: DataFrame, keys: list[str]) -> DataFrame:
     out = events.groupBy(*keys).agg(
         n(F.col("event") == "offered").alias("offered"), n(F.col("event") == "attempt").alias("attempted"), n(solved).alias("solved"), n(result & (F.col("class") != "solved") & ~F.col("at_capture")).alias("failed"), n(captured).alias("capture_failed"),
         n(F.col("event") == "paid").alias("paid"), n(F.col("event") == "hard_block").alias("hard_blocks"),
-        F.expr("percentile_disc(0.5) within group (order by case when event = 'result' and not at_capture and duration_ms >= 0 then duration_ms end)").alias("p50"),
-        F.expr("percentile_disc(0.95) within group (order by case when event = 'result' and not at_capture and duration_ms >= 0 then duration_ms end)").alias("p95"),
+        F.expr("percentile_disc(0.5) within group (order by case when event = 'result' and not at_capture and duration_ms >= 0 then duration_ms end)").cast("long").alias("p50"),
+        F.expr("percentile_disc(0.95) within group (order by case when event = 'result' and not at_capture and duration_ms >= 0 then duration_ms end)").cast("long").alias("p95"),
         F.count(timed).alias("timed"), F.countDistinct(F.when(F.col("event") == "offered", label)).alias("offered_labels"), F.countDistinct(label).alias("labels"),
     )
     return out.withColumn("solve_rate", F.round(F.try_divide(F.col("solved").cast("double"), F.col("offered")), 6))
