@@ -9,9 +9,6 @@ from wayfind.operators import accounting, ledger, triggers
 from wayfind.plans.registry import query
 from wayfind.sources import catalogs, tables
 
-NOW = F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _stats(t):
     return t("v_page").select("item", "page", "tier", "w", "status", "raw", "requests", F.col("requests").alias("credit"), (F.col("raw") * 2).alias("eligible"), F.col("raw").alias("inserted"), F.col("raw").alias("duplicate"), "key_no")
 
@@ -190,7 +187,7 @@ def _(t):
 
 @query("cooldown", "with u as (select label, arg_max(status, event_id) as outcome, max(ts) as ts from (select *, row_number() over (partition by label order by ts desc) as k from v_ledger) where k = 1 group by 1) select label, outcome, cast(floor(epoch(ts)) as bigint) + case outcome when 'timeout' then 600 when 'proxy_blocked' then 3600 else 0 end as blocked_until from u")
 def _(t):
-    return ledger.cooldown(t("v_ledger").withColumn("outcome", F.col("status")), NOW, {"timeout": 600, "proxy_blocked": 3600}).select("label", "outcome", "blocked_until")
+    return ledger.cooldown(t("v_ledger").withColumn("outcome", F.col("status")), F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"), {"timeout": 600, "proxy_blocked": 3600}).select("label", "outcome", "blocked_until")
 
 
 @query("daily_use", "select label, ts::date as day, count(*) as uses from v_ledger group by 1, 2")

@@ -10,7 +10,11 @@ from wayfind.operators.results import first_per_run
 from wayfind.plans.registry import query
 from wayfind.sources import tables
 
-TODAY = F.lit("2026-08-18").cast("date")
+
+def today():
+    return F.lit("2026-08-18").cast("date")
+
+
 _ALIAS = "case lower(trim(s)) " + " ".join(f"when '{k}' then '{v}'" for k, v in text.SITE_ALIASES.items()) + " else lower(trim(s)) end"
 _SITE = "case {0} % 4 when 0 then 'facebook.com' when 1 then 'instagram.com' when 2 then 'tiktok.com' else 'x.com' end"
 _EXTRA = "case site when 'facebook.com' then ' -inurl:photo -inurl:photos' when 'instagram.com' then ' -inurl:explore -inurl:stories -inurl:accounts' when 'tiktok.com' then ' -inurl:tag -inurl:discover -inurl:search -site:shop.tiktok.com' else '' end"
@@ -159,7 +163,7 @@ def _(t):
 
 @query("due_chunks", f"""with c as ({_CHUNKS}), d as (select *, {_HASHED} as h from c join v_cadence using (cadence)) select key, {_HASH} as hash, date '2026-08-18' - window_days as date_from, date '2026-08-18' as date_to from d where (date '2026-08-18' - date '1970-01-01' - {_HASH} % cadence_days) % cadence_days = 0""")
 def _(t):
-    return plan.due_chunks(plan.chunk_places(t("v_place"), 3), t("v_cadence"), TODAY).select("key", dates.stable_hash(F.col("key")).alias("hash"), "date_from", "date_to")
+    return plan.due_chunks(plan.chunk_places(t("v_place"), 3), t("v_cadence"), today()).select("key", dates.stable_hash(F.col("key")).alias("hash"), "date_from", "date_to")
 
 
 @query("page_cap", """select item, page, greatest(1, least(coalesce(case when raw % 3 = 0 then raw end, case tier when 'A' then 10 when 'B' then 3 else 1 end), page, 5)) as cap, case when raw % 4 = 0 then 0 when raw % 4 = 1 then 1 when raw % 4 = 2 then 0 else page end as split from v_page""")
@@ -255,7 +259,7 @@ def _(t):
 @query("coverage", f"with c as ({_CHUNKS}), d as (select c.*, {_HASHED} as h, cadence_days from c join v_cadence using (cadence)) select cadence, cast(sum(len(names)) as bigint) as places, cast(sum(case when (date '2026-08-18' - date '1970-01-01' - {_HASH} % cadence_days) % cadence_days = 0 then len(names) else 0 end) as bigint) as due from d group by 1")
 def _(t):
     joined = plan.chunk_places(t("v_place"), 3).join(F.broadcast(t("v_cadence")), "cadence")
-    return joined.groupBy("cadence").agg(F.sum(F.size("names")).alias("places"), F.sum(F.when(dates.is_due(F.col("key"), F.col("cadence_days"), TODAY), F.size("names")).otherwise(0)).alias("due"))
+    return joined.groupBy("cadence").agg(F.sum(F.size("names")).alias("places"), F.sum(F.when(dates.is_due(F.col("key"), F.col("cadence_days"), today()), F.size("names")).otherwise(0)).alias("due"))
 
 
 @query("quality_checks", """select 'tier' as rule, tier as key, count(*) as n from v_province group by 2 union all select 'duplicate', concat(province, '|', cadence), count(*) from v_place group by 2 having count(*) > 1 union all select 'orphan', province, count(*) from v_keyword where province not in (select province from v_province) group by 2""")
