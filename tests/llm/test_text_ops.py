@@ -157,14 +157,16 @@ def test_toxicity(spark, docs):
 def test_token_output(spark, docs, tmp_path):
     path = P.path("word_bpe_49k.json")
     token_output.write_dataset(docs, f"file://{tmp_path}/d", path, 1)
-    read = token_output.read_dataset(spark, f"file://{tmp_path}/d")
+    ids = token_output.read_dataset(spark, f"file://{tmp_path}/d")
+    read = token_output.read_digests(spark, f"file://{tmp_path}/d")
+    assert {(r["start"], zlib.crc32(r["ids"])) for r in ids.collect()} == {(r["start"], r["ids_crc32"]) for r in read.collect()}
     tok, at = Tokenizer.from_file(path), 0
     expected = []
     for i, t in sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, np.array([*tok.encode(r[1], add_special_tokens=False).ids, 1], "<u4").tobytes())):
         ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4")
         expected.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
-    got = [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_output.digests(read).orderBy("start").collect()]
+    got = [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in read.orderBy("start").collect()]
     assert got == expected
     token_output.write_dataset(docs.limit(0), f"file://{tmp_path}/e", path, 1)
     assert token_output.read_dataset(spark, f"file://{tmp_path}/e").count() == 0

@@ -50,7 +50,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     token_output.write_dataset(table(spark, sf_dir, "documents"), target, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
-    return token_output.digests(token_output.read_dataset(spark, target))
+    return token_output.read_digests(spark, target)
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,10 @@ its documents followed by the ranks of all their ids; parts and blocks ascend wi
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,25 +24,29 @@ from wayfind.llm import streamvbyte
 from wayfind.llm.common import materialise, text_or_empty
 
 BLOCK_TOKENS = 1 << 20
-#: Bounds the memory of a worker's table of words that it has seen, nothing else.
-CACHE_WORDS = 1_000_000
+#: Bounds the memory of a worker's table of pieces that it has seen, nothing else.
+CACHE_WORDS = 500_000
+#: Documents that are cut into pieces at a time.
+SLICE = 500
 
 
 class WordEncoder:
-    """encode() of the tokenizers library with each distinct word encoded once.
+    """encode() of the tokenizers library with each distinct word or piece of a word encoded once.
 
-    Holds for tokenizers that drop white space and never join what it separates. Words that are not
-    ASCII go through the library one by one. The ASCII ones are cut where the tokenizer's own pattern
-    cuts, lower-cased as it does, and encoded many at a time; the ids that end a piece show where to
-    cut the result.
+    Holds for tokenizers that drop white space and never join what it separates. Texts of printable
+    ASCII, white space and Latin-1 letters, which no normalisation but lower-casing changes, are cut
+    where the tokenizer's own pattern cuts, and other texts at white space first. Pieces are encoded
+    many at a time, the ids that end a piece showing where to cut the result; words of other
+    characters go through the library one by one.
     """
 
-    #: Fixed value: the ASCII part of the pattern in the tokenizer's file.
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+    #: Fixed value: the pattern in the tokenizer's file, for those characters.
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str):
         import json
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would each hold memory of their own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,39 +57,46 @@ class WordEncoder:
         ends = [i for t, i in spec["model"]["vocab"].items() if suffix and t.endswith(suffix)]
         self.last = np.zeros(self.vocab_size, bool)
         self.last[ends] = True
-        self.special_starts = {t["content"][0] for t in spec["added_tokens"]}
-        self.by_pieces = bool(suffix) and self.PIECES.pattern.replace("a-z", r"\p{L}").replace("0-9", r"\p{N}") in (x.replace("[^\\s\\p{L}\\p{N}]", r"[^\s\p{L}\p{N}]") for x in re.findall(r"'s\|.*\+", json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\")))
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        marks = {t["content"][0] for t in spec["added_tokens"]}
+        self.simple = re.compile("[" + "".join(re.escape(chr(c)) for c in (*range(9, 14), *range(32, 127)) if chr(c) not in marks) + "À-ÖØ-öø-ÿ]*").fullmatch if self.by_pieces(spec) else lambda w: None
+        self.seen: dict[str, bytes] = {}
+
+    def by_pieces(self, spec: dict) -> bool:
+        """Whether the tokenizer cuts as PIECES does and marks the ends of pieces."""
+        split = [x["pattern"]["Regex"] for x in spec["pre_tokenizer"].get("pretokenizers", []) if x["type"] == "Split"]
+        return bool(self.last.any()) and split == [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        words = [t.encode().split() for t in texts]  # on ASCII white space only
-        fresh = set().union(*words)
-        if len(self.words) + len(fresh) > CACHE_WORDS:
-            self.words, self.pieces = {}, {}
-        self._learn([w.decode() for w in fresh if w not in self.words])
-        return [b"".join(map(self.words.__getitem__, w)) for w in words]
-
-    def _learn(self, words: list[str]) -> None:
-        simple = [w for w in words if self.by_pieces and w.isascii() and w.isprintable() and self.special_starts.isdisjoint(w)]
-        taken = set(simple)
-        rest = [w for w in words if w not in taken]
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.words[w.encode()] = np.array(e.ids, "<u4").tobytes()
-        cut = [self.PIECES.findall(w.lower()) for w in simple]
-        fresh = [p for p in set().union(*cut) if p not in self.pieces]
-        for at in range(0, len(fresh), 20_000):
-            own = fresh[at : at + 20_000]
+        cut = [self.PIECES.findall(t.lower()) if self.simple(t) else self._words(t) for t in texts]
+        fresh = set().union(*cut)
+        if len(self.seen) + len(fresh) > CACHE_WORDS:
+            self.seen = {}
+        self._learn([p for p in fresh if p not in self.seen])
+        return [b"".join(map(self.seen.__getitem__, c)) for c in cut]
+
+    def _words(self, text: str) -> list[str]:
+        out = []
+        for w in map(bytes.decode, text.encode().split()):  # on ASCII white space only
+            out += self.PIECES.findall(w.lower()) if self.simple(w) else [w]
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        simple = [p for p in pieces if self.simple(p)]
+        rest = [p for p in pieces if not self.simple(p)]
+        for at in range(0, len(rest), 4000):  # the library's results are large
+            own = rest[at : at + 4000]
+            for p, e in zip(own, self.tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True):
+                self.seen[p] = np.array(e.ids, "<u4").tobytes()
+        for at in range(0, len(simple), 10_000):
+            own = simple[at : at + 10_000]
             ids = np.array(self.tokenizer.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(own):
                 raise ValueError("the tokenizer's pieces are not those expected")
             raw, ends = ids.tobytes(), (ends * 4).tolist()
             for p, a, b in zip(own, [0, *ends], ends, strict=False):
-                self.pieces[p] = raw[a:b]
-        for w, c in zip(simple, cut, strict=True):
-            self.words[w.encode()] = b"".join(map(self.pieces.__getitem__, c))
+                self.seen[p] = raw[a:b]
 
 
 @lru_cache(maxsize=2)
@@ -92,30 +104,29 @@ def load(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids: the ids of each whole text and end_id, as little-endian unsigned 32-bit integers in a binary. Null text counts as empty."""
+def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", kind: str = "<u4") -> DataFrame:
+    """doc_id, ids: the ids of each whole text and end_id, as little-endian unsigned integers of a numpy kind in a binary. Null text counts as empty."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end = int(end_id).to_bytes(4, "little")
+        encoder, end = load(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.iloc[at : at + 1000]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "ids": [x + end for x in load(path).encode_batch(part["text"].tolist())]})
+            for at in range(0, len(batch), SLICE):
+                part = batch.iloc[at : at + SLICE]
+                ids = [x + end for x in encoder.encode_batch(part["text"].tolist())]
+                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "ids": ids if kind == "<u4" else [np.frombuffer(x, "<u4").astype(kind).tobytes() for x in ids]})
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInPandas(run, "doc_id bigint, ids binary")
 
 
-def count_ids(encoded: DataFrame) -> DataFrame:
+def count_ids(encoded: DataFrame, kind: str = "<u4") -> DataFrame:
     """(id, n) over all documents; each task sends one row per id at most."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch["ids"]:
-                n = np.bincount(np.frombuffer(ids, "<u4"))
-                if len(n) > len(total):
-                    total, n = n.astype(np.int64), total
-                total[: len(n)] += n
+            n = np.bincount(np.frombuffer(b"".join(batch["ids"]), kind), minlength=len(total))
+            n[: len(total)] += total
+            total = n
         there = np.flatnonzero(total)
         yield pd.DataFrame({"id": there, "n": total[there]})
 
@@ -130,19 +141,21 @@ def write_dataset(docs: DataFrame, target: str, path: str, end_id: int, id_col:
     at most. An empty table gives an empty dataset; columns besides id and text are ignored.
     """
     spark = docs.sparkSession
-    encoded, _ = materialise(encode_documents(docs, path, end_id, id_col, text_col), "ids", "zstd")
-    counts = count_ids(encoded).toPandas().sort_values(["n", "id"], ascending=[False, True])
+    kind = "<u2" if max(end_id + 1, load(path).vocab_size) <= 1 << 16 else "<u4"
+    encoded, _ = materialise(encode_documents(docs, path, end_id, id_col, text_col, kind), "ids", "zstd")
+    counts = count_ids(encoded, kind).toPandas().sort_values(["n", "id"], ascending=[False, True])
     by_rank = counts["id"].to_numpy(np.uint32)
     spark.createDataFrame(pd.DataFrame({"rank": np.arange(len(by_rank)), "id": by_rank.astype(np.int64)}), "rank bigint, id bigint").coalesce(1).write.parquet(f"{target}/ranks")
     ranks = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     ranks[by_rank] = np.arange(len(by_rank))
+    width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, start, held, names, held_tokens = 0, 0, [], [], 0
 
         def flush() -> pd.DataFrame:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            counts = np.fromiter((len(x) // 4 for x in held), np.uint32, len(held))
+            ids = np.frombuffer(b"".join(held), kind)
+            counts = np.fromiter((len(x) // width for x in held), np.uint32, len(held))
             control, data = streamvbyte.encode(np.concatenate([counts, ranks[ids]]))
             return pd.DataFrame({"part": [TaskContext.get().partitionId()], "block": [block], "start": [start], "n_docs": [len(held)], "n_tokens": [len(ids)], "doc_ids": [names], "control": [control], "data": [data]})
 
@@ -150,19 +163,19 @@ def write_dataset(docs: DataFrame, target: str, path: str, end_id: int, id_col:
             for name, ids in zip(batch["doc_id"].astype("Int64"), batch["ids"], strict=True):
                 held.append(ids)
                 names.append(None if name is pd.NA else int(name))
-                held_tokens += len(ids) // 4
+                held_tokens += len(ids) // width
                 if held_tokens >= BLOCK_TOKENS:
                     yield flush()
                     block, start, held, names, held_tokens = block + 1, start + held_tokens, [], [], 0
         if held:
             yield flush()
 
-    ordered = encoded.repartitionByRange("doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    ordered = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInPandas(run, "part bigint, block bigint, start bigint, n_docs bigint, n_tokens bigint, doc_ids array<bigint>, control binary, data binary").write.option("compression", "zstd").parquet(f"{target}/blocks")
 
 
-def read_dataset(spark: SparkSession, target: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), ids (binary as in encode_documents), read from the files alone."""
+def _read(spark: SparkSession, target: str, columns: Callable[[list[bytes]], dict], schema: str) -> DataFrame:
+    """doc_id, start and columns of the ids of each document, by way of the blocks' files alone."""
     blocks = spark.read.parquet(f"{target}/blocks")
     by_rank = spark.read.parquet(f"{target}/ranks").orderBy("rank").toPandas()["id"].to_numpy("<u4")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
@@ -174,17 +187,18 @@ def read_dataset(spark: SparkSession, target: str) -> DataFrame:
                 values = streamvbyte.decode(b.control, b.data, b.n_docs + b.n_tokens)
                 counts = values[: b.n_docs].astype(np.int64)
                 raw, ends = by_rank[values[b.n_docs :]].tobytes(), np.cumsum(counts)
-                yield pd.DataFrame({"doc_id": pd.array(list(b.doc_ids), "Int64"), "start": b.start + ends - counts, "ids": [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]})
+                ids = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+                yield pd.DataFrame({"doc_id": pd.array(list(b.doc_ids), "Int64"), "start": b.start + ends - counts, **columns(ids)})
 
-    placed = blocks.join(parts, "part").select((F.col("start") + F.col("before")).alias("start"), "n_docs", "n_tokens", "doc_ids", "control", "data")
-    return placed.mapInPandas(run, "doc_id bigint, start bigint, ids binary")
+    placed = blocks.join(F.broadcast(parts), "part")  # one row per partition of the writer.select((F.col("start") + F.col("before")).alias("start"), "n_docs", "n_tokens", "doc_ids", "control", "data")
+    return placed.mapInPandas(run, f"doc_id bigint, start bigint, {schema}")
 
 
-def digests(dataset: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of the rows of read_dataset."""
+def read_dataset(spark: SparkSession, target: str) -> DataFrame:
+    """doc_id, start (ids of all documents before it), ids (binary, little-endian unsigned 32-bit integers), read from the files alone."""
+    return _read(spark, target, lambda ids: {"ids": ids}, "ids binary")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "start": batch["start"], "n_tokens": [len(x) // 4 for x in batch["ids"]], "ids_crc32": [zlib.crc32(x) for x in batch["ids"]]})
 
-    return dataset.mapInPandas(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+def read_digests(spark: SparkSession, target: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of what read_dataset reads."""
+    return _read(spark, target, lambda ids: {"n_tokens": [len(x) // 4 for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids]}, "n_tokens bigint, ids_crc32 bigint")
