@@ -172,6 +172,24 @@ def test_token_output(spark, docs, tmp_path):
     assert token_output.read_dataset(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_token_starts_across_parts(spark, tmp_path):
+    path, key = P.path("word_bpe_49k.json"), "spark.sql.adaptive.coalescePartitions.enabled"
+    texts = [" ".join(["word"] * (k % 7)) for k in range(60)]
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        token_output.write_dataset(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), f"file://{tmp_path}/p", path, 1)
+    finally:
+        spark.conf.set(key, before)
+    assert spark.read.parquet(f"{tmp_path}/p/blocks").select("part").distinct().count() > 1
+    tok, at, expected = Tokenizer.from_file(path), 0, []
+    for k, t in enumerate(texts):
+        expected.append((k, at))
+        at += len(tok.encode(t, add_special_tokens=False).ids) + 1
+    for read in (token_output.read_dataset, token_output.read_digests):
+        assert sorted((r["doc_id"], r["start"]) for r in read(spark, f"file://{tmp_path}/p").collect()) == expected
+
+
 def test_streamvbyte():
     rnd = np.random.default_rng(0)
     for n in (0, 1, 3, 4, 5, 1000):

@@ -190,7 +190,8 @@ def _read(spark: SparkSession, target: str, columns: Callable[[list[bytes]], dic
                 ids = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
                 yield pd.DataFrame({"doc_id": pd.array(list(b.doc_ids), "Int64"), "start": b.start + ends - counts, **columns(ids)})
 
-    placed = blocks.join(F.broadcast(parts), "part")  # one row per partition of the writer.select((F.col("start") + F.col("before")).alias("start"), "n_docs", "n_tokens", "doc_ids", "control", "data")
+    joined = blocks.join(F.broadcast(parts), "part")  # one row per partition of the writer
+    placed = joined.select((F.col("start") + F.col("before")).alias("start"), "n_docs", "n_tokens", "doc_ids", "control", "data")
     return placed.mapInPandas(run, f"doc_id bigint, start bigint, {schema}")
 
 
