@@ -224,3 +224,10 @@ def test_substring(spark):
     lines = spark.createDataFrame([(1, "a b c d e\nf"), (2, "f\nA  b c d e")], "doc_id bigint, text string")
     assert [(r["doc_id"], r["start"]) for r in substring_dedup.repeated_spans(lines, unit="line").collect()] == [(2, 2)]
     assert substring_dedup.repeated_spans(docs.limit(0)).count() == 0
+
+
+def test_substring_short_lines(spark):
+    rows = [(1, "Read more\n日本語の文です\nYes. No. Go on. Well then."), (2, "日本語の文です\nOwn text.\n read  MORE"), (3, "Yes. No.  Go on. Well then.\nNo.")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r["doc_id"], rows[r["doc_id"] - 1][1][r["start"] : r["end"]], r["keep_doc_id"], r["keep_start"], r["copies"]) for r in substring_dedup.repeated_spans(docs).collect())
+    assert got == [(2, "read  MORE", 1, 0, 2), (2, "日本語の文です", 1, 10, 2), (3, "Yes. No.  Go on. Well then.", 1, 18, 2)]

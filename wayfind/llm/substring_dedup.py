@@ -1,7 +1,8 @@
 """Substring dedup by hashing units of text: the earliest ranked occurrence of a unit stays, the rest go, offsets kept.
 
 A unit is a line, a paragraph or, by default, a sentence of a line: passages are often pasted into the
-middle of a line, where no hash of a line or paragraph sees them.
+middle of a line, where no hash of a line or paragraph sees them. A line that its own sentences do not
+cover, as some are too short, is a unit as well, so that every repeated line is found.
 """
 
 from __future__ import annotations
@@ -22,29 +23,37 @@ UNITS = {
     "line": re.compile(r"[^\n]+"),
     "paragraph": re.compile(r"(?:[^\n]|\n(?!\s*\n))+"),
 }
+WHOLE = re.compile(r"\S[^\n]*")
 
 
 def units(docs: DataFrame, unit: str = "sentence", min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, start, end, words, d1, d2: each unit of at least min_words words, offsets in code points of the original text.
 
+    With sentences, also each line of any length that has a sentence of fewer words.
     Normalised for the 128-bit digest (d1, d2): letters folded to lower case, runs of white space one space, ends stripped.
     """
     pattern = UNITS[unit]
 
+    def found(text: str) -> Iterator[tuple[re.Match, list[str]]]:
+        for line in WHOLE.finditer(text) if unit == "sentence" else [None]:
+            own = [(m, m.group().lower().split()) for m in (pattern.finditer(text, line.start(), line.end()) if line else pattern.finditer(text))]
+            long = [x for x in own if len(x[1]) >= min_words]
+            yield from long
+            if line and len(long) < len(own):
+                yield line, line.group().lower().split()
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 names, starts, ends, words, digests = [], [], [], [], []
                 for k, text in enumerate(batch["text"].iloc[at : at + 1000], at):
-                    for m in pattern.finditer(text):
-                        own = m.group().lower().split()
-                        if len(own) >= min_words:
-                            names.append(k)
-                            starts.append(m.start())
-                            ends.append(m.end())
-                            words.append(len(own))
-                            digests.append(digest(" ".join(own).encode("utf-8", "surrogatepass")))
+                    for m, own in found(text):
+                        names.append(k)
+                        starts.append(m.start())
+                        ends.append(m.end())
+                        words.append(len(own))
+                        digests.append(digest(" ".join(own).encode("utf-8", "surrogatepass")))
                 both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").iloc[names].array, "start": np.array(starts, np.int32), "end": np.array(ends, np.int32), "words": np.array(words, np.int32), "d1": both[:, 0], "d2": both[:, 1]})
 
@@ -62,6 +71,7 @@ def repeated_spans(docs: DataFrame, unit: str = "sentence", min_words: int = 5,
     found, _ = materialise(units(docs, unit, min_words, id_col, text_col), "units")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start"))
     kept = found.groupBy("d1", "d2").agg(first.alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("d1", "d2", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start"), "copies")
+    kept, _ = materialise(kept, "repeated")  # AQE doesn't split a join that shares its stage with an aggregation
     other = ~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start")))
     return found.join(kept, ["d1", "d2"]).filter(other).select("doc_id", "start", "end", "words", "keep_doc_id", "keep_start", "copies")
 
