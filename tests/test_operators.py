@@ -88,3 +88,23 @@ def test_checkpoint(spark, tmp_path):
     assert rows(tables.read_checkpoint(spark, path, "f", schema), "item", "status") == [("a", "done")]
     with pytest.raises(ValueError):
         tables.read_checkpoint(spark, path, "g", schema)
+
+
+def test_running_credit_of_a_hot_day(spark):
+    given = [(k, "d" if k % 9 else None, None if k % 50 == 0 else k // 3, None if k % 11 == 0 else "k") for k in range(300)]
+    frame = spark.createDataFrame(given, "id int, day string, s int, key string").selectExpr("id", "day", "timestampadd(SECOND, s, timestamp_ntz '2026-01-01 00:00:00') + make_dt_interval(0, 0, 0, id / 1000) as ts", "key")
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        got = accounting.running_credit(frame, 100, 50).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(conf, before)
+    assert len({r["part"] for r in got if r["day"] == "d" and r["key"] == "k"}) > 1
+    named = {(r["id"]): (r["total"], r["key_total"], r["allowed"]) for r in got if r["ts"] is not None}
+    for i, day, s, key in given:
+        if s is not None:
+            upto = [x for x in given if x[1] == day and (x[2] is None or x[0] <= i)]
+            own = sum(x[3] == key for x in upto)
+            assert named[i] == (len(upto), own, len(upto) <= 100 and own <= 50)
+    assert len(got) == len(given)

@@ -40,14 +40,26 @@ def remaining(items: DataFrame, pages: DataFrame) -> DataFrame:
     return state.groupBy("tier").agg(F.count_if(todo).alias("todo"), F.count_if(todo & (F.col("n") == 0)).alias("unstarted"), F.count_if(todo & (F.col("n") == F.col("page_max"))).alias("capped"))
 
 
+def _running(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """rows with the number of rows of the group up to each: counted per second first, so that no task ranks a whole group."""
+    keys = [*group, "__second"]
+    before = Window.partitionBy(*group).orderBy("__second").rowsBetween(Window.unboundedPreceding, -1)  # at most 86,400 rows a day
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.select(*(F.col(c).alias(f"__of_{c}") for c in keys), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = rows.withColumn(name, F.count(F.lit(1)).over(within))
+    joined = ranked.join(counts, [ranked[c].eqNullSafe(counts[f"__of_{c}"]) for c in keys])
+    return joined.withColumn(name, F.col(name) + F.col("__before")).drop("__before", *(f"__of_{c}" for c in keys))
+
+
 def running_credit(requests: DataFrame, limit: int, per_key: int, days: list[str] = ["day"]) -> DataFrame:  # noqa: B006
     """requests(day, ts, key) with totals up to each, and whether it is within both limits.
 
-    Credits are counted per day, the unit that a budget is set for, so days rank in parallel.
+    Credits are counted per day, the unit that a budget is set for, so days rank in parallel, and within a day its seconds.
     """
-    upto = Window.partitionBy(*days).orderBy("ts", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = Window.partitionBy(*days, "key").orderBy("ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = requests.withColumn("total", F.count(F.lit(1)).over(upto)).withColumn("key_total", F.count(F.lit(1)).over(own))
+    second = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+    out = _running(requests.withColumn("__second", second), days, ["ts", "key"], "total")
+    out = _running(out, [*days, "key"], ["ts"], "key_total").drop("__second")
     return out.withColumn("allowed", (F.col("total") <= limit) & (F.col("key_total") <= per_key))
 
 
