@@ -21,7 +21,7 @@ def duck():
 
 def told(frame):
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return "NULL"
         return str(int(v)) if isinstance(v, float) and v == int(v) else str(round(v, 5) if isinstance(v, float) else v).replace(" 00:00:00", "")
 
