@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,24 +41,25 @@ def format_conversations(turns: DataFrame, template: ChatTemplate = ChatTemplate
     Turns are collected and sorted by (turn, role, text); adjacent turns of one role merge into one
     message whose parts keep a mark between them. loss_spans holds (start, chars), from 0 in code
     points, of each text of learn_role. Null role and text count as empty, a null turn sorts first,
-    repeated rows stay repeated turns, rows with a null conv_id form one conversation. Extra columns
-    are ignored. A conversation is one value of the result, so its turns meet in one task; different
-    conversations never do.
+    repeated rows stay repeated turns, rows with a null conv_id form one conversation, an empty table
+    gives no rows. Extra columns are ignored. A conversation is one value of the result, so its turns
+    meet in one task; different conversations never do, and the work grows linearly with its turns.
     """
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
     sorted_turns = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", role.alias("role"), text.alias("text")))).alias("turns"))
-    parts = sorted_turns.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), escape(t["role"], template).alias("name"), escape(t["text"], template).alias("text"))).alias("turns"))
-    empty = F.struct(F.lit(None).cast("string").alias("role"), F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"), F.array().cast("array<struct<start:bigint,chars:bigint>>").alias("spans"))
-
-    def add(acc: Column, t: Column) -> Column:
-        opened = F.concat(F.when(F.size(acc["out"]) == 0, F.lit("")).otherwise(F.lit(template.end)), F.lit(template.start), t["name"], F.lit(template.body))
-        head = F.when(t["role"] == acc["role"], F.lit(template.next)).otherwise(opened)
-        start = acc["at"] + F.char_length(head)
-        span = F.struct(start.alias("start"), F.char_length(t["text"]).cast("long").alias("chars"))
-        return F.struct(t["role"].alias("role"), (start + F.char_length(t["text"])).alias("at"), F.concat(acc["out"], F.array(F.concat(head, t["text"]))).alias("out"), F.when(t["role"] == learn_role, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
-
-    merged = parts.select("conv_id", F.aggregate("turns", empty, add).alias("m"))
-    return merged.select("conv_id", F.concat(F.array_join("m.out", ""), F.lit(template.end)).alias("formatted"), F.col("m.spans").alias("loss_spans"))
+
+    def part(t: Column, i: Column) -> Column:
+        opened = F.concat(F.when(i == 0, F.lit("")).otherwise(F.lit(template.end)), F.lit(template.start), escape(t["role"], template), F.lit(template.body))
+        same = F.coalesce(F.get("turns", i - 1)["role"] == t["role"], F.lit(False))
+        return F.struct(F.when(same, F.lit(template.next)).otherwise(opened).alias("head"), escape(t["text"], template).alias("text"), (t["role"] == learn_role).alias("learn"))
+
+    parts = sorted_turns.select("conv_id", F.posexplode(F.transform("turns", part)).alias("pos", "p"))
+    upto = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chars = F.char_length("p.text").cast("long")
+    placed = parts.select("conv_id", "pos", F.concat("p.head", "p.text").alias("piece"), "p.learn", chars.alias("chars"), (F.sum(F.char_length("p.head") + chars).over(upto) - chars).alias("start"))
+    merged = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("pos", "piece", "learn", "start", "chars"))).alias("m"))
+    spans = F.transform(F.filter("m", lambda x: x["learn"]), lambda x: F.struct(x["start"].alias("start"), x["chars"].alias("chars")))
+    return merged.select("conv_id", F.concat(F.array_join(F.transform("m", lambda x: x["piece"]), ""), F.lit(template.end)).alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
