@@ -1,43 +1,51 @@
-"""What the operators of this subpackage share: white space, scratch tables, connected components."""
+"""What the operators of this subpackage share: white space, ids, connected components."""
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfind.sources.scratch import discard, materialise
+
 #: The six characters that separate words and that comparisons ignore.
 SPACE = " \t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one under /tmp for a single machine."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/checkpoints/{spark.sparkContext.applicationId}"
+def text_or_empty(name: str = "text") -> Column:
+    return F.coalesce(F.col(name), F.lit(""))
 
 
-def materialise(df: DataFrame, tag: str, codec: str = "snappy") -> tuple[DataFrame, str]:
-    """Write df as a table in the shared folder and read it back: cuts lineage and outlives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+def id_crc(name: str = "doc_id") -> Column:
+    """crc32 of an id written as text; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a table of materialise() that nothing will read again."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def with_key(docs: DataFrame) -> DataFrame:
+    """d, a struct of all columns of docs, and key (f, r), which tells rows apart whatever their ids.
 
+    The key is the place of the row in its Parquet file, so a retried task finds the same; a docs
+    that isn't a plain scan of such files is written to the shared folder first.
+    """
+    whole = F.struct(*(docs[c] for c in docs.columns)).alias("d")
+    if "_metadata" not in docs.columns:
+        try:
+            return docs.select(whole, _place())
+        except AnalysisException:  # no plain scan
+            pass
+    written, _ = materialise(docs.select(whole), "rows")
+    return written.select("d", _place())
 
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
 
+def _place() -> Column:
+    return F.struct(F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")).alias("key")
 
-def id_crc(name: str = "doc_id") -> Column:
-    """crc32 of an id written as text; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
+
+def columns_of(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The columns that with_key() packed."""
+    return rows.select(*(F.col("d").getField(c).alias(c) for c in names))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -45,7 +53,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds until the edge set stays as it is; each round is
     two aggregations with map-side combining and two joins against one row per node, which AQE can
-    split when a hub is hot. Self loops, repeated and reversed edges and nulls are ignored; nodes
+    split when a hub is hot. Nodes may be of any type with an order. Self loops, repeated and reversed edges and nulls are ignored; nodes
     that only had those are absent. Only one row of totals per round reaches the driver.
     """
     spark = edges.sparkSession

@@ -12,9 +12,10 @@ from collections import deque
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfind.llm.common import materialise, text_or_empty
+from wayfind.llm.common import columns_of, with_key
+from wayfind.sources.scratch import materialise
 
-#: Patterns and sources must fit the driver: a mixture names its sources, so their number doesn't grow with the documents.
+#: Patterns of several sources that the driver routes, and with them the sources that such patterns touch.
 MAX_PATTERNS = 100_000
 #: Hash ranges in which documents are ranked, so that a hot source is ranked in parallel.
 SLICES = 1024
@@ -26,28 +27,50 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def _numbered(sources: DataFrame) -> DataFrame:
+    """sources with `place`, from 0 in the order of code points, null last: by ranges of the order, of which the counts alone meet in one task."""
+    order = [F.col("source").isNull(), F.col("source")]
+    ranged, _ = materialise(sources.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "sources")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    parts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return ranged.withColumn("within", within).join(parts, "part").withColumn("place", F.col("within") + F.col("before")).drop("part", "within", "before")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """source, source_size, target from (source, source_size), one row per source.
 
     Sources ordered by code point, null last, weigh `weights`, repeating, and share `share` of all
     sizes. A target stops at `cap` times its source's size and the excess is shared anew by weight
-    until none is above: with the sources ordered by size over weight, the first ones are those at
-    their cap. The windows run over one row per source.
+    until none is above. Each round of that is one aggregation, of which two sums reach the driver;
+    sources only ever join those at their cap, so the rounds end.
     """
-    place = F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (place % len(weights) + 1).cast("int"))
-    rows = sizes.select("source", "source_size", weight.alias("w"))
-    everything = Window.partitionBy()
-    upward = Window.orderBy(F.col("source_size") / F.col("w"), F.col("source").isNull(), "source")
-    rows = rows.select("*", (F.sum("source_size").over(everything) * share).alias("pool"), F.sum("w").over(everything).alias("weights"), F.coalesce(F.sum("source_size").over(upward.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("below"), F.coalesce(F.sum("w").over(upward.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("w_below"))
-    level = (F.col("pool") - cap * F.col("below")) / (F.col("weights") - F.col("w_below"))  # per weight, were all before at their cap and none after
-    rows = rows.withColumn("open", level * F.col("w") <= cap * F.col("source_size")).withColumn("level", level)
-    final = F.max(F.when(F.col("open"), F.col("level"))).over(everything)  # of the first open one; later levels count open ones as capped
-    return rows.select("source", "source_size", F.least(F.coalesce(final * F.col("w"), cap * F.col("source_size")), cap * F.col("source_size")).alias("target"))
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    rows, _ = materialise(_numbered(sizes).select("source", "source_size", weight.alias("w")), "weights")
+    level, pool = float("-inf"), None
+    while True:
+        full = F.col("w") * F.lit(level) > cap * F.col("source_size")
+        sums = rows.agg(F.sum("source_size").alias("all"), F.sum(F.when(full, F.col("source_size"))).alias("full"), F.sum(F.when(~full, F.col("w"))).alias("open")).first()
+        pool = share * (sums["all"] or 0) if pool is None else pool
+        if not sums["open"]:
+            break
+        after = (pool - cap * (sums["full"] or 0)) / sums["open"]
+        if after <= level:
+            break
+        level = after
+    return rows.select("source", "source_size", F.least(F.col("w") * F.lit(level), cap * F.col("source_size")).alias("target"))
 
 
 def route(tokens: dict[tuple, int], quotas: dict, max_copies: int) -> dict[tuple, int]:
-    """Tokens that each pattern (a tuple of sources) gives in a minimum-cost maximum flow to the quotas.
+    """Tokens that each pattern gives in the flow of flows()."""
+    given = dict.fromkeys(tokens, 0)
+    for (p, _), n in flows(tokens, quotas, max_copies).items():
+        given[p] += n
+    return given
+
+
+def flows(tokens: dict[tuple, int], quotas: dict, max_copies: int) -> dict[tuple[tuple, object], int]:
+    """Tokens from each pattern (a tuple of sources) to each source in a minimum-cost maximum flow to the quotas.
 
     Successive cheapest paths: copies of the patterns open one after the other, so the k-th copy is
     used only once no path of cheaper copies reaches an open quota. Within one cost, flow is moved
@@ -56,7 +79,11 @@ def route(tokens: dict[tuple, int], quotas: dict, max_copies: int) -> dict[tuple
     given = dict.fromkeys(tokens, 0)
     flow: dict[tuple[tuple, object], int] = {}
     left = dict(quotas)
-    members: dict[object, list[tuple]] = {s: [p for p in tokens if s in p] for s in quotas}
+    members: dict[object, list[tuple]] = {s: [] for s in quotas}
+    for p in tokens:
+        for s in p:
+            if s in members:
+                members[s].append(p)
     for copy in range(1, max_copies + 1):
         for start in sorted(tokens, key=repr):
             while (room := copy * tokens[start] - given[start]) > 0:
@@ -93,74 +120,113 @@ def route(tokens: dict[tuple, int], quotas: dict, max_copies: int) -> dict[tuple
                     flow[arc] = flow.get(arc, 0) + (move if k % 2 == 0 else -move)
                 given[start] += move
                 left[end] -= move
-    return given
+    return {arc: n for arc, n in flow.items() if n}
+
+
+def _running(rows: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
+    """rows(slice, ...) with `upto`, the sum of value up to each row of its group: slices are summed first, so that no task ranks a whole group."""
+    before = Window.partitionBy(group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # at most SLICES rows a group
+    sliced = rows.groupBy(group, "slice").agg(F.sum(value).alias("in_slice")).select(group, "slice", F.coalesce(F.sum("in_slice").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy(group, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("upto", F.sum(value).over(within)).join(sliced, [group, "slice"]).withColumn("upto", F.col("upto") + F.col("before")).drop("before")
 
 
 def choose(documents: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
-    """documents(id, pattern, size) with `taken`: whole documents whose sizes come near wanted(pattern, tokens, flow).
+    """documents(key, id, pattern, size, tie) with `taken`: whole documents whose sizes come near wanted(pattern, tokens, flow).
 
     Each document is taken flow div tokens times, and the rest of the flow goes to documents in the
     order of a seeded hash as long as they fit. What is left of it then goes to the largest document
-    that still fits, FILLERS times. Running sums are taken per slice of the hash range, slices being
-    summed first, so no task ranks a whole pattern.
+    that still fits, FILLERS times. The order is that of (hash of seed and id, id, size, tie, key), so
+    rows that repeat an id are told apart, and those alike in all but key may stand for each other.
     """
-    rows = documents.join(F.broadcast(wanted), "pattern").withColumn("whole", F.when(F.col("tokens") > 0, F.floor(F.col("flow") / F.col("tokens"))).otherwise(0))
-    rows = rows.select("id", "pattern", "size", "whole", (F.col("flow") - F.col("whole") * F.col("tokens")).alias("gap"), F.xxhash64(F.lit(seed), "id").alias("h"))
+    order = ["h", "id", "size", "tie", "key"]
+    rows = documents.join(wanted, "pattern").withColumn("whole", F.when(F.col("tokens") > 0, F.floor(F.col("flow") / F.col("tokens"))).otherwise(0))
+    rows = rows.select("key", "id", "pattern", "size", "tie", "whole", (F.col("flow") - F.col("whole") * F.col("tokens")).alias("gap"), F.xxhash64(F.lit(seed), "id").alias("h"))
     rows = rows.withColumn("slice", F.shiftrightunsigned("h", 64 - SLICES.bit_length() + 1)).withColumn("s", F.when(F.col("size") <= F.col("gap"), F.col("size")).otherwise(0))
-    before = Window.partitionBy("pattern").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    sliced = rows.groupBy("pattern", "slice").agg(F.sum("s").alias("in_slice")).select("pattern", "slice", F.coalesce(F.sum("in_slice").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("pattern", "slice").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.col("before") + F.sum("s").over(within)
-    rows = rows.join(sliced, ["pattern", "slice"]).withColumn("more", (F.col("s") > 0) & (end <= F.col("gap")))
-    rows, _ = materialise(rows.select("id", "pattern", "size", "whole", "gap", "h", "more"), "mix")
+    rows = _running(rows, "pattern", order, "s").withColumn("more", (F.col("s") > 0) & (F.col("upto") <= F.col("gap")))
+    rows, _ = materialise(rows.drop("s", "upto"), "mix")
     used = rows.groupBy("pattern").agg(F.sum(F.when(F.col("more"), F.col("size")).otherwise(0)).alias("used"))
-    rows = rows.join(F.broadcast(used), "pattern").withColumn("gap", F.col("gap") - F.col("used")).drop("used")
+    rows = rows.join(used, "pattern").withColumn("gap", F.col("gap") - F.col("used")).drop("used")
     for _ in range(FILLERS):
-        best = rows.filter("id is not null and size > 0 and not more and size <= gap").groupBy("pattern").agg(F.max(F.struct("size", "h", "id")).alias("best"))
-        rows = rows.join(F.broadcast(best), "pattern", "left").withColumn("more", F.col("more") | F.coalesce((F.col("h") == F.col("best.h")) & (F.col("id") == F.col("best.id")), F.lit(False)))
+        best = rows.filter("size > 0 and not more and size <= gap").groupBy("pattern").agg(F.max(F.struct("size", "h", "id", "tie", "key")).alias("best"))
+        rows = rows.join(best, "pattern", "left").withColumn("more", F.col("more") | F.coalesce(F.col("key") == F.col("best.key"), F.lit(False)))
         rows, _ = materialise(rows.withColumn("gap", F.col("gap") - F.coalesce("best.size", F.lit(0))).drop("best"), "mix")
-    return rows.select("id", "pattern", "size", ((F.col("whole") + F.col("more").cast("long")) * F.col("size")).alias("taken"))
+    return rows.withColumn("taken", (F.col("whole") + F.col("more").cast("long")) * F.col("size"))
 
 
 def mix(documents: DataFrame, quotas: dict, seed: int = 42, max_copies: int = 2) -> DataFrame:
-    """id, size, sources, taken from documents(id, size, sources): tokens that the mixture takes of each document, repeats counted.
+    """id, size, sources, taken, source from documents(id, size, sources): tokens that the mixture takes of each document, repeats counted, and the source they serve.
 
-    quotas maps each source to its tokens. A document of several sources counts for the one its flow
-    goes to. Taken is a multiple of the size, at most max_copies times. Documents without tokens or
-    without a wanted source are taken 0 times. The order of the sources in a row is irrelevant.
+    quotas maps each source to its tokens. Taken is a multiple of the size, at most max_copies times;
+    source is null where nothing is taken. Patterns of one source that no pattern of several touches
+    need no search: they give what they have, up to the quota. The others are routed on the driver,
+    at most MAX_PATTERNS of them, else it is an error. Documents without tokens or without a wanted
+    source are taken 0 times. The order of the sources in a row is irrelevant.
     """
-    documents = documents.select("id", "size", F.sort_array(F.array_distinct("sources")).alias("pattern"))
-    sums = documents.groupBy("pattern").agg(F.sum("size").alias("tokens"))
-    rows = sums.limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} patterns of membership; name fewer sources")
-    tokens = {tuple(r["pattern"]): int(r["tokens"]) for r in rows}
-    flow = route(tokens, {s: int(q) for s, q in quotas.items()}, max_copies)
-    wanted = documents.sparkSession.createDataFrame([(list(p), tokens[p], flow[p]) for p in tokens], "pattern array<string>, tokens bigint, flow bigint")
-    chosen = choose(documents, wanted, seed)
-    return chosen.select("id", "size", F.col("pattern").alias("sources"), "taken")
-
-
-def mix_by_source(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, max_copies: int = 2, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    spark = documents.sparkSession
+    rows = documents.select("id", "size", F.sort_array(F.array_distinct("sources")).alias("pattern"))
+    rows, _ = materialise(rows.withColumn("key", F.monotonically_increasing_id()).withColumn("tie", F.lit(0)), "members")
+    sums, _ = materialise(rows.groupBy("pattern").agg(F.sum("size").alias("tokens")), "patterns")
+    touched = sums.filter(F.size("pattern") > 1).select(F.explode("pattern").alias("source")).distinct()
+    near = sums.withColumn("source", F.explode("pattern")).join(touched, "source", "left_semi").select("pattern", "tokens").distinct()
+    found = near.limit(MAX_PATTERNS + 1).collect()
+    if len(found) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} patterns of sources that overlap; name fewer sources")
+    tokens = {tuple(r["pattern"]): int(r["tokens"]) for r in found}
+    arcs = [(list(p), s, n) for (p, s), n in flows(tokens, {s: int(q) for s, q in quotas.items()}, max_copies).items()]
+    routed = spark.createDataFrame(arcs, "pattern array<string>, source string, flow bigint")
+    asked = spark.createDataFrame([(s, int(q)) for s, q in quotas.items()], "source string, quota bigint")
+    alone = sums.filter(F.size("pattern") == 1).withColumn("source", F.col("pattern")[0]).join(touched, "source", "left_anti").join(asked, "source").select("pattern", "source", F.least("quota", F.col("tokens") * max_copies).alias("flow"))
+    arcs_of, _ = materialise(routed.unionByName(alone), "arcs")
+    wanted = sums.join(arcs_of.groupBy("pattern").agg(F.sum("flow").alias("flow")), "pattern", "left").select("pattern", "tokens", F.coalesce("flow", F.lit(0)).alias("flow"))
+    chosen = choose(rows, wanted, seed)
+    served = _running(chosen.select("key", "pattern", "slice", "h", "id", "size", "tie", "taken"), "pattern", ["h", "id", "size", "tie", "key"], "taken")
+    ends = Window.partitionBy("pattern").orderBy("source").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # the sources of one pattern
+    shares = arcs_of.withColumn("end", F.sum("flow").over(ends)).groupBy("pattern").agg(F.sort_array(F.collect_list(F.struct("end", "source"))).alias("shares"))
+    served = served.join(shares, "pattern", "left")
+    own = F.filter("shares", lambda x: x["end"] > F.col("upto") - F.col("taken"))
+    serves = F.when(F.col("taken") > 0, F.coalesce(F.get(own, F.lit(0)), F.element_at("shares", -1))["source"])
+    return served.select("id", "size", F.col("pattern").alias("sources"), "taken", serves.alias("source"))
+
+
+def _mixed(rows: DataFrame, weights: tuple[int, ...], share: float, max_copies: int, seed: int) -> DataFrame:
+    """rows(key, id, size, source, tie) with source_size, target, taken; each source is a pattern of its own, whose flow is its target or all its copies."""
+    aims, _ = materialise(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, float(max_copies)), "targets")
+    pattern = F.when(F.col("source").isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), F.col("source")))  # a null source needs a name of its own
+    aims = aims.withColumn("pattern", pattern)
+    wanted = aims.select("pattern", F.col("source_size").alias("tokens"), F.least(F.round("target").cast("long"), F.col("source_size") * max_copies).alias("flow"))
+    return choose(rows.withColumn("pattern", pattern), wanted, seed).join(aims, "pattern")
+
+
+def _measured(keyed: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    text = F.coalesce(F.col("d").getField(text_col), F.lit(""))
+    rows = keyed.select("key", F.col("d").getField(id_col).alias("id"), word_count(text).alias("size"), F.col("d").getField(source_col).alias("source"), F.xxhash64(text).alias("tie"))
+    return materialise(rows, "sizes")[0]
+
+
+def mix_by_source(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, max_copies: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, size, source, source_size, target, taken of docs(doc_id, text, source), each row of one source.
 
     Null text has size 0, null source is a source of its own, an empty table gives no rows. Rows that
-    repeat an id with equal size and source are taken alike. Reruns agree: the choice depends on
-    seed, ids and sizes alone.
+    repeat an id, null ids among them, are chosen each by itself. Reruns agree: the choice depends on
+    seed, ids, sizes and texts alone. Other columns are ignored.
     """
-    measured, _ = materialise(docs.select(F.col(id_col).alias("id"), word_count(text_or_empty()).alias("size"), "source"), "sizes")
-    aims, _ = materialise(targets(measured.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, float(max_copies)), "targets")
-    named = F.when(F.col("source").isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), F.col("source")))  # a null source needs a name of its own
-    rows = aims.select(named.alias("name"), F.round("target").alias("target")).limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} sources")
-    quotas = {r["name"]: int(r["target"]) for r in rows}
-    mixed = mix(measured.select("id", "size", F.array(named).alias("sources")), quotas, seed, max_copies)
-    back = aims.select(named.alias("name"), "source", "source_size", "target")
-    return mixed.withColumn("name", F.col("sources")[0]).join(F.broadcast(back), "name").select(F.col("id").alias("doc_id"), "size", "source", "source_size", "target", "taken")
+    mixed = _mixed(_measured(with_key(docs), id_col, text_col, source_col), weights, share, max_copies, seed)
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source", "source_size", "target", "taken")
+
+
+def take_by_source(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, max_copies: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs as often as mix_by_source takes them, with the columns of docs."""
+    keyed = with_key(docs)
+    mixed = _mixed(_measured(keyed, id_col, text_col, source_col), weights, share, max_copies, seed)
+    times, _ = materialise(mixed.filter("taken > 0").select("key.f", "key.r", (F.col("taken") / F.col("size")).cast("int").alias("times")), "times")
+    taken = keyed.select("d", "key.f", "key.r").join(times, ["f", "r"]).withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    return columns_of(taken, docs.columns)
 
 
 def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs as often as mixed takes them, with the columns of docs. Rows with a null id go."""
-    times = mixed.filter("taken > 0").groupBy("doc_id").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("__times")).withColumnRenamed("doc_id", "__id")
-    return docs.join(times, docs[id_col] == times["__id"]).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).drop("__id", "__times", "__copy")
+    """The rows of docs as often as mixed(doc_id, size, taken) takes their id, with the columns of docs; rows that share an id are taken alike."""
+    times = mixed.filter("taken > 0").groupBy("doc_id").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("times"))
+    whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("d"))
+    joined = whole.join(times, F.col("d").getField(id_col).eqNullSafe(times["doc_id"]))
+    return columns_of(joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))), docs.columns)
