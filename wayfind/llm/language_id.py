@@ -105,11 +105,18 @@ class LanguageModel:
         return np.where(open_to, total / len(ORDERS), EXCLUDED).astype(np.float32), letters
 
     def path(self, scores: np.ndarray) -> np.ndarray:
-        """Best language of each word: the sum of word scores less switch for every change."""
+        """Best language of each word: the sum of word scores less switch for every change.
+
+        Left early if no change can pay. Against the one language best for all words, a run of words
+        elsewhere gains at most `most`. A path that visits that language at all pays a change for
+        every other run; one that never does pays for all runs but one, and its first and last run
+        gain no more than the best beginning and the best end. So with most <= switch and
+        beginning + end <= switch no path is better, however many languages there are.
+        """
         best = int(scores.sum(axis=0, dtype=np.float64).argmax())
-        gain = np.cumsum(scores - scores[:, best : best + 1], axis=0, dtype=np.float64)
-        low = np.minimum.accumulate(np.vstack([np.zeros((1, gain.shape[1])), gain[:-1]]), axis=0)
-        if (gain - low).max() <= self.switch:  # no run of words gains more elsewhere than one change costs: no change pays
+        gain = np.vstack([np.zeros((1, scores.shape[1])), np.cumsum(scores - scores[:, best : best + 1], axis=0, dtype=np.float64)])
+        most = (gain - np.minimum.accumulate(gain, axis=0)).max()
+        if most <= self.switch and gain.max() + (gain[-1] - gain).max() <= self.switch:
             return np.full(len(scores), best)
         n, k = scores.shape
         back = np.empty((n, k), np.int32)
@@ -135,15 +142,18 @@ class LanguageModel:
         return self.langs[top], float(share[top])
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order_by: Column | None = None, max_docs: int = 4000) -> LanguageModel:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order_by: Column | None = None, max_docs: int = 4000, max_langs: int = 400) -> LanguageModel:
     """Fit a model on at most about max_docs documents of each language, drawn by the hash of order_by (default: the text).
 
-    max_docs is the only bound; whole texts count. Rows with null text or language are left out;
-    with none left the model knows no language and predicts `und`. The driver gets at most
-    BUCKETS + scripts rows per language.
+    max_docs is the only bound on what is learned from; whole texts count. Rows with null text or
+    language are left out; with none left the model knows no language and predicts `und`. The driver
+    gets at most BUCKETS + scripts rows per language, and the model that predict() broadcasts takes
+    256 kB a language: more than max_langs languages are an error.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col) if order_by is None else order_by).alias("h")).filter("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(max_langs + 1).collect()}
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} languages")
     langs = sorted(sizes)
     model = LanguageModel(langs, np.zeros((BUCKETS, len(langs)), np.float32), np.zeros((len(SCRIPTS), len(langs)), bool))
     if not langs:
@@ -193,6 +203,24 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInPandas(run, "doc_id bigint, lang_pred string, score double")
 
 
+def keep_languages(docs: DataFrame, model: LanguageModel, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text has letters, with at least this share of them in one language; all columns, null and repeated ids alike.
+
+    The prediction is a column beside the text, so rows stay where they were read.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def told(text: pd.Series) -> pd.Series:
+        own, out = shared.value, []
+        for at in range(0, len(text), 1000):
+            found = (own.predict(x) for x in own.index([WORD.findall(t.lower()) for t in text.iloc[at : at + 1000]]))
+            out += [lang != "und" and share >= least for lang, share in found]
+        return pd.Series(out, dtype=bool)
+
+    return docs.filter(told(text_or_empty(text_col)))
+
+
 def spans(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, start, end, lang: runs of words of one language, as offsets in code points of the text, in order."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
