@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayfind.llm import streamvbyte
-from wayfind.llm.common import materialise, text_or_empty
+from wayfind.llm.common import text_or_empty
+from wayfind.sources.scratch import materialise
 
 BLOCK_TOKENS = 1 << 20
 #: Bounds the memory of a worker's table of pieces that it has seen, nothing else.
@@ -136,8 +137,8 @@ def count_ids(encoded: DataFrame, kind: str = "<u4") -> DataFrame:
 def write_dataset(docs: DataFrame, target: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode docs and write the dataset to the folder target.
 
-    Documents are in ascending doc_id order, null first, rows that repeat an id by their ids'
-    bytes. The rank table reaches the driver and all tasks: it has one row per id of the vocabulary
+    Documents are in ascending doc_id order, null first, rows that repeat an id by the first bytes of
+    their ids and then by a hash of all, so that one id of many rows spreads over several tasks. The rank table reaches the driver and all tasks: it has one row per id of the vocabulary
     at most. An empty table gives an empty dataset; columns besides id and text are ignored.
     """
     spark = docs.sparkSession
@@ -170,7 +171,9 @@ def write_dataset(docs: DataFrame, target: str, path: str, end_id: int, id_col:
         if held:
             yield flush()
 
-    ordered = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    keyed = encoded.select("doc_id", F.substring("ids", 1, 64).alias("head"), F.xxhash64("ids").alias("h"), F.spark_partition_id().alias("salt"), "ids")  # rows alike to the last byte may stand in any order
+    order = ["doc_id", "head", "h", "salt"]
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
     ordered.mapInPandas(run, "part bigint, block bigint, start bigint, n_docs bigint, n_tokens bigint, doc_ids array<bigint>, control binary, data binary").write.option("compression", "zstd").parquet(f"{target}/blocks")
 
 
