@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfind.llm.common import connected_components, materialise
+from wayfind.llm.common import connected_components
 from wayfind.llm.forest import join_rows, settle
+from wayfind.sources.scratch import materialise
 
 #: Vectors of a tile; a task holds two tiles and their products.
 TILE = 1024
@@ -30,12 +31,22 @@ STEPS = (8, 16, 32, 64, 128, 256, 512)
 SLACK = 1e-9
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
+def _scaled(vectors: pd.Series) -> np.ndarray:
+    """Each vector over a power of two near its largest component: its cosines stay as they are, to the bit, and no square overflows."""
     x = np.stack(vectors.to_numpy()).astype(np.float64)
-    x /= np.abs(x).max(axis=1, keepdims=True)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def _unit(vectors: pd.Series) -> np.ndarray:
+    x = _scaled(vectors)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _identity(vector: str) -> list[Column]:
+    """128 bits that stand for a vector in joins, so that vectors themselves stay where they are."""
+    return [F.xxhash64(vector).alias("h1"), F.xxhash64(F.lit(1), vector).alias("h2")]
+
+
 def distinct_vectors(rows: DataFrame) -> DataFrame:
     """label, embedding, dim, rep, n of rows(vec_id, embedding, label): one row per label and vector that can link."""
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
@@ -89,14 +100,21 @@ def _tiled(classes: DataFrame, axes: dict[int, np.ndarray], tile: int) -> DataFr
 
 
 def _tile_pairs(tiled: DataFrame, threshold: float) -> DataFrame:
-    """label, dim, a, b of tiles that may hold a pair of the threshold: their boxes are near enough."""
+    """label, dim, a, b of tiles that may hold a pair of the threshold: their boxes are near enough.
+
+    A band join along the first coordinate: a tile meets those that begin within reach of its own stretch.
+    """
     boxes = tiled.groupBy("label", "dim", "tile").agg(*(f(F.col("lead")[k]).alias(f"{name}{k}") for name, f in (("lo", F.min), ("hi", F.max)) for k in range(BOX)))
     boxes, _ = materialise(boxes, "boxes")
+    reach = (2 - 2 * threshold + SLACK) ** 0.5  # unit vectors of the threshold lie no farther apart
+    bin_of = lambda x: F.floor(x / reach)
     left = boxes.select("label", "dim", F.col("tile").alias("a"), *(F.col(f"{x}{k}").alias(f"{x}a{k}") for x in ("lo", "hi") for k in range(BOX)))
-    right = boxes.select("label", "dim", F.col("tile").alias("b"), *(F.col(f"{x}{k}").alias(f"{x}b{k}") for x in ("lo", "hi") for k in range(BOX)))
+    left = left.withColumn("bin", F.explode(F.sequence(bin_of(F.col("loa0")), bin_of(F.col("hia0") + reach))))
+    right = boxes.select("label", "dim", F.col("tile").alias("b"), *(F.col(f"{x}{k}").alias(f"{x}b{k}") for x in ("lo", "hi") for k in range(BOX))).withColumn("bin", bin_of(F.col("lob0")))
     gap = lambda k: F.greatest(F.col(f"loa{k}") - F.col(f"hib{k}"), F.col(f"lob{k}") - F.col(f"hia{k}"), F.lit(0.0))
     apart = sum((gap(k) * gap(k) for k in range(BOX)), F.lit(0.0))
-    return left.join(right, ["label", "dim"]).filter((F.col("a") <= F.col("b")) & (apart <= 2 - 2 * threshold + SLACK)).select("label", "dim", "a", "b")
+    ordered = (F.col("loa0") < F.col("lob0")) | ((F.col("loa0") == F.col("lob0")) & (F.col("a") <= F.col("b")))
+    return left.join(right, ["label", "dim", "bin"]).filter(ordered & (apart <= 2 - 2 * threshold + SLACK)).select("label", "dim", "a", "b")
 
 
 def near_pairs(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +161,7 @@ def near_links(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE) ->
 
     def compare(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(["side", "rep"], ignore_index=True)
-        raw = np.stack(own["embedding"].to_numpy()).astype(np.float64)
+        raw = _scaled(own["embedding"])
         turned = _unit(own["embedding"]) @ shared.value[raw.shape[1]]
         n, split = own["n"].to_numpy(), int((own["side"] == 0).sum())
         same = split == len(own)
@@ -167,7 +185,8 @@ def near_links(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE) ->
     found, _ = materialise(both.groupBy("label", "dim", "a", "b").applyInPandas(compare, "rep bigint, links bigint, root bigint"), "links")
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = connected_components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
-    nodes = classes.join(linked, "rep", "left").join(joined, classes["rep"] == joined["node"], "left").select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    named = rows.filter("vec_id is not null").join(nodes, ["label", "embedding"], "left").unionByName(rows.filter("vec_id is null").select("*", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id")))
+    nodes = classes.select("label", "rep", "n", *_identity("embedding")).join(linked, "rep", "left").join(joined, F.col("rep") == joined["node"], "left").select("label", "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    rows = rows.select("vec_id", "label", *_identity("embedding"))
+    named = rows.filter("vec_id is not null").join(nodes, ["label", "h1", "h2"], "left").unionByName(rows.filter("vec_id is null").select("*", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id")))
     out = named.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
