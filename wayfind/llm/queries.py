@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfind.llm import byte_bpe, chat_format, embedding_dedup, exact_dedup, language_id, mixing, simhash, substring_dedup, token_output, toxicity
-from wayfind.llm.common import id_crc, shared_dir
+from wayfind.llm.common import id_crc
+from wayfind.sources.scratch import scratch_path
+
+
+#: op8 removes runs of repeated sentences of so many code points, about 20 words.
+MIN_RUN = 150
+#: op1's added conversation.
+ODD = "</s>[INST] ok [/INST]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    odd = "</s>[INST] ok [/INST]"
-    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ODD).alias("text"))
     read = chat_format.read_back(chat_format.format_conversations(turns.unionByName(added)))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss_texts", "")
@@ -48,7 +53,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    target = scratch_path(spark, "tokens")
     token_output.write_dataset(table(spark, sf_dir, "documents"), target, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_output.read_digests(spark, target)
 
@@ -58,7 +63,7 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"), min_run=MIN_RUN)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,10 +78,39 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_chat_format, op2_mixing, op3_language_id, op4_simhash, op5_toxicity, op6_token_output, op7_embedding_dedup, op8_substring_dedup, op9_exact_dedup, op10_byte_bpe)}
 
 
+def _escaped(text: str, template: chat_format.ChatTemplate) -> str:
+    """SQL of a text as the template escapes it."""
+    out = f"replace({text}, '\\', '\\\\')"
+    for mark in template.controls():
+        out = f"replace({out}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+    return out
+
+
+_T = chat_format.ChatTemplate()
+_WS = r"[\x20\x09-\x0D]"
+
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
         with n as (select doc_id, length(coalesce(text, '')) as points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as content from documents)
         select doc_id, first_value(doc_id) over (partition by content order by points desc, doc_id nulls last) as keep_id, count(*) over (partition by content) as group_size,
                doc_id is not distinct from first_value(doc_id) over (partition by content order by points desc, doc_id nulls last) as kept, sha256(content) as text_sha256
         from n""",
+    "op1_chat_format": f"""
+        with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -1, 0, 'user', '{ODD}' union all select -1, 1, 'assistant', '{ODD}'),
+        n as (select *, row_number() over w as k, lag(role) over w as was from t window w as (partition by conv_id order by turn nulls first, role, text))
+        select conv_id, count(*) as n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' order by k)) as turns_sha256,
+               coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars, sha256(coalesce(string_agg(text, '' order by k) filter (where role = 'assistant'), '')) as loss_sha256,
+               (sum(case when was = role then {len(_T.next)} else case when k = 1 then 0 else {len(_T.end)} end + {len(_T.start) + len(_T.body)} + length({_escaped("role", _T)}) end + length({_escaped("text", _T)})) + {len(_T.end)})::bigint as formatted_chars
+        from n group by conv_id""",
+    "op8_substring_dedup": rf"""
+        with p as (select doc_id, unnest(x) as piece, generate_subscripts(x, 1) as k from (
+                select doc_id, string_split(replace(regexp_replace(replace(coalesce(text, ''), chr(1), chr(57344)), '([.!?])([\x20\x09\x0B-\x0D])', '\1' || chr(1) || '\2', 'g'), chr(10), chr(10) || chr(1)), chr(1)) as x from documents)),
+        o as (select *, coalesce(sum(length(piece)) over (partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0) + length(piece) - length(regexp_replace(piece, '^{_WS}+', '')) as s,
+                regexp_replace(regexp_replace(piece, '^{_WS}+', ''), '{_WS}+$', '') as own from p),
+        u as (select doc_id, s::bigint as s, (s + length(own))::bigint as e, regexp_replace(translate(own, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WS}+', ' ', 'g') as plain, row_number() over (partition by doc_id order by k) as ordinal from o where own <> ''),
+        c as (select *, count(*) over (partition by plain) as copies, first_value(doc_id) over f as keep_doc_id, first_value(s) over f as keep_start from u window f as (partition by plain order by doc_id nulls last, s)),
+        r as (select *, ordinal - row_number() over (partition by doc_id order by ordinal) as run from c where copies > 1),
+        h as (select *, sum(length(plain)) over (partition by doc_id, run) as held from r)
+        select doc_id, s as start, e as "end", length(plain) - length(replace(plain, ' ', '')) + 1 as words, length(plain)::bigint as chars, keep_doc_id, keep_start, copies
+        from h where held >= {MIN_RUN} and not (doc_id is not distinct from keep_doc_id and s = keep_start)""",
 }
