@@ -1,4 +1,8 @@
-"""Byte-level BPE over padded matrices: every row merges its leftmost minimum-rank pair each round."""
+"""Byte-level BPE over padded matrices: every row merges its leftmost minimum-rank pair each round.
+
+A row alone in a matrix of over LONG columns makes all the merges at once that this rule would make
+in a row (see _merge_long), with the same result for every table of ranks.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +22,7 @@ from wayfind.llm.common import text_or_empty
 NONE = np.int32(2**31 - 1)
 #: Pieces of a batch are bucketed by these widths; longer ones get a matrix of their own.
 WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 64)
+LONG = 256
 #: Bounds the memory of a worker's table of pieces that it has seen, nothing else.
 CACHE_PIECES = 1_200_000
 
@@ -114,7 +119,7 @@ class ByteBpe:
                 rows, ids, rank, low = rows[~done], ids[~done], rank[~done], low[~done]
                 if not len(rows):
                     break
-            if len(rows) == 1 and ids.shape[1] > 256:
+            if len(rows) == 1 and ids.shape[1] > LONG:
                 ids, rank = self._merge_long(ids[0], rank[0], low[0])
                 continue
             at = rank.argmin(axis=1)
@@ -130,20 +135,27 @@ class ByteBpe:
         return out
 
     def _merge_long(self, ids: np.ndarray, rank: np.ndarray, low: np.int32) -> tuple[np.ndarray, np.ndarray]:
-        """One round of a long row: all pairs of the minimum rank at once, from the left, as far as no merge makes a pair of that rank or less."""
+        """Several rounds of a long row at once: the merges that the rule makes one after another at the minimum rank.
+
+        The rule merges the leftmost pair of the minimum rank `low`, so its next merges are the pairs
+        of that rank from left to right, of overlapping ones every second, until a merge makes a pair
+        of rank `low` or less. A merge makes two pairs: one with the token to its left, which is as it
+        stands after the merges before, and one with the token to its right, which no merge has reached
+        yet. Both are looked up for each merge, and the merges stop with the first that makes such a pair.
+        """
         at = np.flatnonzero(rank == low)
         first = np.r_[True, np.diff(at) != 1]
-        at = at[(np.arange(len(at)) - np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))) % 2 == 0]  # of overlapping ones every second
-        for chosen in (at, at[:1]):
-            merged = ids.copy()
-            merged[chosen] = low
-            keep = np.ones(len(ids), bool)
-            keep[chosen + 1] = False
-            merged = merged[keep]
-            fresh = np.append(self.pairs.find(merged[:-1], merged[1:]), NONE)
-            if len(chosen) == 1 or fresh.min() > low:
-                break
-        return merged[None], fresh[None]
+        at = at[(np.arange(len(at)) - np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))) % 2 == 0]
+        merged = np.full(len(at), low, np.int32)
+        left = np.where(at > 0, ids[np.maximum(at - 1, 0)], -1)
+        left[1:][at[1:] - at[:-1] == 2] = low  # the token to the left is itself the merge before
+        made = np.minimum(self.pairs.find(left, merged), self.pairs.find(merged, ids[np.minimum(at + 2, len(ids) - 1)]))
+        stop = np.flatnonzero(made <= low)
+        at = at[: stop[0] + 1] if len(stop) else at
+        out = ids.copy()
+        out[at] = low
+        out = np.delete(out, at + 1)
+        return out[None], np.append(self.pairs.find(out[:-1], out[1:]), NONE)[None]
 
 
 @lru_cache(maxsize=4)
