@@ -1,11 +1,15 @@
 """Mixing, embeddings and the pipeline against brute force."""
 
+import hashlib
+import random
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wayfind.llm import embedding_dedup, exact_dedup, language_id, mixing, simhash
+from wayfind.llm import embedding_dedup, exact_dedup, language_id, mixing, near_copies
 from wayfind.llm.common import connected_components, id_crc
 
 SF = "/root/testdata/sf0.001"
@@ -52,6 +56,40 @@ def test_targets_and_choice(spark):
     assert mixing.mix_by_source(docs.limit(0)).count() == 0
 
 
+def test_repeated_ids_are_chosen_each_by_itself(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(k % 40), " ".join(["w"] * int(rng.integers(1, 30))), "ab"[k % 2]) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix_by_source(docs).toPandas()
+    for _, own in got.groupby("source"):
+        assert abs(own["taken"].sum() - own["target"].iloc[0]) < 5
+    again = mixing.mix_by_source(docs.repartition(5)).toPandas()
+    key = ["doc_id", "size", "source", "taken"]
+    assert sorted(got[key].itertuples(index=False)) == sorted(again[key].itertuples(index=False))
+
+
+def test_mix_says_which_source_a_document_serves(spark):
+    rows = [(k, 1 + k % 5, [["a"], ["a", "b"], ["c"], ["b", "a"], []][k % 5]) for k in range(500)]
+    docs = spark.createDataFrame(rows, "id bigint, size bigint, sources array<string>")
+    tokens = {}
+    for _, n, s in rows:
+        tokens[tuple(sorted(s))] = tokens.get(tuple(sorted(s)), 0) + n
+    quotas = {"a": 600, "b": 400, "c": 250}
+    given, served = mixing.route({p: n for p, n in tokens.items() if "a" in p or "b" in p}, quotas, 2), {}
+    for r in mixing.mix(docs, quotas).collect():
+        assert r["taken"] in (0, r["size"], 2 * r["size"]) and (r["source"] is None) == (r["taken"] == 0)
+        assert r["source"] is None or r["source"] in r["sources"]
+        served[r["source"]] = served.get(r["source"], 0) + r["taken"]
+    assert abs(served["a"] + served["b"] - sum(given.values())) < 20 and abs(served["a"] - 600) < 20 and abs(served["b"] - 400) < 20 and abs(served["c"] - 250) < 10
+
+
+def test_targets_of_many_sources(spark):
+    rng = np.random.default_rng(5)
+    sizes = {f"s{k}": int(rng.integers(0, 5000)) for k in range(300)} | {None: 77}
+    got = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")).collect()}
+    assert got == pytest.approx(fill(sizes, (5, 2, 1), 1.5, 2.0))
+
+
 def test_flow_of_overlapping_sources():
     tokens = {("a",): 100, ("a", "b"): 100, ("b",): 50}
     given = mixing.route(tokens, {"a": 150, "b": 100}, 2)
@@ -82,6 +120,92 @@ def test_embeddings(spark):
         assert {i: got[i]["component_id"] for i in ids} == comp and all(got[i]["kept"] == (comp[i] == i) for i in ids)
         assert all(got[i]["n_links"] == 0 for i in (900, 901, 902, 903, 904, 905, None)) and got[905]["component_id"] == 905 and not got[None]["kept"]
     assert embedding_dedup.near_links(frame.limit(0)).count() == 0
+    huge = spark.createDataFrame([(1, [1e200, 2e200], 1), (2, [1e160, 2.1e160], 1), (3, [1e-200, 2e-200], 1), (4, [1e300, -1e300], 1)], "vec_id bigint, embedding array<double>, label int")
+    assert {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_links(huge).collect()} == {1: 2, 2: 2, 3: 2, 4: 0}
+
+
+def test_band_join_of_tiles(spark):
+    """Tiles along the first coordinate: every pair of tiles that boxes allow, and each once."""
+    rng = np.random.default_rng(2)
+    rows = [("x", 2, f"t{k}", 2 * k + m, 1, [1.0, 2.0], [float(v), float(v) / 2] + [0.0] * 6) for k, x in enumerate(np.sort(rng.uniform(-1, 1, 60))) for m, v in enumerate((x, min(1.0, x + rng.uniform(0, 0.5))))]
+    tiled = spark.createDataFrame(rows, "label string, dim int, tile string, rep bigint, n bigint, embedding array<double>, lead array<double>")
+    box = {}
+    for r in rows:
+        box.setdefault(r[2], []).append(r[6][:2])
+    box = {t: np.array(v) for t, v in box.items()}
+    gap = lambda a, b: np.maximum(0, np.maximum(a.min(axis=0) - b.max(axis=0), b.min(axis=0) - a.max(axis=0)))
+    expected = {frozenset((s, t)) for s in box for t in box if (gap(box[s], box[t]) ** 2).sum() <= 2 - 2 * 0.93}
+    got = [frozenset((r["a"], r["b"])) for r in embedding_dedup._tile_pairs(tiled, 0.93).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
+def shingles(text, n=5):
+    words = re.sub("[A-Z]", lambda m: m.group().lower(), text).encode().split()
+    return {b" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def stays(texts, least=0.8):
+    """Smallest ids of the groups that similarities of at least `least` link."""
+    sets, label = {i: shingles(t or "") for i, t in texts.items()}, {i: i for i in texts}
+    pairs = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]) > 0]
+    while any(label[i] != label[j] and not label.update(dict.fromkeys((i, j), min(label[i], label[j]))) for i, j in pairs):
+        pass
+    return sorted(set(label.values()))
+
+
+def edited(rnd, words, times):
+    words = list(words)
+    for at in rnd.sample(range(len(words)), times):
+        words[at] = f"new{rnd.random()}"
+    return words
+
+
+@pytest.mark.parametrize("block", [4, 2048])
+def test_near_copies(spark, tmp_path, block):
+    rnd = random.Random(9)
+    texts = {}
+    for k in range(25):
+        base = [f"w{rnd.randrange(500)}" for _ in range(rnd.choice([6, 30, 120, 300]))]
+        texts[10 * k] = " ".join(base)
+        for m in range(1, rnd.randrange(2, 9)):
+            base = base if rnd.random() < 0.5 else edited(rnd, base, max(1, len(base) // 60))  # chains drift away from their first document
+            texts[10 * k + m] = " ".join(edited(rnd, base, max(1, len(base) // rnd.choice([60, 100, 200]))))
+    texts |= {900: None, 901: "", 902: " \n", 903: "one two", 904: "ONE  two", 905: "three"}
+    rows = [(i, t, "clash") for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, node string")
+    got = near_copies.drop_near_copies(docs, block=block)
+    assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == stays(texts)
+    assert 10 < len(stays(texts)) < len(texts) - 20
+    docs.repartition(3).write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    assert sorted(r["doc_id"] for r in near_copies.drop_near_copies(read, block=block).collect()) == stays(texts)
+    assert near_copies.drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_rows_without_ids_of_their_own(spark):
+    """Null ids, repeated ids and repeated rows in every stage that drops or repeats rows."""
+    text, other = "one two three four five six seven eight", "quite another text of some words here"
+    rows = [(None, text, "s"), (None, text, "s"), (None, other, "s"), (7, "p q", "s"), (7, "r s t", "s"), (7, "p q", "s"), (None, None, None), (None, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    content = lambda frame: sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=repr)
+    once = exact_dedup.drop_exact_duplicates(docs)
+    assert len(content(once)) == 5 and {(None, text), (None, other), (7, "p q"), (7, "r s t")} <= set(content(once))
+    assert content(near_copies.drop_near_copies(docs)) == sorted([(None, text), (None, other), (7, "p q"), (7, "r s t"), (None, None), (None, "")], key=repr)
+    taken = content(mixing.take_by_source(docs, weights=(1,), share=1.0))
+    assert taken == sorted([(i, t) for i, t, s in rows if t], key=repr)  # the whole source, each row once
+
+
+def test_registered_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    told = corpus_pipeline.language(spark, docs, SF)
+    alone = corpus_pipeline.near(spark, corpus_pipeline.exact(spark, told, SF), SF)
+    times = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mix_by_source(alone).collect() if r["size"]}
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(i for i, n in times.items() for _ in range(n))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in got.collect():
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
 
 
 def test_pipeline_stages(spark):
@@ -96,7 +220,7 @@ def test_pipeline_stages(spark):
     once = corpus_pipeline.exact(spark, told, SF)
     assert ids(once) == sorted({r["keep_id"] for r in exact_dedup.exact_dedup(told).collect()})
     alone = corpus_pipeline.near(spark, once, SF)
-    assert ids(alone) == sorted({r["component_id"] for r in simhash.near_duplicates(once).collect()})
+    assert ids(alone) == stays({r["doc_id"]: r["text"] for r in once.collect()})
     mixed = corpus_pipeline.mixture(spark, alone, SF)
     times = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mix_by_source(alone).collect() if r["size"]}
     assert mixed.columns == docs.columns and ids(mixed) == sorted(i for i, n in times.items() for _ in range(n))

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfind.llm.common import SPACE, materialise, text_or_empty
+from wayfind.llm.common import SPACE, columns_of, text_or_empty, with_key
+from wayfind.sources.scratch import materialise
 
 SALTS = 16
 
@@ -26,6 +27,17 @@ def sha256_hex(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
+def _order() -> list[Column]:
+    """Of equal contents the most code points win, then the smallest id, null last."""
+    return [(-F.col("points")).alias("longest"), F.col("id").isNull().alias("unnamed"), F.col("id").alias("id")]
+
+
+def _combined(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """digest, content, best (the least of order), n of rows(digest, salt, content, ...): in each task, per salt, then globally."""
+    local = rows.groupBy("digest", "salt", "content").agg(F.min(F.struct(*order)).alias("best"), F.count(F.lit(1)).alias("n"))
+    return local.repartition(F.col("digest")).groupBy("digest", "content").agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Callable[[Column], Column] = without_space, digest: Callable[[Column], Column] = sha256_hex, salts: int = SALTS) -> DataFrame:
     """One row per input row: id, digest, keep_id, group_size, kept.
 
@@ -37,9 +49,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     rows = rows.select("id", F.length("text").alias("points"), normalise(F.col("text")).alias("content")).withColumn("digest", digest(F.col("content")))
-    order = F.struct((-F.col("points")).alias("longest"), F.col("id").isNull().alias("unnamed"), F.col("id").alias("id"))
-    local = rows.groupBy("digest", (F.spark_partition_id() % salts).alias("salt"), "content").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n"))
-    merged = local.repartition(F.col("digest")).groupBy("digest", "content").agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+    merged = _combined(rows.withColumn("salt", F.spark_partition_id() % salts), _order())
     winners, _ = materialise(
         merged.withColumn("variants", F.count(F.lit(1)).over(Window.partitionBy("digest"))).select("digest", F.when(F.col("variants") > 1, F.col("content")).alias("content"), F.col("best.id").alias("keep_id"), F.col("n").alias("group_size")),
         "winners",
@@ -51,7 +61,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return found.select("id", "digest", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"))
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns. Rows with a null id stay only if no other id holds their content."""
-    kept = exact_dedup(docs, id_col, text_col, **options).filter("kept").select(F.col("id").alias("__keep")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__keep"]), "left_semi")
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Callable[[Column], Column] = without_space, digest: Callable[[Column], Column] = sha256_hex, salts: int = SALTS) -> DataFrame:
+    """docs less all but one row of each group of equal contents, with all columns: the row that exact_dedup keeps.
+
+    Rows are told apart by their place in the table, so rows that share an id, or have none, go or
+    stay each by itself.
+    """
+    keyed = with_key(docs)
+    rows = keyed.select(F.col("d").getField(id_col).alias("id"), F.coalesce(F.col("d").getField(text_col), F.lit("")).alias("text"), "key.f", "key.r")
+    rows = rows.select("id", "f", "r", F.length("text").alias("points"), normalise(F.col("text")).alias("content")).withColumn("digest", digest(F.col("content")))
+    kept, _ = materialise(_combined(rows.withColumn("salt", F.spark_partition_id() % salts), [*_order(), F.col("f"), F.col("r")]).select("best.f", "best.r"), "kept")
+    return columns_of(keyed.select("d", "key.f", "key.r").join(kept, ["f", "r"], "left_semi"), docs.columns)

@@ -9,7 +9,7 @@ them. A bucket too large for one task is dealt again by the bits still free.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,8 +17,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfind.llm.common import connected_components, materialise, text_or_empty, union_all
+from wayfind.llm.common import columns_of, connected_components, text_or_empty, union_all
 from wayfind.llm.forest import join_rows, settle
+from wayfind.sources.scratch import materialise
 
 FANOUT = 8
 #: Buckets of more fingerprints than this are dealt again by further bits; nothing is dropped.
@@ -27,18 +28,22 @@ BUCKET_ROWS = 4096
 FRONTIER = 1 << 15
 
 
-def fingerprint(text: str, shingle: int, seed: int) -> int:
-    """64 bits, each 1 if set in over half the XXH64 of the text's word shingles, repeats included."""
+def shingle_hashes(text: str, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of each of the text's word shingles, repeats included; the whole sequence if it has fewer words, nothing if it has none."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.r_[0, ends[:-1] + 1]
     last = min(shingle, len(words)) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[: len(words) - last].tolist(), ends[last:].tolist(), strict=True)], ">u8")
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.array([digest(joined[a:b], seed) for a, b in zip(starts[: len(words) - last].tolist(), ends[last:].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """64 bits, each 1 if set in over half the hashes; zero for none."""
+    ones = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
@@ -47,7 +52,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fp = np.array([fingerprint(t, shingle, seed) for t in batch["text"]], np.uint64).view(np.int64)
+            fp = np.array([fingerprint(shingle_hashes(t, shingle, seed)) for t in batch["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": fp})
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInPandas(run, "doc_id bigint, fp bigint")
@@ -61,8 +66,11 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
     return rank
 
 
-def near_links(fp: np.ndarray, bucket: np.ndarray, k: int) -> np.ndarray:
-    """For rows ordered by (bucket, Gray rank): the smallest row reachable in the bucket by links of at most k differing bits."""
+def near_links(fp: np.ndarray, bucket: np.ndarray, k: int, parent: np.ndarray | None = None, linked: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """For rows ordered by (bucket, Gray rank): the smallest row reachable in the bucket by links of at most k differing bits.
+
+    parent holds links known before; linked(a, b), asked of rows that nothing joins yet, may refuse some.
+    """
     n = len(fp)
     levels = [(fp, fp, np.arange(n), np.arange(n))]  # AND, OR, first child, last child + 1 (of the level below)
     owner = bucket
@@ -75,12 +83,18 @@ def near_links(fp: np.ndarray, bucket: np.ndarray, k: int) -> np.ndarray:
         ands, ors = levels[-1][0], levels[-1][1]
         levels.append((np.bitwise_and.reduceat(ands, begin), np.bitwise_or.reduceat(ors, begin), begin, np.r_[begin[1:], len(owner)]))
         owner = owner[begin]
-    parent = np.arange(n)
+    parent = np.arange(n) if parent is None else parent
     roots = np.arange(len(owner))
     todo = [(len(levels) - 1, roots[at : at + FRONTIER], roots[at : at + FRONTIER]) for at in range(0, len(roots), FRONTIER)]
     while todo:
         level, a, b = todo.pop()
         if level == 0:
+            if linked is not None:
+                settle(parent)
+                apart = parent[a] != parent[b]
+                a, b = a[apart], b[apart]
+                sure = linked(a, b)
+                a, b = a[sure], b[sure]
             join_rows(parent, a, b)
             continue
         begin, end = levels[level][2:]
@@ -171,24 +185,39 @@ def _bucket_edges(rows: DataFrame, k: int) -> DataFrame:
     return rows.repartition("mask", "value").sortWithinPartitions("mask", "value").mapInPandas(run, "u bigint, v bigint")
 
 
+def components_of(fps: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """fp, component_id of fps(doc_id, fp): the smallest doc_id that links reach from a fingerprint; rows with a null id name nothing."""
+    reps, _ = materialise(fps.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
+    joined = connected_components(link_edges(reps, max_bits, bucket_rows))
+    return reps.join(joined, reps["rep"] == joined["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, seed: int = 42, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable by links, itself included), one row per input row.
 
     Documents of equal fingerprint are one node, so copies are never paired. Rows with a null id get
-    a fingerprint; their component is that of documents with the same fingerprint, else null. Other
-    columns are ignored; an empty table gives no rows.
+    a fingerprint; their component is that of documents with the same fingerprint, else null. Rows
+    that repeat an id are fingerprinted each. Other columns are ignored; an empty table gives no rows.
     """
     marked, _ = materialise(fingerprints(docs, id_col, text_col, shingle, seed), "fp")
-    reps, _ = materialise(marked.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
-    joined = connected_components(link_edges(reps, max_bits, bucket_rows))
-    components = reps.join(joined, reps["rep"] == joined["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return marked.join(components, "fp", "left").select("doc_id", "fp", "component_id")
+    return marked.join(components_of(marked, max_bits, bucket_rows), "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, seed: int = 42, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The rows of docs whose id is the smallest of their component, with all their columns.
+
+    Each row goes by its own fingerprint, rows that share an id too. A row with a null id goes if a
+    row with an id is in its component.
+    """
 
+    @F.pandas_udf("bigint")
+    def mark(text: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(shingle_hashes(t, shingle, seed)) for t in text], np.uint64).view(np.int64))
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs whose id is the smallest of its component, with all their columns; rows with a null id go."""
-    keep = near_duplicates(docs, id_col, text_col, **options).filter("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, docs[id_col] == keep["__keep"], "left_semi")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("d"), mark(text_or_empty(text_col)).alias("fp"))
+    components = components_of(fingerprints(docs, id_col, text_col, shingle, seed), max_bits, bucket_rows)
+    kept = rows.join(components, "fp", "left").filter(F.col("d").getField(id_col).eqNullSafe(F.col("component_id")))
+    return columns_of(kept, docs.columns)
 
 
 def hex_of(fp: str = "fp") -> Column:
