@@ -40,6 +40,18 @@ def is_due(key: Column, cadence_days: Column, today: Column) -> Column:
     return (cadence_days <= 1) | ((F.unix_date(today) - stable_hash(key) % days) % days == 0)
 
 
+def run_type(job_type: Column) -> Column:
+    """The type of run of a job: a manual job is a backfill."""
+    return F.when(job_type == "manual", "backfill").otherwise(job_type)
+
+
+def run_window(first: Column, last: Column) -> Column:
+    """(start, end) in UTC, without zone, of a run over whole days at +07:00."""
+    shift = F.make_dt_interval(F.lit(0), F.lit(7))
+    start, end = first.cast("timestamp_ntz") - shift, F.date_add(last, 1).cast("timestamp_ntz") - shift - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(1))
+    return F.struct(start.alias("start"), end.alias("end"))
+
+
 def window_back(today: Column, window_days: Column) -> Column:
     """(date_from, date_to) of a window that ends today."""
     return F.struct(F.date_sub(today, window_days).alias("date_from"), today.alias("date_to"))

@@ -63,6 +63,33 @@ def running_credit(requests: DataFrame, limit: int, per_key: int, days: list[str
     return out.withColumn("allowed", (F.col("total") <= limit) & (F.col("key_total") <= per_key))
 
 
+def credit_stop(requests: DataFrame, limit: int, per_key: int) -> DataFrame:
+    """W3 over a whole run: requests(ts, key, request) with key_total, total, allowed and, on the first request beyond the limit, stop.
+
+    A request of a key that has used per_key counts nowhere, as it isn't made; of the others the first
+    `limit` in order of (ts, key, request) are allowed, and the run stops at the next one.
+    """
+    rows = requests.withColumn("__day", F.to_date("ts")).withColumn("__second", F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")))
+    rows = _over_days(rows, ["key"], ["ts", "request"], F.lit(1), "key_total")
+    made = (F.col("key_total") <= per_key).cast("int")
+    rows = _over_days(rows, [], ["ts", "key", "request"], made, "total")
+    stop = rows.filter(f"key_total <= {per_key} and total = {limit + 1}").select(F.col("request").alias("__stop"))  # one row at most
+    out = rows.join(stop, rows["request"] == stop["__stop"], "left")
+    return out.select(*requests.columns, "key_total", "total", ((F.col("key_total") <= per_key) & (F.col("total") <= limit)).alias("allowed"), F.col("__stop").isNotNull().alias("stop"))
+
+
+def _over_days(rows: DataFrame, group: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """rows(__day, __second, ...) with the sum of value up to each row of the group: by days, then seconds of a day, then rows of a second."""
+    rows = rows.withColumn("__v", value)
+    for keys, at in (([*group], "__day"), ([*group, "__day"], "__second")):
+        counts = rows.groupBy(*keys, at).agg(F.sum("__v").alias("__n"))
+        before = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)  # one row a day, and 86,400 a day
+        counts = counts.select(*(F.col(c).alias(f"__of_{c}") for c in (*keys, at)), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(f"__before{at}"))
+        rows = rows.join(counts, [rows[c].eqNullSafe(counts[f"__of_{c}"]) for c in (*keys, at)]).drop(*(f"__of_{c}" for c in (*keys, at)))
+    within = Window.partitionBy(*group, "__second").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn(name, F.sum("__v").over(within) + F.col("__before__day") + F.col("__before__second")).drop("__v", "__before__day", "__before__second")
+
+
 def key_usage(requests: DataFrame, per_key: int) -> DataFrame:
     """Usage and status of each key; a key that ever answered 402 or 403 is exhausted."""
     used = requests.groupBy("key").agg(F.count(F.lit(1)).alias("usage"), F.bool_or(F.col("status").isin(402, 403)).alias("refused"))
@@ -79,8 +106,20 @@ def totals(queries: DataFrame) -> DataFrame:
     return out.select("job", "keyword", "found", "inserted", "queries", F.greatest(F.col("found") - F.col("inserted"), F.lit(0)).alias("not_inserted"), (F.col("eligible") - F.col("inserted")).alias("eligible_duplicates"))
 
 
+def inserted_by_site(posts: DataFrame, sites: DataFrame) -> DataFrame:
+    """Posts inserted per site of sites(site), 0 where there are none."""
+    counts = posts.groupBy("site").agg(F.count(F.lit(1)).alias("inserted"))
+    return sites.select("site").distinct().join(counts, "site", "left").select("site", F.coalesce("inserted", F.lit(0)).alias("inserted"))
+
+
+def with_exceptions(outcomes: DataFrame, exceptions: DataFrame, sites: list[str]) -> DataFrame:
+    """A10: outcomes(site, keyword, outcome) and a failure of every site for each keyword of exceptions(keyword) that broke off as a whole."""
+    lost = exceptions.select(F.explode(F.array(*map(F.lit, sites))).alias("site"), "keyword", F.lit("failed").alias("outcome"))
+    return outcomes.select("site", "keyword", "outcome").unionByName(lost)
+
+
 def site_failures(outcomes: DataFrame, limit: float = 0.15) -> DataFrame:
-    """Per site: keywords that failed or were blocked at least once, queries, fail rate (0 without queries) and whether it is above the limit."""
+    """Per site: keywords that failed or were blocked at least once, queries, fail rate (0 without queries) and whether it is above the limit."""
     bad = F.col("outcome").isin("failed", "blocked")
     out = outcomes.groupBy("site").agg(F.countDistinct(F.when(F.col("outcome") == "failed", F.col("keyword"))).alias("failed"), F.countDistinct(F.when(F.col("outcome") == "blocked", F.col("keyword"))).alias("blocked"), F.count(F.lit(1)).alias("queries"), F.count_if(bad).alias("bad"))
     share = F.coalesce(rate(F.col("bad"), F.col("queries")), F.lit(0.0))
@@ -88,10 +127,32 @@ def site_failures(outcomes: DataFrame, limit: float = 0.15) -> DataFrame:
 
 
 def run_close(items: DataFrame) -> DataFrame:
-    """Closing row of each run in both conventions: all raw results against what was inserted, ok unless an item failed."""
+    """A13, backfills: closing row of each run: all raw results against what was inserted, ok unless an item failed. run_close_by_site() has the convention of jobs."""
     return items.groupBy("run_id").agg(F.sum("raw").alias("discovered"), F.sum("inserted").alias("scraped"), (~F.bool_or(F.col("status") == "failed")).alias("ok")).withColumn("status", F.when(F.col("ok"), "completed").otherwise("failed"))
 
 
+def run_close_by_site(items: DataFrame, failures: DataFrame) -> DataFrame:
+    """A13, jobs: closing row of each run of items(run_id, site, inserted): what was inserted counts as discovered, ok unless failures(site) names its site."""
+    bad = failures.select("site").distinct().withColumn("bad", F.lit(True))
+    own = items.groupBy("run_id", "site").agg(F.sum("inserted").alias("discovered")).join(bad, "site", "left")
+    return own.select("run_id", "site", "discovered", F.col("bad").isNull().alias("ok"), F.when(F.col("bad").isNull(), "completed").otherwise("failed").alias("status"))
+
+
+def closing_events(closed: DataFrame, at: Column) -> DataFrame:
+    """The event that closes each run of run_close(), to be appended to the log of open_runs()."""
+    return closed.select("run_id", "status", F.lit(1).cast("long").alias("seq"), "discovered", at.alias("completed_at"))
+
+
+def report(rows: DataFrame) -> DataFrame:
+    """A2, O2: the six counters by tier, province and window, in order of window, tier, province."""
+    return sums(rows, ["window", "tier", "province"]).orderBy("window", "tier", "province")
+
+
+def done_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Pages done by keys (none: one row), from the latest state of each page."""
+    return pages.groupBy(*keys).agg(F.count_if(F.col("status") == "done").alias("completed_pages"))
+
+
 def latest(events: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The current state of an append-only log: the event of highest seq of each key."""
     rest = [c for c in events.columns if c not in keys]

@@ -13,6 +13,7 @@ SOLVE_REASONS = ["answer_controls_unavailable", "answer_fill_failed", "answer_ve
 LABEL_OUTCOMES = ["audio_control_enabled", "audio_control_disabled", "audio_control_not_visible", "audio_control_unavailable", "challenge_unavailable", "hard_block", "no_captcha", "navigation_failed"]
 KINDS = ["private", "google_public", "public"]
 KNOWN = ["solved", *CAPTURE_REASONS, *SOLVE_REASONS]
+MOST_CATEGORIES = 1000
 
 
 def seconds(ts: Column) -> Column:
@@ -61,8 +62,11 @@ def histogram(events: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def zero_filled(rows: DataFrame, categories: DataFrame, keys: DataFrame, key: str, value: str) -> DataFrame:
-    """N of every category for every key, 0 where there is none; categories and keys are dimensions."""
-    grid = keys.select(key).distinct().crossJoin(F.broadcast(categories.select(value)))
+    """N of every category for every key, 0 where there is none. The categories, at most MOST_CATEGORIES, fan out in place."""
+    names = [r[value] for r in categories.select(value).distinct().limit(MOST_CATEGORIES + 1).collect()]
+    if len(names) > MOST_CATEGORIES:
+        raise ValueError(f"more than {MOST_CATEGORIES} categories")
+    grid = keys.select(key).distinct().withColumn(value, F.explode(F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")))
     return grid.join(histogram(rows, [key], value), [key, value], "left").select(key, value, F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -73,6 +77,42 @@ def label_verdict(outcomes: DataFrame, key: str, least: int = 3) -> DataFrame:
     return own.select(key, "enabled", F.when(F.col("enabled") >= least, "audio_reachable").when(F.col("seen") & (F.col("enabled") == 0), "audio_blocked").otherwise("inconclusive").alias("verdict"))
 
 
+def failure_outcome(kind: Column) -> Column:
+    """What a query's last error makes of it: blocked by a challenge, else failed; null, no error, is ok."""
+    return F.when(kind.isNull(), "ok").when(kind == "captcha", "blocked").otherwise("failed")
+
+
+def selected_labels(entries: DataFrame, most: int, requested: list[str] | None = None) -> DataFrame:
+    """The first `most` reportable labels of entries(ord, label, kind): none of kind rotating, each once at its first place, of those requested if any are."""
+    rows = entries.filter((F.col("kind") != "rotating") & safe_label(F.col("label")).isNotNull())
+    rows = rows if requested is None else rows.filter(F.col("label").isin(requested))
+    first = rows.groupBy("label").agg(F.min(F.struct("ord", "kind")).alias("f"))
+    return first.select("label", "f.kind", "f.ord").orderBy("ord", "label").limit(most)
+
+
+def require_labels(entries: DataFrame, labels: list[str]) -> DataFrame:
+    """The entries of exactly these labels; an error if one is missing or of kind rotating. At most one row per label reaches the driver."""
+    found = entries.filter(F.col("label").isin(labels))
+    told = found.groupBy("label").agg(F.bool_or(F.col("kind") == "rotating").alias("rotating")).collect()
+    if len(told) != len(set(labels)) or any(r["rotating"] for r in told):
+        raise ValueError("requested labels are unavailable or unsupported")
+    return found
+
+
+def snapshot(attempts: DataFrame, now: Column, rests: dict[str, int]) -> DataFrame:
+    """Label, kind, uses_today, active, blocked as of now, from attempts(label, kind, event, outcome, ts) up to then.
+
+    A label is active if its last event is an attempt whose result hasn't come, and blocked while it
+    rests after its last result.
+    """
+    past = attempts.filter(F.col("ts") <= now)
+    last = F.max_by(F.struct("event", "outcome", "ts"), F.struct("ts", "event"))
+    own = past.groupBy("label", "kind").agg(F.count_if((F.col("event") == "attempt") & (F.to_date("ts") == F.to_date(now))).alias("uses_today"), last.alias("l"), F.max_by(F.struct("outcome", "ts"), F.when(F.col("event") == "result", F.struct("ts", "outcome"))).alias("r"))
+    rest = F.coalesce(F.try_element_at(F.create_map(*(x for k, v in rests.items() for x in (F.lit(k), F.lit(v)))), F.col("r.outcome")), F.lit(0))
+    blocked = F.coalesce(seconds(F.col("r.ts")) + rest > seconds(now), F.lit(False)) & (rest > 0)
+    return own.select("label", "kind", "uses_today", (F.col("l.event") == "attempt").alias("active"), blocked.alias("blocked"))
+
+
 def ranked(attempts: DataFrame, day: Column) -> DataFrame:
     """Labels by kind: uses on the day, last use, rank among those of the kind (least used first)."""
     used = attempts.groupBy("kind", "label").agg(F.count_if(F.to_date("ts") == day).alias("uses"), F.max("ts").alias("last_used"))

@@ -9,6 +9,8 @@ from wayfind.functions import dates, text
 
 # Fixed value: page caps by tier where a profile has no depth table.
 PAGES_BY_TIER = {"A": 10, "B": 3, "C": 1}
+#: Windows of one plan: over ten years of single days.
+MOST_WINDOWS = 4000
 
 
 def chunk_places(places: DataFrame, per_query: int) -> DataFrame:
@@ -26,7 +28,7 @@ def chunk_places(places: DataFrame, per_query: int) -> DataFrame:
 
 def due_chunks(chunks: DataFrame, cadence: DataFrame, today: Column) -> DataFrame:
     """Chunks whose turn it is, with date_from and date_to; cadence(cadence, cadence_days, window_days) is a dimension."""
-    joined = chunks.join(F.broadcast(cadence), "cadence")
+    joined = chunks.join(cadence, "cadence")
     return joined.filter(dates.is_due(F.col("key"), F.col("cadence_days"), today)).withColumn("w", dates.window_back(today, F.col("window_days"))).select("key", "province", "cadence", "idx", "names", "w.date_from", "w.date_to")
 
 
@@ -59,9 +61,14 @@ def fan_out(jobs: DataFrame) -> DataFrame:
 def cross_plan(chunks: DataFrame, windows: DataFrame, intents: int) -> DataFrame:
     """Every chunk in every window with every intent, ordered by tier, window, key and intent, with a stable id.
 
-    windows is a dimension of a few rows per date range and is broadcast by the caller's choice; intents fan out in place.
+    windows is what dates.split_overlapping gives for one date range: its rows reach the driver, at
+    most MOST_WINDOWS of them, and fan out in place like the intents.
     """
-    crossed = chunks.crossJoin(F.broadcast(windows)).withColumn("intent", F.explode(F.sequence(F.lit(0), F.lit(intents - 1))))
+    spans = windows.select("content_from", "content_to").limit(MOST_WINDOWS + 1).collect()
+    if len(spans) > MOST_WINDOWS:
+        raise ValueError(f"more than {MOST_WINDOWS} windows")
+    literal = F.array(*(F.struct(F.lit(w["content_from"]).alias("content_from"), F.lit(w["content_to"]).alias("content_to")) for w in spans)) if spans else F.array().cast("array<struct<content_from:date,content_to:date>>")
+    crossed = chunks.withColumn("w", F.explode(literal)).select("*", "w.*").drop("w").withColumn("intent", F.explode(F.sequence(F.lit(0), F.lit(intents - 1))))
     crossed = crossed.withColumn("item_id", F.concat_ws("|", "key", F.col("intent").cast("string"), F.date_format("content_from", "yyyy-MM-dd"), F.date_format("content_to", "yyyy-MM-dd")))
     return crossed.orderBy("tier", "content_from", "key", "intent")
 
@@ -73,6 +80,60 @@ def with_bodies(chunks: DataFrame, budget: int = text.WORD_BUDGET) -> DataFrame:
     return chunks.withColumn("groups", groups).withColumn("bodies", made).withColumn("dropped", F.when(F.col("groups").isNull(), "over_budget"))
 
 
+def query_bodies(rows: DataFrame, budget: int = text.WORD_BUDGET) -> DataFrame:
+    """One row per query body of rows(..., site, use_legacy, tier, names, supported, intents, literal, negatives), with `branch`.
+
+    Rows of a legacy profile get its one text (none on a site that it doesn't know); the others the
+    bodies of their places, none on a site that the profile doesn't support or where none fits the budget.
+    """
+    legacy = F.array_compact(F.array(text.legacy_text(F.col("site"), F.col("tier"), F.col("names"))))
+    groups = text.fitted_groups(F.col("site"), F.col("names"), F.col("intents"), F.col("literal"), F.col("negatives"), budget)
+    own = F.flatten(F.transform(groups, lambda g: text.bodies(F.col("site"), g, F.col("intents"), F.col("literal"), F.col("negatives"), budget)))
+    supported = F.array_contains("supported", F.col("site"))
+    made = F.when(F.col("use_legacy"), legacy).when(supported, own)
+    return rows.withColumn("branch", F.when(F.col("use_legacy"), "legacy").otherwise("chunk")).select("*", F.posexplode(made).alias("body_no", "text"))
+
+
+def window_queries(windows: DataFrame, sites: list[str], job_type: Column, time_filter: Column, split_days: Column, budget: int = text.WORD_BUDGET) -> DataFrame:
+    """Every query of every window, site, body and date chunk: windows(..., use_legacy, tier, names, supported, intents, literal, negatives, date_from, date_to).
+
+    All fans out in place, so the only rows that move are those of the windows.
+    """
+    rows = windows.withColumn("site", F.explode(text.strings(sites)))
+    rows = query_bodies(rows, budget).withColumn("time_filter", time_filter)
+    return fan_out(rows.withColumn("split", split_for(job_type, F.col("time_filter"), split_days)).withColumn("mode", mode_for(job_type)))
+
+
+def filtered(items: DataFrame, tiers: list[str] | None = None, provinces: list[str] | None = None, windows: list[int] | None = None) -> DataFrame:
+    """Items of the given tiers, provinces and window indexes; None takes all, an empty list of windows is an error."""
+    if windows is not None and not windows:
+        raise ValueError("no windows")
+    for name, wanted in (("tier", tiers), ("province", provinces), ("window", windows)):
+        items = items if wanted is None else items.filter(F.col(name).isin(wanted))
+    return items
+
+
+def cut_off(queries: DataFrame, order: list[str], most: int, prefix: str = "probe-") -> DataFrame:
+    """The first `most` queries in generation order, with an id by place. Spark keeps `most` rows per task before they meet."""
+    first = queries.orderBy(*order).limit(most)
+    return first.withColumn("id", F.concat(F.lit(prefix), F.row_number().over(Window.orderBy(*order)).cast("string")))
+
+
+def samples(chunks: DataFrame, fallback: DataFrame, province: str) -> DataFrame:
+    """The first chunk of the province in tier A, and the first of tier C, from the fallback where the plan has none; chunks(key, province, tier, ord)."""
+    first = lambda rows, rank: rows.agg(F.min(F.struct(F.lit(rank).alias("rank"), "ord", "key", "province", "tier")).alias("s"))
+    own = first(chunks.filter((F.col("province") == province) & (F.col("tier") == "A")), 0).filter("s is not null")
+    last = first(chunks.filter("tier = 'C'"), 0).unionByName(first(fallback.filter("tier = 'C'"), 1)).agg(F.min("s").alias("s")).filter("s is not null")
+    return own.unionByName(last).select("s.key", "s.province", "s.tier")
+
+
+def coverage(chunks: DataFrame, cadence: DataFrame, today: Column, keys: list[str]) -> DataFrame:
+    """Places, and those of chunks that are due today, by keys (none: one row)."""
+    joined = chunks.join(cadence, "cadence")
+    due = dates.is_due(F.col("key"), F.col("cadence_days"), today)
+    return joined.groupBy(*keys).agg(F.coalesce(F.sum(F.size("names")), F.lit(0)).alias("places"), F.coalesce(F.sum(F.when(due, F.size("names")).otherwise(0)), F.lit(0)).alias("due"))
+
+
 def credit_estimate(items: DataFrame) -> DataFrame:
     """Per tier the chunks, query groups and the most requests that paging may take, from items(tier, key)."""
     cap = text.table(PAGES_BY_TIER)[F.col("tier")]
@@ -81,13 +142,13 @@ def credit_estimate(items: DataFrame) -> DataFrame:
 
 def load_rollup(chunks: DataFrame, cadence: DataFrame, intents: int) -> DataFrame:
     """Chunks and queries per day by tier and cadence, with totals per tier and overall (null keys)."""
-    joined = chunks.join(F.broadcast(cadence), "cadence")
+    joined = chunks.join(cadence, "cadence")
     return joined.rollup("tier", "cadence").agg(F.count(F.lit(1)).alias("chunks"), F.round(F.sum(F.lit(float(intents)) / F.col("cadence_days")), 6).alias("queries_per_day"))
 
 
 def place_provinces(places: DataFrame, provinces: DataFrame, strict: bool = True) -> DataFrame:
     """Places with their province's columns; a place of an unknown province is an error, or dropped if not strict."""
-    known = places.join(F.broadcast(provinces), "province", "left" if strict else "inner")
+    known = places.join(provinces, "province", "left" if strict else "inner")
     if not strict:
         return known
     missing = F.col("tier").isNull()

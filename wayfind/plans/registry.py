@@ -31,6 +31,10 @@ VIEWS = {
     "v_province": """select concat('p', cast(n_nationkey as varchar(4))) as province, n_name as name, case n_nationkey % 3 when 0 then 'A' when 1 then 'B' else 'C' end as tier from nation""",
     "v_keyword": """select n_nationkey as keyword_id, n_name as keyword, concat('p', cast(n_nationkey + n_regionkey as varchar(4))) as province, n_nationkey % 7 <> 0 as is_enabled from nation""",
     "v_cadence": """select 'core' as cadence, 4 as cadence_days, 8 as window_days union all select 'mid', 8, 12 union all select 'long', 14, 18""",
+    "v_platform": """select cast(r_regionkey + 1 as integer) as platform_id, case r_regionkey when 0 then 'facebook.com' when 1 then 'instagram.com' when 2 then 'x.com' when 3 then 'tiktok.com' else 'threads.com' end as domain from region""",
+    "v_job_item": """select o_orderkey as item, concat('p', cast(o_custkey % 35 as varchar(4))) as province, cast(o_orderkey % 7 as integer) as w, case o_orderkey % 4 when 0 then 'facebook.com' when 1 then 'instagram.com' when 2 then 'tiktok.com' else 'x.com' end as site, case o_orderkey % 3 when 0 then 'A' when 1 then 'B' else 'C' end as tier,
+        case when o_orderkey % 5 = 2 and o_orderkey % 7 <> 4 then case when o_custkey % 11 = 0 then 'failed' else 'ok' end when o_custkey % 13 = 0 then 'blocked' else 'ok' end as outcome, cast(o_custkey % 10 as bigint) as raw, cast(case when o_custkey % 10 > 3 then 3 else o_custkey % 10 end as bigint) as inserted from orders""",
+    "v_page_request": """select l_orderkey as item, cast(l_linenumber as integer) as page, cast(l_orderkey * 10 + l_linenumber as bigint) as request from lineitem""",
     "v_page": """select l_orderkey as item, l_linenumber as page, case min(l_returnflag) when 'A' then 'failed' else 'done' end as status, cast(max(l_quantity) as integer) % 13 as raw, count(*) as requests, max(l_quantity) < 40 as has_next, case l_orderkey % 3 when 0 then 'A' when 1 then 'B' else 'C' end as tier,
         cast(min(l_suppkey) % 4 as integer) as key_no, cast(min(l_partkey) % 5 as integer) as w from lineitem group by l_orderkey, l_linenumber""",
     "v_item": """select item, tier, case tier when 'A' then 7 when 'B' then 3 else 1 end as page_max from (select distinct item, tier from v_page) i""",

@@ -1,4 +1,4 @@
-"""Dimension scans, append logs, checkpoint tables, report sink."""
+"""Dimension scans, append logs, checkpoint tables, report sink."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from wayfind.operators.accounting import latest
 
 PLACE_SCHEMA = "profile string, ord int, name string, province string, cadence string"
 PROVINCE_SCHEMA = "province string, name string, tier string, places array<string>, hashtags array<string>"
+PLATFORM_SCHEMA = "platform_id int, domain string"
 CADENCE_SCHEMA = "profile string, cadence string, cadence_days int, window_days int"
 
 
@@ -17,10 +18,14 @@ def read_dimension(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def keywords_by_ids(table: DataFrame, ids: list[int]) -> DataFrame:
+    """S3, O3: the listed keywords, enabled or not, by id; an empty list gives none."""
+    return table.filter(F.col("keyword_id").isin(ids)).orderBy("keyword_id")
+
+
 def keywords(table: DataFrame, ids: list[int] | None = None) -> DataFrame:
-    """The listed keywords, enabled or not, or without a list all enabled ones, by id."""
-    chosen = table.filter(F.col("keyword_id").isin(ids)) if ids else table.filter("is_enabled")
-    return chosen.orderBy("keyword_id")
+    """The listed keywords, enabled or not, or without a list (or with an empty one) all enabled ones, by id."""
+    return keywords_by_ids(table, ids) if ids else table.filter("is_enabled").orderBy("keyword_id")
 
 
 def load_keywords(table: DataFrame, ids: list[int] | None = None) -> DataFrame:
@@ -48,6 +53,11 @@ def read_checkpoint(spark: SparkSession, path: str, fingerprint: str, schema: st
     return latest(own, ["item", "page"], "seq")
 
 
+def append_log(rows: DataFrame, path: str) -> None:
+    """Append events or request telemetry to a log table; readers take the latest of a key, so a repeated append does no harm there."""
+    rows.write.mode("append").parquet(path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """A report row per line as JSON, one file."""
     report.select(F.to_json(F.struct(*report.columns))).coalesce(1).write.text(path)

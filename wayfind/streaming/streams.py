@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from wayfind.operators import plan, results, triggers
+from wayfind.operators.accounting import latest
 
 
 def read_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -41,12 +42,41 @@ def job_tables(messages: DataFrame, profiles: list[str], default_profile: str, t
 
 def planned(jobs: DataFrame, texts: DataFrame) -> DataFrame:
     """Jobs (stream or table) to queries, through a static dimension texts(profile, site, text)."""
-    rows = jobs.withColumn("site", F.explode("sites")).join(F.broadcast(texts), ["profile", "site"])
+    rows = jobs.withColumn("site", F.explode("sites")).join(texts, ["profile", "site"])
     given = F.coalesce("time_filter", F.lit("custom"))
     rows = rows.select("job_id", "site", "text", "date_from", "date_to", plan.split_for(F.col("job_type"), given, F.coalesce("split_days", F.lit(4))).alias("split"), given.alias("time_filter"), plan.mode_for(F.col("job_type")).alias("mode"))
     return plan.fan_out(rows)
 
 
+def plan_table(messages: DataFrame, profiles: list[str], default_profile: str, texts: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """The queries of every accepted job of a stream as a table, a folder per micro-batch so that a replay overwrites its own."""
+
+    def sink(batch: DataFrame, number: int) -> None:
+        jobs = triggers.accepted(triggers.parsed(batch, profiles, default_profile))
+        planned(jobs, texts).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return run(messages, sink, checkpoint)
+
+
+def counted_table(counts: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """The windowed counters as a table, each micro-batch writing the windows that it changed, as they are then. read_counted() takes the last state of each."""
+
+    def sink(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return counts.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_counted(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """The counters that counted_table() wrote, one row per window and keys."""
+    return latest(spark.read.parquet(target), ["start", *keys], "batch").drop("batch")
+
+
+def write_done(messages: DataFrame, servers: str, topic: str) -> None:
+    """Done messages (key, value) of a batch to a topic."""
+    messages.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
 def post_table(stream: DataFrame, order: list[str], target: str, checkpoint: str) -> StreamingQuery:
     """T4: append the posts of a stream that the table doesn't hold yet: first wins in a batch, anti-join against all batches before.
 
