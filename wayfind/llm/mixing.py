@@ -140,15 +140,18 @@ def choose(documents: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     rows that repeat an id are told apart, and those alike in all but key may stand for each other.
     """
     order = ["h", "id", "size", "tie", "key"]
+    wanted, _ = materialise(wanted, "wanted")  # tables of known size: the documents aren't shuffled by a pattern that may hold a third of them
     rows = documents.join(wanted, "pattern").withColumn("whole", F.when(F.col("tokens") > 0, F.floor(F.col("flow") / F.col("tokens"))).otherwise(0))
     rows = rows.select("key", "id", "pattern", "size", "tie", "whole", (F.col("flow") - F.col("whole") * F.col("tokens")).alias("gap"), F.xxhash64(F.lit(seed), "id").alias("h"))
     rows = rows.withColumn("slice", F.shiftrightunsigned("h", 64 - SLICES.bit_length() + 1)).withColumn("s", F.when(F.col("size") <= F.col("gap"), F.col("size")).otherwise(0))
     rows = _running(rows, "pattern", order, "s").withColumn("more", (F.col("s") > 0) & (F.col("upto") <= F.col("gap")))
     rows, _ = materialise(rows.drop("s", "upto"), "mix")
     used = rows.groupBy("pattern").agg(F.sum(F.when(F.col("more"), F.col("size")).otherwise(0)).alias("used"))
+    used, _ = materialise(used, "used")
     rows = rows.join(used, "pattern").withColumn("gap", F.col("gap") - F.col("used")).drop("used")
     for _ in range(FILLERS):
         best = rows.filter("size > 0 and not more and size <= gap").groupBy("pattern").agg(F.max(F.struct("size", "h", "id", "tie", "key")).alias("best"))
+        best, _ = materialise(best, "best")
         rows = rows.join(best, "pattern", "left").withColumn("more", F.col("more") | F.coalesce(F.col("key") == F.col("best.key"), F.lit(False)))
         rows, _ = materialise(rows.withColumn("gap", F.col("gap") - F.coalesce("best.size", F.lit(0))).drop("best"), "mix")
     return rows.withColumn("taken", (F.col("whole") + F.col("more").cast("long")) * F.col("size"))
@@ -220,7 +223,7 @@ def take_by_source(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share:
     keyed = with_key(docs)
     mixed = _mixed(_measured(keyed, id_col, text_col, source_col), weights, share, max_copies, seed)
     times, _ = materialise(mixed.filter("taken > 0").select("key.f", "key.r", (F.col("taken") / F.col("size")).cast("int").alias("times")), "times")
-    taken = keyed.select("d", "key.f", "key.r").join(times, ["f", "r"]).withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    taken = keyed.select("d", "key.f", "key.r").join(times.hint("merge"), ["f", "r"]).withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
     return columns_of(taken, docs.columns)
 
 
