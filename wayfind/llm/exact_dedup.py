@@ -71,4 +71,4 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = keyed.select(F.col("d").getField(id_col).alias("id"), F.coalesce(F.col("d").getField(text_col), F.lit("")).alias("text"), "key.f", "key.r")
     rows = rows.select("id", "f", "r", F.length("text").alias("points"), normalise(F.col("text")).alias("content")).withColumn("digest", digest(F.col("content")))
     kept, _ = materialise(_combined(rows.withColumn("salt", F.spark_partition_id() % salts), [*_order(), F.col("f"), F.col("r")]).select("best.f", "best.r"), "kept")
-    return columns_of(keyed.select("d", "key.f", "key.r").join(kept, ["f", "r"], "left_semi"), docs.columns)
+    return columns_of(keyed.select("d", "key.f", "key.r").join(kept.hint("merge"), ["f", "r"], "left_semi"), docs.columns)

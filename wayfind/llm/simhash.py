@@ -153,25 +153,32 @@ def link_edges(reps: DataFrame, k: int, bucket_rows: int = BUCKET_ROWS) -> DataF
         rows, _ = materialise(_deal(rows.join(hot, ["mask", "value"], "left_semi"), masks), "dealt")
 
 
-def _bucket_edges(rows: DataFrame, k: int) -> DataFrame:
+def whole_groups(keys: list[str], f: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For mapInPandas over rows sorted by keys: f of many groups at a time, each of them whole."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
-        for batch in batches:  # sorted by bucket: what follows the last change of bucket waits for the next batch
-            key = batch[["mask", "value"]].to_numpy()
+        for batch in batches:  # what follows the last change of keys waits for the next batch
+            if not len(batch):
+                continue
+            key = batch[keys].to_numpy()
             change = np.flatnonzero((key[1:] != key[:-1]).any(axis=1))
-            before = held and (held[-1][["mask", "value"]].to_numpy()[-1] != key[0]).any() if len(batch) else False
-            if before:
-                yield edges_of(pd.concat(held))
+            if held and (held[-1][keys].to_numpy()[-1] != key[0]).any():
+                yield f(pd.concat(held))
                 held = []
             if len(change):
                 held.append(batch.iloc[: change[-1] + 1])
-                yield edges_of(pd.concat(held))
+                yield f(pd.concat(held))
                 held = [batch.iloc[change[-1] + 1 :]]
-            elif len(batch):
+            else:
                 held.append(batch)
         if held:
-            yield edges_of(pd.concat(held))
+            yield f(pd.concat(held))
+
+    return run
 
+
+def _bucket_edges(rows: DataFrame, k: int) -> DataFrame:
     def edges_of(rows: pd.DataFrame) -> pd.DataFrame:
         mask, value, fp, rep = (rows[c].to_numpy() for c in ("mask", "value", "fp", "rep"))
         fp = fp.view(np.uint64)
@@ -182,7 +189,7 @@ def _bucket_edges(rows: DataFrame, k: int) -> DataFrame:
         linked = root != np.arange(len(root))
         return pd.DataFrame({"u": rep[linked], "v": rep[root[linked]]})
 
-    return rows.repartition("mask", "value").sortWithinPartitions("mask", "value").mapInPandas(run, "u bigint, v bigint")
+    return rows.repartition("mask", "value").sortWithinPartitions("mask", "value").mapInPandas(whole_groups(["mask", "value"], edges_of), "u bigint, v bigint")
 
 
 def components_of(fps: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
