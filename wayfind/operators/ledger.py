@@ -40,11 +40,26 @@ def counters(events: DataFrame, keys: list[str]) -> DataFrame:
     out = events.groupBy(*keys).agg(
         n(F.col("event") == "offered").alias("offered"), n(F.col("event") == "attempt").alias("attempted"), n(solved).alias("solved"), n(result & (F.col("class") != "solved") & ~F.col("at_capture")).alias("failed"), n(captured).alias("capture_failed"),
         n(F.col("event") == "paid").alias("paid"), n(F.col("event") == "hard_block").alias("hard_blocks"),
-        F.expr("percentile_disc(0.5) within group (order by case when event = 'result' and not at_capture and duration_ms >= 0 then duration_ms end)").cast("long").alias("p50"),
-        F.expr("percentile_disc(0.95) within group (order by case when event = 'result' and not at_capture and duration_ms >= 0 then duration_ms end)").cast("long").alias("p95"),
         F.count(timed).alias("timed"), F.countDistinct(F.when(F.col("event") == "offered", label)).alias("offered_labels"), F.countDistinct(label).alias("labels"),
     )
-    return out.withColumn("solve_rate", F.round(F.try_divide(F.col("solved").cast("double"), F.col("offered")), 6))
+    out = out.withColumn("solve_rate", F.round(F.try_divide(F.col("solved").cast("double"), F.col("offered")), 6))
+    ranks = percentiles(events.withColumn("__ms", timed), keys, "__ms", {"p50": 0.5, "p95": 0.95})
+    if not keys:
+        return out.join(ranks)  # one row each
+    named = ranks.select(*(F.col(k).alias(f"__of_{k}") for k in keys), "p50", "p95")
+    return out.join(named, [out[k].eqNullSafe(named[f"__of_{k}"]) for k in keys], "left").drop(*(f"__of_{k}" for k in keys))
+
+
+def percentiles(rows: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """Nearest-rank percentiles of value by keys (none: one row), null values left out: the least value that covers its share of the rows.
+
+    Equal values are counted first, so that a group's rows never meet in one task, only its distinct values do.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    own = Window.partitionBy(*keys)
+    upto = own.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = counts.withColumn("__upto", F.sum("__n").over(upto)).withColumn("__all", F.sum("__n").over(own))
+    return told.groupBy(*keys).agg(*(F.min(F.when(F.col("__upto") >= F.ceil(F.col("__all") * q), F.col(value))).cast("long").alias(name) for name, q in wanted.items()))
 
 
 def gate(counts: DataFrame, target: int, least_rate: float = 0.6, most_p95: int = 60_000, least_labels: int = 3, clean: Column | None = None) -> DataFrame:

@@ -25,10 +25,12 @@ def with_reason(results: DataFrame, status: Column | None = None) -> DataFrame:
 
     Rules in order: no usable URL, advertising, no post id, not eligible, not accessible; null where all pass.
     """
-    out = once(results, "clean_url", urls.unwrap(F.col("url")))
-    out = once(out, "post_id", urls.post_id(F.col("clean_url"), F.col("site")))
-    reason = F.when(F.col("clean_url").isNull(), "bad_url").when(text.ad_flag(F.col("title"), F.col("snippet")), "ad").when(F.col("post_id").isNull(), "no_post_id").when(~urls.eligible(F.col("clean_url"), F.col("site")), "bad_pattern")
-    return once(out, "reject_reason", reason.when((status if status is not None else F.lit("accessible")) != "accessible", "inaccessible"))
+    out = once(results, "__link", urls.parts(urls.absolute(F.col("url"))))
+    out = once(out, "clean_url", urls.unwrapped(F.col("__link"))).drop("__link")
+    out = once(out, "__clean", urls.parts(F.col("clean_url")))
+    out = once(out, "post_id", urls.post_id_of(F.col("__clean"), F.col("site")))
+    reason = F.when(F.col("clean_url").isNull(), "bad_url").when(text.ad_flag(F.col("title"), F.col("snippet")), "ad").when(F.col("post_id").isNull(), "no_post_id").when(~urls.eligible_of(F.col("__clean"), F.col("site")), "bad_pattern")
+    return once(out, "reject_reason", reason.when((status if status is not None else F.lit("accessible")) != "accessible", "inaccessible")).drop("__clean")
 
 
 def reason_counts(results: DataFrame) -> DataFrame:
@@ -44,7 +46,7 @@ def first_wins(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def new_posts(posts: DataFrame, existing: DataFrame, order: list[str]) -> DataFrame:
     """Posts whose post_id, whatever the site, is not in existing; duplicates within posts collapse to the first."""
-    return first_wins(posts, "post_id", order).join(existing.select("post_id").distinct(), "post_id", "left_anti")
+    return first_wins(posts, "post_id", order).join(existing.select("post_id"), "post_id", "left_anti")
 
 
 def page_outcome(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfind.functions.text import normalize_site, trimmed
+from wayfind.functions.text import SPACE, normalize_site, trimmed
+from wayfind.operators.results import once
 
 # Allowed words of a message.
 JOB_TYPES = ["daily", "backfill", "manual", "reconciliation"]
@@ -14,7 +15,8 @@ SCHEMA = "job_id string, job_type string, search_sites array<string>, date_from
 
 
 def _date(c: Column) -> Column:
-    return F.when(trimmed(c).rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(trimmed(c), "yyyy-MM-dd"))
+    own = F.regexp_extract(c, rf"^{SPACE}*([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}){SPACE}*$", 1)
+    return F.when(own != "", F.try_to_date(own, "yyyy-MM-dd"))
 
 
 def parsed(messages: DataFrame, profiles: list[str], default_profile: str, value: str = "value") -> DataFrame:
@@ -23,33 +25,35 @@ def parsed(messages: DataFrame, profiles: list[str], default_profile: str, value
     A message that is no JSON object has the one error `payload`. Values of a wrong type are read as
     null by the schema and so break the rule of their field.
     """
-    m = messages.withColumn("m", F.from_json(F.col(value).cast("string"), SCHEMA))
-    f = lambda name: F.col(f"m.{name}")
-    word = lambda name: F.lower(trimmed(f(name)))
-    blank = lambda c: c.isNull() | (trimmed(c) == "")
-    sites = F.array_distinct(F.filter(F.transform(f("search_sites"), normalize_site), lambda s: s != ""))
-    first, last = _date(f("date_from")), _date(f("date_to"))
+    m = once(messages, "__m", F.from_json(F.col(value).cast("string"), SCHEMA))
+    raw = lambda name: F.col(f"__m.{name}")
+    blank = lambda c: c.isNull() | (c == "")
+    word = lambda name: F.lower(trimmed(raw(name)))
+    sites = F.array_distinct(F.filter(F.transform(raw("search_sites"), normalize_site), lambda s: s != ""))
+    named = {"job_id": trimmed(raw("job_id")), "job_type": word("job_type"), "sites": sites, "date_from": _date(raw("date_from")), "date_to": _date(raw("date_to")), "profile": word("search_profile"), "time_filter": word("time_filter")}
+    m = once(m, "__n", F.struct(*(c.alias(name) for name, c in named.items())))
+    n = lambda name: F.col(f"__n.{name}")
     whole = lambda c: c == F.floor(c)
-    profile = F.when(blank(f("search_profile")), F.lit(default_profile)).otherwise(word("search_profile"))
-    ids = f("keyword_ids")
+    profile = F.when(blank(n("profile")), F.lit(default_profile)).otherwise(n("profile"))
+    ids = raw("keyword_ids")
     rules = {
-        "job_id": blank(f("job_id")),
-        "job_type": ~F.coalesce(word("job_type").isin(JOB_TYPES), F.lit(False)),
-        "search_sites": F.coalesce(F.size(sites), F.lit(0)) <= 0,
-        "date_from": first.isNull(),
-        "date_to": last.isNull(),
+        "job_id": blank(n("job_id")),
+        "job_type": ~F.coalesce(n("job_type").isin(JOB_TYPES), F.lit(False)),
+        "search_sites": F.coalesce(F.size(n("sites")), F.lit(0)) <= 0,
+        "date_from": n("date_from").isNull(),
+        "date_to": n("date_to").isNull(),
         "search_profile": ~profile.isin(profiles),
-        "date_order": F.coalesce(last < first, F.lit(False)),
-        "time_filter": ~blank(f("time_filter")) & ~word("time_filter").isin(TIME_FILTERS),
+        "date_order": F.coalesce(n("date_to") < n("date_from"), F.lit(False)),
+        "time_filter": ~blank(n("time_filter")) & ~n("time_filter").isin(TIME_FILTERS),
         "keyword_ids": F.coalesce(F.exists(ids, lambda i: F.coalesce((i <= 0) | ~whole(i), F.lit(True))), F.lit(False)),
-        "split_days": F.coalesce((f("split_days") < 0) | ~whole(f("split_days")), F.lit(False)),
-        "max_pages": F.coalesce((f("max_pages") < 1) | (f("max_pages") > 10) | ~whole(f("max_pages")), F.lit(False)),
+        "split_days": F.coalesce((raw("split_days") < 0) | ~whole(raw("split_days")), F.lit(False)),
+        "max_pages": F.coalesce((raw("max_pages") < 1) | (raw("max_pages") > 10) | ~whole(raw("max_pages")), F.lit(False)),
     }
     broken = F.array_compact(F.array(*(F.when(rule, F.lit(name)) for name, rule in rules.items())))
-    object_ = F.trim(F.col(value).cast("string")).startswith("{") & F.col("m").isNotNull()
+    object_ = F.trim(F.col(value).cast("string")).startswith("{") & F.col("__m").isNotNull()
     return m.select(
-        *messages.columns, F.when(object_, broken).otherwise(F.array(F.lit("payload"))).alias("errors"), trimmed(f("job_id")).alias("job_id"), word("job_type").alias("job_type"), sites.alias("sites"), first.alias("date_from"), last.alias("date_to"), profile.alias("profile"),
-        F.when(~blank(f("time_filter")), word("time_filter")).alias("time_filter"), F.when(F.size(ids) > 0, F.array_distinct(F.transform(ids, lambda i: i.cast("long")))).alias("keyword_ids"), f("split_days").cast("int").alias("split_days"), f("max_pages").cast("int").alias("max_pages"),
+        *messages.columns, F.when(object_, broken).otherwise(F.array(F.lit("payload"))).alias("errors"), n("job_id").alias("job_id"), n("job_type").alias("job_type"), n("sites").alias("sites"), n("date_from").alias("date_from"), n("date_to").alias("date_to"), profile.alias("profile"),
+        F.when(~blank(n("time_filter")), n("time_filter")).alias("time_filter"), F.when(F.size(ids) > 0, F.array_distinct(F.transform(ids, lambda i: i.cast("long")))).alias("keyword_ids"), raw("split_days").cast("int").alias("split_days"), raw("max_pages").cast("int").alias("max_pages"),
     )
 
 

@@ -71,7 +71,7 @@ def _(t):
 @query("run_lookup", "select distinct tier, w, 'running' as status, true as known from v_page")
 def _(t):
     runs = tables.open_runs(t("v_page"), ["tier", "w"])
-    joined = t("v_page").join(F.broadcast(runs.select("tier", "w", "run_id", F.col("status").alias("run_status"))), ["tier", "w"], "left")
+    joined = t("v_page").join(runs.select("tier", "w", "run_id", F.col("status").alias("run_status")), ["tier", "w"], "left")
     return joined.select("tier", "w", F.col("run_status").alias("status"), F.col("run_id").isNotNull().alias("known")).distinct()
 
 

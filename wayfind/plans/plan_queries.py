@@ -43,9 +43,9 @@ def _(t):
     return t("part").select("p_partkey", F.array_join(text.unique_terms(F.split(F.concat_ws(" ", "p_name", "p_type", "p_name"), " ")), "|").alias("terms"))
 
 
-@query("nfc", "select doc_id, nfc_normalize(concat('e', chr(769), left(text, 40))) as t from documents")
+@query("nfc", "select doc_id, nfc_normalize(concat('e', chr(769), text)) as t from documents")
 def _(t):
-    return t("documents").select("doc_id", text.nfc(F.concat(F.lit("é"), F.left("text", F.lit(40)))).alias("t"))
+    return t("documents").select("doc_id", text.nfc(F.concat(F.lit("é"), F.coalesce("text", F.lit("")))).alias("t"))
 
 
 @query("or_group", """select p_partkey, concat('("', replace(p_name, '"', '\\"'), '" OR "a\\"b")') as grp, concat(case when contains(p_type, ' ') then concat('-"', p_type, '"') else concat('-', p_type) end, ' -', p_brand, ' -given') as minus from part""")
@@ -91,18 +91,18 @@ def _(t):
 _LEGACY = f"""concat('("', array_to_string(list_slice(names, 1, case tier when 'A' then 4 when 'B' then 3 else 2 end), '" OR "'), '") "du lịch" {_NEG}')"""
 
 
-@query("legacy_text", f"""with c as (select n_nationkey, tier, {_SITE.format('n_nationkey')} as site, list(name order by ord) as names from (select c_nationkey as n_nationkey, tier, name, ord, row_number() over (partition by c_nationkey order by ord) as r from (select *, cast(replace(province, 'p', '') as bigint) as c_nationkey from v_place)) where r <= 6 group by 1, 2) select n_nationkey, site, {_LEGACY} as body from c where site <> 'x.com'""")
+@query("legacy_text", f"""with c as (select n_nationkey, tier, {_SITE.format('n_nationkey')} as site, list(name order by ord) as names from (select c_nationkey as n_nationkey, tier, name, ord, row_number() over (partition by c_nationkey order by ord) as r from (select *, cast(replace(province, 'p', '') as bigint) as c_nationkey from v_place)) group by 1, 2) select n_nationkey, site, {_LEGACY} as body from c where site <> 'x.com'""")
 def _(t):
     return _aliases(t).withColumn("site", site_of("n_nationkey")).select("n_nationkey", "site", text.legacy_text(F.col("site"), F.col("tier"), F.col("names")).alias("body")).filter("body is not null")
 
 
 def _aliases(t):
     rows = t("v_place").withColumn("n_nationkey", F.replace(F.col("province"), F.lit("p"), F.lit("")).cast("long"))
-    own = first_per_run(rows, "n_nationkey", ["ord"], 6).groupBy("n_nationkey", "tier").agg(F.sort_array(F.collect_list(F.struct("ord", "name"))).alias("x"))
+    own = rows.groupBy("n_nationkey", "tier").agg(F.sort_array(F.collect_list(F.struct("ord", "name"))).alias("x"))
     return own.select("n_nationkey", "tier", F.concat(F.transform("x", lambda p: p["name"]), text.strings(["Bà Nà Hills"])).alias("names"))
 
 
-@query("alias_limit", """select n_nationkey, least(n, case tier when 'A' then 4 when 'B' then 3 else 2 end) as aliases from (select cast(replace(province, 'p', '') as bigint) as n_nationkey, tier, least(count(*), 6) as n from v_place group by 1, 2)""")
+@query("alias_limit", """select n_nationkey, least(n, case tier when 'A' then 4 when 'B' then 3 else 2 end) as aliases from (select cast(replace(province, 'p', '') as bigint) as n_nationkey, tier, count(*) as n from v_place group by 1, 2)""")
 def _(t):
     return _aliases(t).select("n_nationkey", F.size(F.slice(F.array_except("names", text.strings(text.NOISY_ALIASES)), F.lit(1), text.table(text.ALIASES_BY_TIER)[F.col("tier")])).cast("long").alias("aliases"))
 
@@ -258,8 +258,7 @@ def _(t):
 
 @query("coverage", f"with c as ({_CHUNKS}), d as (select c.*, {_HASHED} as h, cadence_days from c join v_cadence using (cadence)) select cadence, cast(sum(len(names)) as bigint) as places, cast(sum(case when (date '2026-08-18' - date '1970-01-01' - {_HASH} % cadence_days) % cadence_days = 0 then len(names) else 0 end) as bigint) as due from d group by 1")
 def _(t):
-    joined = plan.chunk_places(t("v_place"), 3).join(F.broadcast(t("v_cadence")), "cadence")
-    return joined.groupBy("cadence").agg(F.sum(F.size("names")).alias("places"), F.sum(F.when(dates.is_due(F.col("key"), F.col("cadence_days"), today()), F.size("names")).otherwise(0)).alias("due"))
+    return plan.coverage(plan.chunk_places(t("v_place"), 3), t("v_cadence"), today(), ["cadence"])
 
 
 @query("quality_checks", """select 'tier' as rule, tier as key, count(*) as n from v_province group by 2 union all select 'duplicate', concat(province, '|', cadence), count(*) from v_place group by 2 having count(*) > 1 union all select 'orphan', province, count(*) from v_keyword where province not in (select province from v_province) group by 2""")

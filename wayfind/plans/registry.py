@@ -25,8 +25,8 @@ _URL = "case doc_id % 16 " + " ".join(
 
 VIEWS = {
     "v_result": f"""select doc_id, pid, doc_id % 8 as page, {_URL} as url, case when doc_id % 16 in (8, 9, 10) then 'instagram.com' when doc_id % 16 = 11 then 'x.com' when doc_id % 16 in (12, 13) then 'tiktok.com' when doc_id % 16 = 14 then 'threads.com' else 'facebook.com' end as site,
-        substring(text, 1, 80) as title, concat(substring(text, 81, 200), case doc_id % 7 when 0 then ' giá rẻ 500k' when 1 then ' tel 0912345678.' when 2 then ' 500đ ' when 3 then ' 𝐀𝐁' when 4 then ' ĐẶT TOUR' else '' end) as snippet
-        from (select doc_id, text, cast(10000000000 + doc_id % 16 + 16 * cast(floor(doc_id / 32) as bigint) as varchar(20)) as pid from documents) d""",
+        split_part(text, chr(10), 1) as title, concat(substring(text, length(split_part(text, chr(10), 1)) + 1), case doc_id % 7 when 0 then ' giá rẻ 500k' when 1 then ' tel 0912345678.' when 2 then ' 500đ ' when 3 then ' 𝐀𝐁' when 4 then ' ĐẶT TOUR' else '' end) as snippet
+        from (select doc_id, coalesce(text, '') as text, cast(10000000000 + doc_id % 16 + 16 * cast(floor(doc_id / 32) as bigint) as varchar(20)) as pid from documents) d""",
     "v_place": """select c_custkey as ord, c_name as name, concat('p', cast(c_nationkey as varchar(4))) as province, case c_mktsegment when 'AUTOMOBILE' then 'mid' when 'FURNITURE' then 'mid' when 'MACHINERY' then 'long' else 'core' end as cadence, case c_nationkey % 3 when 0 then 'A' when 1 then 'B' else 'C' end as tier from customer""",
     "v_province": """select concat('p', cast(n_nationkey as varchar(4))) as province, n_name as name, case n_nationkey % 3 when 0 then 'A' when 1 then 'B' else 'C' end as tier from nation""",
     "v_keyword": """select n_nationkey as keyword_id, n_name as keyword, concat('p', cast(n_nationkey + n_regionkey as varchar(4))) as province, n_nationkey % 7 <> 0 as is_enabled from nation""",

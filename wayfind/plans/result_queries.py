@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from wayfind.functions import text, urls
 from wayfind.operators import accounting, results
 from wayfind.plans.registry import query
 from wayfind.sources.html import result_blocks
+from wayfind.sources.scratch import scratch_path
 
 _CLEAN = "case when doc_id % 16 = 15 then concat('https://www.facebook.com/groups/x/posts/', pid) else regexp_replace(url, '#.*$', '') end"
 _ID = "case doc_id % 16 when 5 then concat('pfbid', pid, 'abc') when 8 then concat('C', pid) when 9 then concat('C', pid) when 10 then null when 13 then null when 14 then concat('D', pid) else pid end"
@@ -25,19 +24,23 @@ def _reasoned(t):
     return results.with_reason(t("v_result"))
 
 
+def _cleaned(t):
+    return results.once(t("v_result").select("doc_id", "url", "site"), "clean_url", urls.unwrap(F.col("url")))
+
+
 @query("unwrap_url", f"select doc_id, {_CLEAN} as clean_url from v_result")
 def _(t):
     return t("v_result").select("doc_id", urls.unwrap(F.col("url")).alias("clean_url"))
 
 
-@query("post_id", f"select doc_id, {_ID} as post_id from v_result where doc_id % 16 <> 15")
+@query("post_id", f"select doc_id, {_ID} as post_id from v_result")
 def _(t):
-    return t("v_result").filter("doc_id % 16 <> 15").select("doc_id", urls.post_id(F.col("url"), F.col("site")).alias("post_id"))
+    return _cleaned(t).select("doc_id", urls.post_id(F.col("clean_url"), F.col("site")).alias("post_id"))
 
 
-@query("eligible", f"select doc_id, {_OK} as eligible from v_result where doc_id % 16 <> 15")
+@query("eligible", f"select doc_id, {_OK} as eligible from v_result")
 def _(t):
-    return t("v_result").filter("doc_id % 16 <> 15").select("doc_id", urls.eligible(F.col("url"), F.col("site")).alias("eligible"))
+    return _cleaned(t).select("doc_id", urls.eligible(F.col("clean_url"), F.col("site")).alias("eligible"))
 
 
 @query("ad_flag", f"select doc_id, {_AD} as ad from v_result")
@@ -141,8 +144,7 @@ def _(t):
 
     rows = t("v_page").select(F.lit("f1").alias("fingerprint"), "item", F.col("page").cast("int").alias("page"), "status", F.col("requests").alias("seq"))
     spark = rows.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/checkpoints/{spark.sparkContext.applicationId}"
-    path = f"{folder}/ckpt-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "ckpt")
     write_checkpoint(rows, path)
     write_checkpoint(rows.withColumn("status", F.lit("done")).withColumn("seq", F.col("seq") + 1), path)
     return read_checkpoint(spark, path, "f1", "fingerprint string, item bigint, page int, status string, seq bigint")

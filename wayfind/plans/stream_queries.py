@@ -2,68 +2,86 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfind.functions import text
 from wayfind.operators import results
 from wayfind.plans.account_queries import _ERR, DEFAULT, PROFILES
 from wayfind.plans.registry import QUERIES, SQL, VIEWS, load
 from wayfind.plans.result_queries import _RES
+from wayfind.sources.scratch import scratch_path
 from wayfind.streaming import streams
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/checkpoints/{spark.sparkContext.applicationId}"
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 def _stream(spark: SparkSession, rows: DataFrame, files: int = 4) -> DataFrame:
     """rows written as a few files and read as a stream, one file per micro-batch."""
-    path = _folder(spark, "source")
+    path = scratch_path(spark, "source")
     rows.repartition(files).write.parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def stream_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = _folder(spark, "jobs")
-    streams.job_tables(_stream(spark, load(spark, sf_dir, "v_trigger")), PROFILES, DEFAULT, target, _folder(spark, "state")).awaitTermination()
+    target = scratch_path(spark, "jobs")
+    streams.job_tables(_stream(spark, load(spark, sf_dir, "v_trigger")), PROFILES, DEFAULT, target, scratch_path(spark, "state")).awaitTermination()
     jobs, rejects = spark.read.parquet(f"{target}/jobs"), spark.read.parquet(f"{target}/rejects")
     return jobs.select("o_orderkey", F.lit(True).alias("accepted")).unionByName(rejects.select("o_orderkey", F.lit(False).alias("accepted")))
 
 
 def stream_done(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = _folder(spark, "jobs")
-    streams.job_tables(_stream(spark, load(spark, sf_dir, "v_trigger")), PROFILES, DEFAULT, target, _folder(spark, "state")).awaitTermination()
+    target = scratch_path(spark, "jobs")
+    streams.job_tables(_stream(spark, load(spark, sf_dir, "v_trigger")), PROFILES, DEFAULT, target, scratch_path(spark, "state")).awaitTermination()
     return spark.read.parquet(f"{target}/done").select("key", F.get_json_object("value", "$.status").alias("status"), F.get_json_object("value", "$.job_type").alias("job_type"))
 
 
 def stream_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row of a post comes first depends on the micro-batches, so the posts are compared, each once."""
     rows = results.with_reason(load(spark, sf_dir, "v_result")).filter("reject_reason is null").select("doc_id", "post_id")
-    target = _folder(spark, "posts")
-    streams.post_table(_stream(spark, rows), ["doc_id"], target, _folder(spark, "state")).awaitTermination()
+    target = scratch_path(spark, "posts")
+    streams.post_table(_stream(spark, rows), ["doc_id"], target, scratch_path(spark, "state")).awaitTermination()
     return spark.read.parquet(target).groupBy("post_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _counted(name: str, keys: list[str], length: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        table = f"{name}_{uuid.uuid4().hex}"
+        target = scratch_path(spark, name)
         rows = _stream(spark, load(spark, sf_dir, "v_ledger").select("ts", "event", "duration_ms", "label", "kind"))
-        out = streams.windowed(rows, "ts", "3650 days", length, keys).writeStream.format("memory").queryName(table).outputMode("complete").trigger(availableNow=True).option("checkpointLocation", _folder(spark, "state")).start()
-        out.awaitTermination()
-        return spark.table(table)
+        streams.counted_table(streams.windowed(rows, "ts", "3650 days", length, keys), target, scratch_path(spark, "state")).awaitTermination()
+        return streams.read_counted(spark, target, keys)
 
     return run
 
 
-QUERIES |= {"stream_triggers": stream_triggers, "stream_done": stream_done, "stream_posts": stream_posts, "stream_progress": _counted("progress", [], "1 hour"), "stream_ledger": _counted("ledger", ["kind"], "1 day")}
+def stream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries of the accepted jobs, two texts per profile and site."""
+    sites = text.strings(sorted(set(text.SITE_ALIASES.values())))
+    texts = load(spark, sf_dir, "region").filter("r_regionkey < 2").select(F.explode(text.strings(PROFILES)).alias("profile"), F.concat(F.lit("w"), F.col("r_regionkey").cast("string")).alias("text")).withColumn("site", F.explode(sites))
+    target = scratch_path(spark, "plan")
+    streams.plan_table(_stream(spark, load(spark, sf_dir, "v_trigger")), PROFILES, DEFAULT, texts, target, scratch_path(spark, "state")).awaitTermination()
+    return spark.read.parquet(target).groupBy("job_id", "site", "text", "label").agg(F.count(F.lit(1)).alias("n"), F.min("query").alias("query"))
+
+
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of a stream, each once as far as the allowed lateness reaches, which here is all of it."""
+    rows = results.with_reason(load(spark, sf_dir, "v_result")).filter("reject_reason is null").select("post_id", F.lit("2026-01-01 00:00:00").cast("timestamp").alias("found_at"))
+    target = scratch_path(spark, "bounded")
+    kept = streams.bounded_posts(_stream(spark, rows), "found_at", "1 day")
+    kept.writeStream.format("parquet").option("path", target).option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("post_id string").parquet(target).groupBy("post_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES |= {"stream_triggers": stream_triggers, "stream_done": stream_done, "stream_posts": stream_posts, "stream_plan": stream_plan, "stream_bounded": stream_bounded, "stream_progress": _counted("progress", [], "1 hour"), "stream_ledger": _counted("ledger", ["kind"], "1 day")}
 _LEDGER = f"with v_ledger as ({VIEWS['v_ledger']})"
 _AGG = "count(*) as n, count(*) filter (where event = 'result') as results, sum(duration_ms)::bigint as duration_ms from v_ledger group by all"
 SQL |= {
     "stream_triggers": f"select o_orderkey, len(errors) = 0 as accepted from ({_ERR})",
     "stream_done": f"select concat('job-', o_orderkey) as key, 'done' as status, case o_orderkey % 6 when 0 then 'daily' when 1 then 'backfill' when 2 then 'manual' when 3 then 'reconciliation' else 'daily' end as job_type from ({_ERR}) where len(errors) = 0",
+    "stream_plan": f"""with j as (select o_orderkey as k from ({_ERR}) where len(errors) = 0), s as (select k, unnest(case k % 5 when 0 then ['facebook.com', 'x.com'] when 1 then ['instagram.com'] when 3 then ['tiktok.com', 'threads.com'] else ['x.com'] end) as site from j), x as (select k, site, concat('w', unnest([0, 1])) as text from s),
+        d as (select *, case when k % 6 in (0, 4) then 'ROLLING' else 'SPLIT' end as mode, case when k % 6 in (1, 3) then 1 when k % 19 = 1 then 7 else 4 end as step, 20 as days from x),
+        q as (select k, site, text, 'ROLLING' as label, date '2026-04-30' as a, null::date as b from d where mode = 'ROLLING'
+            union all select k, site, text, concat('P', i + 1), date '2026-05-01' + i * step - 1, least(date '2026-05-01' + i * step + step - 1, date '2026-05-20') + 1 from (select *, unnest(range(0, cast(floor(19 / step) as integer) + 1))::integer as i from d where mode = 'SPLIT'))
+        select concat('job-', k) as job_id, site, text, label, 1::bigint as n, concat('site:', site, ' ', text, case site when 'facebook.com' then ' -inurl:photo -inurl:photos' when 'instagram.com' then ' -inurl:explore -inurl:stories -inurl:accounts' when 'tiktok.com' then ' -inurl:tag -inurl:discover -inurl:search -site:shop.tiktok.com' else '' end, ' after:', a, case when b is null then '' else concat(' before:', b) end) as query from q""",
+    "stream_bounded": f"with v_result as ({VIEWS['v_result']}), {_RES} select post_id, 1::bigint as n from r where reason is null group by 1",
     "stream_posts": f"with v_result as ({VIEWS['v_result']}), {_RES} select post_id, 1::bigint as n from r where reason is null group by 1",
     "stream_progress": f"{_LEDGER} select date_trunc('hour', ts) as start, {_AGG}",
     "stream_ledger": f"{_LEDGER} select date_trunc('day', ts) as start, kind, {_AGG}",
