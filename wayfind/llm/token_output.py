@@ -26,7 +26,7 @@ from wayfind.sources.scratch import materialise
 
 BLOCK_TOKENS = 1 << 20
 #: Bounds the memory of a worker's table of pieces that it has seen, nothing else.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 900_000
 #: Documents that are cut into pieces at a time.
 SLICE = 500
 
