@@ -25,20 +25,19 @@ from wayfind.llm.common import text_or_empty
 from wayfind.sources.scratch import materialise
 
 BLOCK_TOKENS = 1 << 20
-#: Bounds the memory of a worker's table of pieces that it has seen, nothing else.
-CACHE_WORDS = 900_000
-#: Documents that are cut into pieces at a time.
+#: Bounds the memory of a worker's table of words and pieces that it has seen, nothing else.
+CACHE_WORDS = 1_300_000
+#: Documents that are cut into words at a time.
 SLICE = 500
 
 
-class WordEncoder:
-    """encode() of the tokenizers library with each distinct word or piece of a word encoded once.
+class WordEncoder(dict):
+    """encode() of the tokenizers library, each distinct word encoded once: the words seen, with their ids.
 
-    Holds for tokenizers that drop white space and never join what it separates. Texts of printable
-    ASCII, white space and Latin-1 letters, which no normalisation but lower-casing changes, are cut
-    where the tokenizer's own pattern cuts, and other texts at white space first. Pieces are encoded
-    many at a time, the ids that end a piece showing where to cut the result; words of other
-    characters go through the library one by one.
+    Holds for tokenizers that drop white space and never join what it separates. Words of printable
+    ASCII and Latin-1 letters, which no normalisation but lower-casing changes, are cut into pieces
+    where the tokenizer's own pattern cuts; ASCII pieces, which byte-level spelling leaves as they
+    are, go to the tokenizer's model itself. All else goes through the library.
     """
 
     #: Fixed value: the pattern in the tokenizer's file, for those characters.
@@ -54,50 +53,37 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.vocab_size = 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
-        suffix = spec["model"].get("end_of_word_suffix")
-        ends = [i for t, i in spec["model"]["vocab"].items() if suffix and t.endswith(suffix)]
-        self.last = np.zeros(self.vocab_size, bool)
-        self.last[ends] = True
         marks = {t["content"][0] for t in spec["added_tokens"]}
         self.simple = re.compile("[" + "".join(re.escape(chr(c)) for c in (*range(9, 14), *range(32, 127)) if chr(c) not in marks) + "À-ÖØ-öø-ÿ]*").fullmatch if self.by_pieces(spec) else lambda w: None
-        self.seen: dict[str, bytes] = {}
 
     def by_pieces(self, spec: dict) -> bool:
-        """Whether the tokenizer cuts as PIECES does and marks the ends of pieces."""
+        """Whether the tokenizer cuts as PIECES does and spells ASCII as it is."""
         split = [x["pattern"]["Regex"] for x in spec["pre_tokenizer"].get("pretokenizers", []) if x["type"] == "Split"]
-        return bool(self.last.any()) and split == [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]
+        return split == [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.PIECES.findall(t.lower()) if self.simple(t) else self._words(t) for t in texts]
-        fresh = set().union(*cut)
-        if len(self.seen) + len(fresh) > CACHE_WORDS:
-            self.seen = {}
-        self._learn([p for p in fresh if p not in self.seen])
-        return [b"".join(map(self.seen.__getitem__, c)) for c in cut]
-
-    def _words(self, text: str) -> list[str]:
         out = []
-        for w in map(bytes.decode, text.encode().split()):  # on ASCII white space only
-            out += self.PIECES.findall(w.lower()) if self.simple(w) else [w]
+        for t in texts:
+            if len(self) > CACHE_WORDS:
+                self.clear()
+            out.append(b"".join(map(self.__getitem__, t.lower().split() if self.simple(t) else self._words(t))))
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
-        simple = [p for p in pieces if self.simple(p)]
-        rest = [p for p in pieces if not self.simple(p)]
-        for at in range(0, len(rest), 4000):  # the library's results are large
-            own = rest[at : at + 4000]
-            for p, e in zip(own, self.tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True):
-                self.seen[p] = np.array(e.ids, "<u4").tobytes()
-        for at in range(0, len(simple), 10_000):
-            own = simple[at : at + 10_000]
-            ids = np.array(self.tokenizer.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(own):
-                raise ValueError("the tokenizer's pieces are not those expected")
-            raw, ends = ids.tobytes(), (ends * 4).tolist()
-            for p, a, b in zip(own, [0, *ends], ends, strict=False):
-                self.seen[p] = raw[a:b]
+    def _words(self, text: str) -> list[str]:
+        words = map(bytes.decode, text.encode().split())  # on ASCII white space only
+        return [w.lower() if self.simple(w) else w for w in words]
+
+    def __missing__(self, word: str) -> bytes:
+        pieces = self.PIECES.findall(word) if self.simple(word) else [word]
+        if len(pieces) > 1:
+            ids = b"".join(map(self.__getitem__, pieces))
+        elif word.isascii() and self.simple(word):
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(word)])
+        else:
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
