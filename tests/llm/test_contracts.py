@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -14,7 +15,7 @@ import tiktoken
 import xxhash
 from tokenizers import Tokenizer
 
-from wayfind.llm import byte_bpe, language_id, queries, substring_dedup
+from wayfind.llm import byte_bpe, language_id, queries, substring_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -185,3 +186,50 @@ def test_substring_of_odd_rows(spark):
     assert gone == {2: 8, None: 4}  # four sentences each; a stock phrase repeated in one document stays
     cut = substring_dedup.remove_spans(docs, substring_dedup.repeated_spans(docs, min_run=120))
     assert cut.columns == docs.columns and {(r["doc_id"], (r["text"] or "").strip()) for r in cut.collect() if r["doc_id"] in (2, 3, 5)} == {(2, ""), (3, ""), (5, "No. No. No.")}
+
+
+def test_op5_models_against_dictionaries(spark):
+    """Log-probabilities of both class models and their shared backoff, by plain dictionaries of characters and contexts."""
+    rnd = random.Random(7)
+    vocabulary = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 8))) for _ in range(60)]
+    texts = [" ".join(rnd.choice(vocabulary[20 * (k % 2) :]) for _ in range(30)) for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id bigint, toxic int"))
+
+    def steps(word):
+        marked = f"\x02{word}\x03"
+        return [(marked[max(0, i - toxicity.LONG) : i], marked[max(0, i - toxicity.SHORT) : i], marked[i]) for i in range(1, len(marked))]
+
+    pairs = [Counter(), Counter()]
+    for k, text in enumerate(texts):
+        for word in text.split():
+            pairs[k % 2].update(steps(word))
+    seen = set(pairs[0]) | set(pairs[1])
+    by_class = [Counter({(long, c): n for (long, _, c), n in p.items()}) for p in pairs]
+    strong = {long for long, c in by_class[0] | by_class[1] if max(p[long, c] for p in by_class) > 3}
+    contexts = {(short, long, c) for long, short, c in seen}
+
+    def single(c):
+        kinds = {(short, x) for _, short, x in seen}
+        return sum(x == c for _, x in kinds) / (len(kinds) + 1) or 1e-6
+
+    def backoff(long, short, c):
+        own, p = {(x, y) for s, x, y in contexts if s == short}, single(c)
+        if own:
+            p = (max(sum(y == c for _, y in own) - 0.75, 0) + 0.75 * len({y for _, y in own}) * p) / len(own)
+        if long in strong:
+            n = {y: by_class[0][x, y] + by_class[1][x, y] for x, y in by_class[0] | by_class[1] if x == long}
+            p = (max(n.get(c, 0) - 0.75, 0) + 0.75 * len(n) * p) / sum(n.values())
+        return p
+
+    def likelihood(counts, long, short, c):
+        n = {y: k for (x, y), k in counts.items() if x == long and long in strong}
+        left = {y: max(0.0, k - 0.75 - 1.5 * k**0.5) for y, k in n.items()}
+        total = sum(n.values())
+        share = min(1.0, max(toxicity.LEAST_LEFT, 1 - sum(left.values()) / max(1, total))) if long in strong else 1.0
+        return left.get(c, 0.0) / max(1, total) + share * backoff(long, short, c)
+
+    words = vocabulary[::3] + ["zzz", "ab", "é"]
+    expected = [sum(np.log(likelihood(by_class[1], *s)) - np.log(likelihood(by_class[0], *s)) for s in steps(w)) for w in words]
+    assert np.allclose(model.ratios(words), expected, atol=1e-9)
+    assert max(map(abs, expected)) > 1
