@@ -93,13 +93,16 @@ def test_checkpoint(spark, tmp_path):
 def test_running_credit_of_a_hot_day(spark):
     given = [(k, "d" if k % 9 else None, None if k % 50 == 0 else k // 3, None if k % 11 == 0 else "k") for k in range(300)]
     frame = spark.createDataFrame(given, "id int, day string, s int, key string").selectExpr("id", "day", "timestampadd(SECOND, s, timestamp_ntz '2026-01-01 00:00:00') + make_dt_interval(0, 0, 0, id / 1000) as ts", "key")
-    conf = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, "false")
+    # as for large tables: no partitions made one, and no side of a join broadcast, which one depends on what ends first
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in confs}
     try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
         got = accounting.running_credit(frame, 100, 50).withColumn("part", F.spark_partition_id()).collect()
     finally:
-        spark.conf.set(conf, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     assert len({r["part"] for r in got if r["day"] == "d" and r["key"] == "k"}) > 1
     named = {(r["id"]): (r["total"], r["key_total"], r["allowed"]) for r in got if r["ts"] is not None}
     for i, day, s, key in given:
