@@ -14,3 +14,26 @@ def test_throttle_and_plan(spark, tmp_path):
     jobs = jobs.select("job_id", "job_type", "profile", "sites", F.col("a").cast("date").alias("date_from"), F.col("b").cast("date").alias("date_to"), F.lit(None).cast("string").alias("time_filter"), F.lit(None).cast("int").alias("split_days"))
     texts = spark.createDataFrame([("vi", "x.com", "w")], "profile string, site string, text string")
     assert [r["query"] for r in streams.planned(jobs, texts).collect()] == ["site:x.com w after:2026-01-01"]
+
+
+def test_posts_come_once_over_batches(spark, tmp_path):
+    given = [[("a", 2), ("a", 1), ("b", 1), (None, 1)], [("b", 0), ("c", 5), ("a", 0)], [("c", 1)]]
+    schema = "post_id string, ord int"
+    for k, batch in enumerate(given):
+        spark.createDataFrame(batch, schema).coalesce(1).write.parquet(f"{tmp_path}/in{k}")
+
+    def posts(k):
+        return spark.readStream.schema(schema).parquet(f"{tmp_path}/in{k}")
+
+    for k in range(3):  # a source each, one batch after the other by the number that a checkpoint would give
+        sinks = []
+        streams.run, real = lambda stream, sink, checkpoint: sinks.append(sink), streams.run
+        try:
+            streams.post_table(posts(k), ["ord"], f"{tmp_path}/posts", f"{tmp_path}/state{k}")
+        finally:
+            streams.run = real
+        for _ in range(2):  # a replay gives the same
+            sinks[0](spark.read.schema(schema).parquet(f"{tmp_path}/in{k}"), k)
+    table = spark.read.schema(schema + ", batch int, post_bucket int").parquet(f"{tmp_path}/posts")
+    assert sorted((r["post_id"], r["ord"], r["batch"]) for r in table.collect()) == [("a", 1, 0), ("b", 1, 0), ("c", 5, 1)]
+    assert len({r["post_bucket"] for r in table.filter("post_id = 'a'").collect()}) == 1

@@ -77,17 +77,28 @@ def write_done(messages: DataFrame, servers: str, topic: str) -> None:
     messages.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
-def post_table(stream: DataFrame, order: list[str], target: str, checkpoint: str) -> StreamingQuery:
+def post_table(stream: DataFrame, order: list[str], target: str, checkpoint: str, buckets: int = 32) -> StreamingQuery:
     """T4: append the posts of a stream that the table doesn't hold yet: first wins in a batch, anti-join against all batches before.
 
     One query writes the table. A batch has a folder of its own, and reads only those of earlier batches, so a replay gives the same rows.
+    Below it posts lie by post_bucket, a hash of post_id. Of earlier batches only the buckets are read that
+    the batch has posts in, whose numbers, at most `buckets`, reach the driver; of them only the ids go on
+    that the batch has as well, so no earlier post is shuffled where the batch is small enough for
+    Spark to broadcast. `buckets` is for the life of the table.
     """
+    bucket = F.pmod(F.xxhash64("post_id"), F.lit(buckets)).cast("int").alias("post_bucket")
 
     def sink(batch: DataFrame, number: int) -> None:
-        known = batch.select("post_id").limit(0)
-        if number:
-            known = batch.sparkSession.read.schema("post_id string, batch bigint").parquet(target).filter(F.col("batch") < number).select("post_id")
-        results.new_posts(batch, known, order).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        rows = batch.select("*", bucket).persist()
+        try:
+            known = rows.select("post_id").limit(0)
+            if number:
+                own = [r["post_bucket"] for r in rows.select("post_bucket").distinct().collect()]
+                held = batch.sparkSession.read.schema("post_id string, batch bigint, post_bucket int").parquet(target).filter((F.col("batch") < number) & F.col("post_bucket").isin(own))
+                known = held.join(rows, "post_id", "left_semi").select("post_id")
+            results.new_posts(rows, known, order).repartition("post_bucket").write.mode("overwrite").partitionBy("post_bucket").parquet(f"{target}/batch={number}")
+        finally:
+            rows.unpersist()
 
     return run(stream, sink, checkpoint)
 
