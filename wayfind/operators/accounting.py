@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayfind.operators.ordered import previous
+
 COUNTERS = ["requests", "credit", "raw", "eligible", "inserted", "duplicate"]
 
 
@@ -40,26 +42,26 @@ def remaining(items: DataFrame, pages: DataFrame) -> DataFrame:
     return state.groupBy("tier").agg(F.count_if(todo).alias("todo"), F.count_if(todo & (F.col("n") == 0)).alias("unstarted"), F.count_if(todo & (F.col("n") == F.col("page_max"))).alias("capped"))
 
 
-def _running(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
-    """rows with the number of rows of the group up to each: counted per second first, so that no task ranks a whole group."""
-    keys = [*group, "__second"]
-    before = Window.partitionBy(*group).orderBy("__second").rowsBetween(Window.unboundedPreceding, -1)  # at most 86,400 rows a day
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.select(*(F.col(c).alias(f"__of_{c}") for c in keys), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.withColumn(name, F.count(F.lit(1)).over(within))
-    joined = ranked.join(counts, [ranked[c].eqNullSafe(counts[f"__of_{c}"]) for c in keys])
-    return joined.withColumn(name, F.col(name) + F.col("__before")).drop("__before", *(f"__of_{c}" for c in keys))
-
-
 def running_credit(requests: DataFrame, limit: int, per_key: int, days: list[str] = ["day"]) -> DataFrame:  # noqa: B006
     """requests(day, ts, key) with totals up to each, and whether it is within both limits.
 
-    Credits are counted per day, the unit that a budget is set for, so days rank in parallel, and within a day its seconds.
+    Credits are counted per day, the unit that a budget is set for. Days rank in parallel, and within a
+    day its seconds: what came before a second is added to it as one row for the day and one for each
+    key, so requests are shuffled once, by second, for both totals.
     """
     second = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
-    out = _running(requests.withColumn("__second", second), days, ["ts", "key"], "total")
-    out = _running(out, [*days, "key"], ["ts"], "key_total").drop("__second")
+    rows = requests.withColumn("__second", second)
+    own = rows.groupBy(*days, "key", "__second").agg(F.count(F.lit(1)).alias("__n"))
+    upto = lambda keys: F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy("__second").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # noqa: E731  at most 86,400 rows a day
+    of_key = own.select(*days, "key", "__second", F.lit(0).alias("__all"), upto([*days, "key"]).alias("__own"), F.lit(1).alias("__first"))
+    of_day = own.groupBy(*days, "__second").agg(F.sum("__n").alias("__n")).select(*days, "__second", upto(days).alias("__all"), F.lit(0).alias("__own"), F.lit(1).alias("__first"))
+    both = rows.select("*", F.lit(1).alias("__all"), F.lit(1).alias("__own"), F.lit(0).alias("__first"))
+    for before in (of_key, of_day):
+        both = both.unionByName(before, allowMissingColumns=True)
+    slices = Window.partitionBy(*days, "__second")
+    total = F.sum("__all").over(slices.orderBy(F.desc("__first"), "ts", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    key_total = F.sum("__own").over(Window.partitionBy(*days, "__second", "key").orderBy(F.desc("__first"), "ts").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = both.withColumn("total", total).withColumn("key_total", key_total).filter("__first = 0").select(*requests.columns, "total", "key_total")
     return out.withColumn("allowed", (F.col("total") <= limit) & (F.col("key_total") <= per_key))
 
 
@@ -126,9 +128,18 @@ def site_failures(outcomes: DataFrame, limit: float = 0.15) -> DataFrame:
     return out.select("site", "failed", "blocked", "queries", share.alias("fail_rate"), (share > limit).alias("job_failed"))
 
 
-def run_close(items: DataFrame) -> DataFrame:
-    """A13, backfills: closing row of each run: all raw results against what was inserted, ok unless an item failed. run_close_by_site() has the convention of jobs."""
-    return items.groupBy("run_id").agg(F.sum("raw").alias("discovered"), F.sum("inserted").alias("scraped"), (~F.bool_or(F.col("status") == "failed")).alias("ok")).withColumn("status", F.when(F.col("ok"), "completed").otherwise("failed"))
+def run_close(items: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """A13, backfills: closing row of each run of items(run_id, raw, inserted, status): all raw results against what was inserted.
+
+    ok unless an item failed or was skipped, or the whole backfill was stopped: runs(run_id, stopped)
+    tells that. A run of which no item is left has sums of 0. run_close_by_site() has the convention of jobs.
+    """
+    bad = F.coalesce(F.bool_or(F.col("status").isin("failed", "skipped")), F.lit(False))
+    own = items.groupBy("run_id").agg(F.sum("raw").alias("discovered"), F.sum("inserted").alias("scraped"), bad.alias("bad"))
+    if runs is not None:
+        told = runs.groupBy("run_id").agg(F.coalesce(F.bool_or("stopped"), F.lit(False)).alias("stopped"))
+        own = told.join(own, "run_id", "left").select("run_id", F.coalesce("discovered", F.lit(0)).alias("discovered"), F.coalesce("scraped", F.lit(0)).alias("scraped"), (F.coalesce("bad", F.lit(False)) | F.col("stopped")).alias("bad"))
+    return own.select("run_id", "discovered", "scraped", (~F.col("bad")).alias("ok"), F.when(F.col("bad"), "failed").otherwise("completed").alias("status"))
 
 
 def run_close_by_site(items: DataFrame, failures: DataFrame) -> DataFrame:
@@ -165,7 +176,8 @@ def resolved(attempts: DataFrame, cap: int) -> DataFrame:
     return own.select("query_id", F.when(F.col("won").isNotNull(), "ok").when(F.col("last") == "blocked", "blocked").otherwise("failed").alias("outcome"), F.coalesce("won", "attempts").cast("long").alias("used"))
 
 
-def pacing(requests: DataFrame, group: str, at: str, least_ms: int) -> DataFrame:
-    """Gap in milliseconds to the request before of the same group, and whether it is too short."""
-    gap = F.col(at) - F.lag(at).over(Window.partitionBy(group).orderBy(at))
-    return requests.withColumn("gap_ms", gap).withColumn("too_fast", F.coalesce(F.col("gap_ms") < least_ms, F.lit(False)))
+def pacing(requests: DataFrame, group: str, at: str, least_ms: int, slice_ms: int = 3_600_000) -> DataFrame:
+    """Gap in milliseconds to the request before of the same group, and whether it is too short; null where there is none before or no time."""
+    told = previous(requests, [group], at, slice_ms, "__before")
+    gap = (F.col(at) - F.col("__before")).alias("gap_ms")
+    return told.select(*requests.columns, gap).withColumn("too_fast", F.coalesce(F.col("gap_ms") < least_ms, F.lit(False)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfind.functions.text import safe_label
+from wayfind.operators.ordered import first_reached, micros, order_statistics, product, spaced
 
 # Reasons before anything was attempted, reasons of a failed attempt, outcomes of a label check, order of kinds.
 CAPTURE_REASONS = ["challenge_unavailable", "audio_unavailable", "audio_payload_unavailable", "audio_control_unavailable", "audio_control_not_visible", "audio_control_disabled", "audio_control_click_failed", "audio_response_timeout", "audio_response_http_error", "audio_payload_too_large", "audio_payload_body_unavailable", "proxy_blocked"]
@@ -13,7 +14,6 @@ SOLVE_REASONS = ["answer_controls_unavailable", "answer_fill_failed", "answer_ve
 LABEL_OUTCOMES = ["audio_control_enabled", "audio_control_disabled", "audio_control_not_visible", "audio_control_unavailable", "challenge_unavailable", "hard_block", "no_captcha", "navigation_failed"]
 KINDS = ["private", "google_public", "public"]
 KNOWN = ["solved", *CAPTURE_REASONS, *SOLVE_REASONS]
-MOST_CATEGORIES = 1000
 
 
 def seconds(ts: Column) -> Column:
@@ -51,15 +51,8 @@ def counters(events: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def percentiles(rows: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
-    """Nearest-rank percentiles of value by keys (none: one row), null values left out: the least value that covers its share of the rows.
-
-    Equal values are counted first, so that a group's rows never meet in one task, only its distinct values do.
-    """
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    own = Window.partitionBy(*keys)
-    upto = own.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    told = counts.withColumn("__upto", F.sum("__n").over(upto)).withColumn("__all", F.sum("__n").over(own))
-    return told.groupBy(*keys).agg(*(F.min(F.when(F.col("__upto") >= F.ceil(F.col("__all") * q), F.col(value))).cast("long").alias(name) for name, q in wanted.items()))
+    """Nearest-rank percentiles of value, whole numbers, by keys (none: one row), null values left out: the least value that covers its share of the rows."""
+    return order_statistics(rows, keys, value, wanted)
 
 
 def gate(counts: DataFrame, target: int, least_rate: float = 0.6, most_p95: int = 60_000, least_labels: int = 3, clean: Column | None = None) -> DataFrame:
@@ -77,11 +70,9 @@ def histogram(events: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def zero_filled(rows: DataFrame, categories: DataFrame, keys: DataFrame, key: str, value: str) -> DataFrame:
-    """N of every category for every key, 0 where there is none. The categories, at most MOST_CATEGORIES, fan out in place."""
-    names = [r[value] for r in categories.select(value).distinct().limit(MOST_CATEGORIES + 1).collect()]
-    if len(names) > MOST_CATEGORIES:
-        raise ValueError(f"more than {MOST_CATEGORIES} categories")
-    grid = keys.select(key).distinct().withColumn(value, F.explode(F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")))
+    """N of every category for every key, 0 where there is none; null keys and categories are left out."""
+    names = categories.select(value).distinct().filter(F.col(value).isNotNull())
+    grid = product(keys.select(key).distinct().filter(F.col(key).isNotNull()), names)
     return grid.join(histogram(rows, [key], value), [key, value], "left").select(key, value, F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -147,16 +138,14 @@ def daily_use(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("label", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("uses"))
 
 
-def stop_point(events: DataFrame, group: str, target: int, limit_s: int) -> DataFrame:
-    """Per group the first event at which the target of offers is reached or the time is up, the target tested first."""
-    order = Window.partitionBy(group).orderBy("ts", "event_id")
-    run = events.withColumn("offers", F.sum((F.col("event") == "offered").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    run = run.withColumn("elapsed", seconds(F.col("ts")) - seconds(F.min("ts").over(Window.partitionBy(group))))
-    why = F.when(F.col("offers") >= target, "target_reached").when(F.col("elapsed") >= limit_s, "time_limit")
-    return run.withColumn("stop_reason", why).filter("stop_reason is not null").groupBy(group).agg(F.min_by(F.struct("event_id", "stop_reason"), F.struct("ts", "event_id")).alias("s")).select(group, "s.*")
+def stop_point(events: DataFrame, group: str, target: int, limit_s: int, slice_s: int = 3600) -> DataFrame:
+    """Per group the first event at which the target of offers is reached or the time is up, the target tested first. Events without a time take no part."""
+    rows = events.filter("ts is not null").select(group, "event_id", "ts", "event", seconds(F.col("ts")).alias("at"))
+    found = first_reached(rows, group, ["ts", "event_id"], F.floor(F.col("at") / slice_s), F.col("event") == "offered", target, ("at", limit_s))
+    return found.select(group, "event_id", F.col("reason").alias("stop_reason"))
 
 
 def heartbeats(events: DataFrame, group: str, every_s: int) -> DataFrame:
-    """W14, batch form: one row per group and period of every_s seconds since the epoch: the first event in it."""
-    period = F.floor(seconds(F.col("ts")) / every_s)
-    return events.groupBy(group, period.alias("period")).agg(F.min("ts").alias("ts"), F.count(F.lit(1)).alias("events"))
+    """Group and ts of the events of which a heartbeat tells: the first of a group, and then each first one at least every_s seconds after the one told before."""
+    beats = spaced(events.select(group, micros(F.col("ts")).alias("t")), group, "t", every_s * 1_000_000)
+    return beats.select(group, F.timestamp_add("MICROSECOND", F.col("t"), F.lit("1970-01-01").cast("timestamp_ntz")).alias("ts"))

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfind.functions import dates, text
+from wayfind.operators.ordered import product
 
 # Fixed value: page caps by tier where a profile has no depth table.
 PAGES_BY_TIER = {"A": 10, "B": 3, "C": 1}
-#: Windows of one plan: over ten years of single days.
-MOST_WINDOWS = 4000
 
 
 def chunk_places(places: DataFrame, per_query: int) -> DataFrame:
@@ -61,14 +60,10 @@ def fan_out(jobs: DataFrame) -> DataFrame:
 def cross_plan(chunks: DataFrame, windows: DataFrame, intents: int) -> DataFrame:
     """Every chunk in every window with every intent, ordered by tier, window, key and intent, with a stable id.
 
-    windows is what dates.split_overlapping gives for one date range: its rows reach the driver, at
-    most MOST_WINDOWS of them, and fan out in place like the intents.
+    windows(content_from, content_to) is what dates.split_overlapping gives for one date range.
     """
-    spans = windows.select("content_from", "content_to").limit(MOST_WINDOWS + 1).collect()
-    if len(spans) > MOST_WINDOWS:
-        raise ValueError(f"more than {MOST_WINDOWS} windows")
-    literal = F.array(*(F.struct(F.lit(w["content_from"]).alias("content_from"), F.lit(w["content_to"]).alias("content_to")) for w in spans)) if spans else F.array().cast("array<struct<content_from:date,content_to:date>>")
-    crossed = chunks.withColumn("w", F.explode(literal)).select("*", "w.*").drop("w").withColumn("intent", F.explode(F.sequence(F.lit(0), F.lit(intents - 1))))
+    spans = windows.select("content_from", "content_to").distinct()
+    crossed = product(chunks, spans).withColumn("intent", F.explode(F.sequence(F.lit(0), F.lit(intents - 1))))
     crossed = crossed.withColumn("item_id", F.concat_ws("|", "key", F.col("intent").cast("string"), F.date_format("content_from", "yyyy-MM-dd"), F.date_format("content_to", "yyyy-MM-dd")))
     return crossed.orderBy("tier", "content_from", "key", "intent")
 

@@ -49,12 +49,21 @@ def new_posts(posts: DataFrame, existing: DataFrame, order: list[str]) -> DataFr
     return first_wins(posts, "post_id", order).join(existing.select("post_id"), "post_id", "left_anti")
 
 
-def page_outcome(pages: DataFrame) -> DataFrame:
-    """pages(url, html) with outcome: challenge, blocked, no_results, drift (headings but none of the result blocks) or ordinary."""
-    whole = F.lower(F.concat_ws("\n", F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))))
-    challenge = F.greatest(*(whole.contains(m) for m in CHALLENGE_MARKS))
-    html = F.coalesce("html", F.lit(""))
-    return pages.withColumn("outcome", F.when(html.rlike(HARD_BLOCK), "blocked").when(challenge, "challenge").when(html.rlike(NO_RESULTS), "no_results").when(html.contains("<h1") & ~html.contains("data-hveid"), "drift").otherwise("ordinary"))
+def page_marks(url: Column, body: Column, challenge: Column) -> Column:
+    """What the address and the visible text of a page say: blocked or challenge, no_results, or null; challenge tells whether its markup has one.
+
+    Being blocked is asked only of a page that is a challenge, and only its visible text is asked, so
+    an ordinary result that quotes such a phrase stays ordinary.
+    """
+    address, seen = F.lower(F.coalesce(url, F.lit(""))), F.coalesce(body, F.lit(""))
+    whole = F.concat(address, F.lit("\n"), F.lower(seen))
+    challenged = F.greatest(F.coalesce(challenge, F.lit(False)), *(whole.contains(m) for m in CHALLENGE_MARKS))
+    return F.when(challenged & seen.rlike(HARD_BLOCK), "blocked").when(challenged, "challenge").when(seen.rlike(NO_RESULTS), "no_results")
+
+
+def page_outcome(mark: Column, page: Column, h3: Column, fresh: Column) -> Column:
+    """Blocked, challenge; ordinary where there are fresh results; else no_results, drift (the first page has headings, but none that is found as a result) or empty."""
+    return F.when(mark.isin("blocked", "challenge"), mark).when(fresh > 0, "ordinary").when(mark == "no_results", "no_results").when((page == 1) & (h3 > 0), "drift").otherwise("empty")
 
 
 def has_next(count: Column, page: Column, page_max: Column, threshold: Column) -> Column:
@@ -71,6 +80,22 @@ def pages_taken(pages: DataFrame) -> DataFrame:
     return pages.join(limits, "query_id").filter(kept).drop("before", "after")
 
 
+def pages_read(pages: DataFrame) -> DataFrame:
+    """W7 with errors: pages(query_id, page, outcome, fresh, extracted, has_next) with the error of the query, null if it has none, and whether the page is taken.
+
+    The page that ends a run decides: an outcome of blocked or challenge is an error `captcha`, one of
+    drift `parse`, and then no page of the query is taken; pages_taken() has the other rules.
+    """
+    failed = F.when(F.col("outcome").isin("blocked", "challenge"), "captcha").when(F.col("outcome") == "drift", "parse")
+    last = F.when(~F.col("has_next") | (F.col("extracted") < RESULT_LIMIT), F.col("page"))
+    ends = F.when(failed.isNotNull() | (F.col("fresh") == 0), F.col("page"))
+    limits = pages.groupBy(F.col("query_id").alias("__of")).agg(F.min(F.least(ends, last)).alias("__end"), F.min(F.when(failed.isNotNull(), F.struct("page", failed.alias("error")))).alias("__fail"))
+    joined = pages.join(limits, pages["query_id"].eqNullSafe(limits["__of"]))
+    error = F.when(F.col("__fail.page") <= F.coalesce("__end", F.col("__fail.page")), F.col("__fail.error"))
+    kept = error.isNull() & (F.col("fresh") > 0) & (F.col("__end").isNull() | (F.col("page") <= F.col("__end")))
+    return joined.select(*pages.columns, error.alias("error"), kept.alias("taken"))
+
+
 def first_per_run(rows: DataFrame, run: str, order: list[str], n: int = 3) -> DataFrame:
     """The first n rows of each run. Spark keeps n rows per run and task before the shuffle (window group limit)."""
     return rows.withColumn("place", F.row_number().over(Window.partitionBy(run).orderBy(*order))).filter(F.col("place") <= n)

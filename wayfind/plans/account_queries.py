@@ -62,6 +62,15 @@ def _(t):
     return accounting.run_close(t("v_page").select((F.col("item") % 50).alias("run_id"), "raw", (F.col("raw") % 7).alias("inserted"), "status"))
 
 
+@query("run_close_stopped", "with i as (select item % 50 as run_id, raw, raw % 7 as inserted, case when status = 'done' and item % 29 = 0 then 'skipped' else status end as status from v_page where item % 3 <> 0) select run_id, coalesce(sum(raw), 0)::bigint as discovered, coalesce(sum(inserted), 0)::bigint as scraped, not (bool_or(r.run_id % 7 = 0) or coalesce(bool_or(i.status in ('failed', 'skipped')), false)) as ok, case when bool_or(r.run_id % 7 = 0) or coalesce(bool_or(i.status in ('failed', 'skipped')), false) then 'failed' else 'completed' end as status from (select distinct item % 50 as run_id from v_page) r left join i using (run_id) group by 1")
+def _(t):
+    """A13 with stopped backfills and skipped items."""
+    status = F.when((F.col("status") == "done") & (F.col("item") % 29 == 0), "skipped").otherwise(F.col("status"))
+    items = t("v_page").filter("item % 3 <> 0").select((F.col("item") % 50).alias("run_id"), "raw", (F.col("raw") % 7).alias("inserted"), status.alias("status"))
+    runs = t("v_page").select((F.col("item") % 50).alias("run_id")).distinct()
+    return accounting.run_close(items, runs.withColumn("stopped", F.col("run_id") % 7 == 0))
+
+
 @query("run_state", "select item % 50 as run_id, arg_max(status, item * 10 + page) as status, max(item * 10 + page) as seq from v_page group by 1")
 def _(t):
     events = t("v_page").select((F.col("item") % 50).alias("run_id"), "status", (F.col("item") * 10 + F.col("page")).alias("seq"))
@@ -165,7 +174,7 @@ def _outcomes(t):
 @query("zero_fill", f"with o as (select kind, list_extract([{_OUTCOMES}], cast(event_id % 7 + 1 as integer)) as outcome from v_ledger), g as (select kind, outcome from (select distinct kind from v_ledger), (select unnest([{_OUTCOMES}]) as outcome)) select g.kind, g.outcome, count(o.kind) as n from g left join o on o.kind = g.kind and o.outcome = g.outcome group by 1, 2")
 def _(t):
     rows = _outcomes(t)
-    categories = rows.limit(1).select(F.explode(text.strings(ledger.LABEL_OUTCOMES)).alias("outcome"))
+    categories = t("v_ledger").sparkSession.range(1).select(F.explode(text.strings(ledger.LABEL_OUTCOMES)).alias("outcome"))
     return ledger.zero_filled(rows, categories, rows, "kind", "outcome")
 
 
@@ -200,9 +209,9 @@ def _(t):
     return ledger.stop_point(t("v_ledger"), "label", 5, 864000)
 
 
-@query("heartbeat", "select label, cast(floor(floor(epoch(ts)) / 60) as bigint) as period, min(ts) as ts, count(*) as events from v_ledger group by 1, 2")
+@query("heartbeat", "with recursive h as (select label, min(ts) as ts from v_ledger group by 1 union all select h.label, min(v.ts) from h join v_ledger v on v.label = h.label and v.ts >= h.ts + interval 6 hour group by h.label, h.ts) select label, ts from h")
 def _(t):
-    return ledger.heartbeats(t("v_ledger"), "label", 60)
+    return ledger.heartbeats(t("v_ledger"), "label", 6 * 3600)
 
 
 @query("local_time", "select event_id, strftime(ts + interval 7 hour, '%Y-%m-%dT%H:%M:%S.%g+07:00') as local from events")

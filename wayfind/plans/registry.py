@@ -79,7 +79,8 @@ def query(name: str, sql: str | None = None):
         if sql:
             views = ", ".join(f"{v} as ({VIEWS[v]})" for v in _needed(sql))
             body = sql.strip()
-            SQL[name] = (f"with {views}, {body[5:]}" if body.lower().startswith("with ") else f"with {views} {body}") if views else body
+            start = next((x for x in ("with recursive ", "with ") if body.startswith(x)), "")
+            SQL[name] = f"{start or 'with '}{views}{', ' if start else ' '}{body[len(start):]}" if views else body
         return f
 
     return add

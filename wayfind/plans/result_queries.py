@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wayfind.functions import text, urls
 from wayfind.operators import accounting, results
 from wayfind.plans.registry import query
-from wayfind.sources.html import result_blocks
+from wayfind.sources.html import landed, result_blocks
 from wayfind.sources.scratch import scratch_path
 
 _CLEAN = "case when doc_id % 16 = 15 then concat('https://www.facebook.com/groups/x/posts/', pid) else regexp_replace(url, '#.*$', '') end"
@@ -86,11 +86,42 @@ def _(t):
     return _reasoned(t).groupBy("site").agg(accounting.rate(F.count_if(F.col("reject_reason").isNull()), F.count(F.lit(1))).alias("rate"))
 
 
-@query("page_outcome", """select page_id, case when page_id % 7 = 0 then 'blocked' when page_id % 7 = 1 then 'challenge' when page_id % 7 = 2 then 'no_results' when contains(html, '<h1') then 'drift' else 'ordinary' end as outcome from pages""")
+# Pages of made-up runs: four pages to a query, each with result blocks, headings, links and phrases by its number.
+_HAS = "case when k in (2, 3, 8, 10) then 10 when k = 9 then 7 when k in (0, 1, 4) then 3 else 0 end"
+_PAGES = f"""pg as (select page_id, page_id // 4 as query_id, page_id % 4 + 1 as page, page_id % 11 as k, {_HAS.replace("k ", "page_id % 11 ")} as n, page_id % 11 <> 10 as has_next from pages),
+    li as (select *, unnest(range(n)) as i from pg), lk as (select query_id, page, concat('https://x.com/u/status/', (query_id * 10 + case when k = 8 then page - 1 else page end) * 100 + i) as link from li),
+    fr as (select query_id, page, count(*)::integer as fresh from (select query_id, link, min(page) as page from lk group by 1, 2) group by 1, 2),
+    ou as (select pg.*, coalesce(fresh, 0) as fresh, case when k = 0 then 'blocked' when k in (1, 4) then 'challenge' when coalesce(fresh, 0) > 0 then 'ordinary' when k = 5 then 'no_results' when page = 1 and (k = 6 or n > 0) then 'drift' else 'empty' end as outcome from pg left join fr using (query_id, page))"""
+
+
+def _landed(t):
+    """The pages with their own markup, and before its end result blocks (one of them an advertisement, one link wrapped) and what makes for each outcome."""
+    k = F.col("page_id") % 11
+    query_id, page = F.floor(F.col("page_id") / 4), (F.col("page_id") % 4 + 1).cast("int")
+    number = lambda i: ((query_id * 10 + F.when(k == 8, page - 1).otherwise(page)) * 100 + i).cast("string")
+    link = lambda i: F.when(i == 1, F.concat(F.lit("/url?q=https%3A%2F%2Fx.com%2Fu%2Fstatus%2F"), number(i))).otherwise(F.concat(F.lit("https://x.com/u/status/"), number(i)))
+    n = F.when(k.isin(2, 3, 8, 10), 10).when(k == 9, 7).when(k.isin(0, 1, 4), 3).otherwise(0)
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.concat(F.lit("<div class='g tF2Cxc'><span><a href='"), link(i), F.lit("'><h3>T <b>"), i.cast("string"), F.lit("</b></h3></a></span><div class=VwiC3b>S<br>"), F.coalesce("url", F.lit("")), F.lit("</div></div>")))
+    ad = F.lit("<div class='tF2Cxc' data-text-ad='1'><a href='https://ad.example/1'><h3>Ad</h3></a></div>")
+    extra = F.when(k == 0, "<p>Please TRY again\n later</p>").when(k == 1, "<div data-sitekey='x'></div>").when(k == 2, "<p>they said: try again later</p>").when(k == 3, "<script>'unusual traffic'</script><p hidden>did not match any documents</p>").when(k == 4, "Unusual <i>TRAFFIC</i>").when(k == 5, "<h3>None</h3>It did not <b>match</b> any documents").when(k == 6, "<h3>Bare</h3>").otherwise("")
+    more = F.when(k == 10, "").when(k % 2 == 0, "<a id='pnnext' href='#'>&gt;</a>").otherwise("<a aria-label='Tiếp' href='#'>&gt;</a>")
+    own = F.concat(F.when(n > 0, F.concat(F.array_join(blocks, ""), ad)).otherwise(""), extra, more, F.lit("</body>"))
+    html = F.concat(F.split_part(F.coalesce("html", F.lit("")), F.lit("</body>"), F.lit(1)), own)
+    url = F.when(k == 0, "https://www.google.com/sorry/index").otherwise(F.col("url"))
+    return t("pages").select("page_id", query_id.alias("query_id"), page.alias("page"), url.alias("url"), html.alias("html"))
+
+
+@query("page_outcome", f"with {_PAGES} select query_id, page, outcome, n as extracted, fresh, has_next from ou")
+def _(t):
+    return landed(_landed(t)).select("query_id", "page", "outcome", "extracted", "fresh", "has_next")
+
+
+@query("landed_pages", f"""with recursive {_PAGES}, run as (select query_id, page, outcome, n, fresh, has_next, true as open from ou where page = (select min(page) from ou o where o.query_id = ou.query_id)
+        union all select o.query_id, o.page, o.outcome, o.n, o.fresh, o.has_next, true from run r join ou o on o.query_id = r.query_id and o.page = r.page + 1 where r.fresh > 0 and r.outcome = 'ordinary' and r.has_next and r.n >= 10),
+    er as (select query_id, max(case when outcome in ('blocked', 'challenge') then 'captcha' when outcome = 'drift' then 'parse' end) as error from run group by 1)
+    select ou.query_id, ou.page, error, (error is null and run.open is not null and run.fresh > 0) as taken from ou left join run using (query_id, page) join er on er.query_id = ou.query_id""")
 def _(t):
-    k = F.col("page_id") % 7
-    extra = F.when(k == 0, "Please try again later").when(k == 1, "Unusual TRAFFIC").when(k == 2, "did not match any documents").otherwise("")
-    return results.page_outcome(t("pages").withColumn("html", F.concat("html", extra))).select("page_id", "outcome")
+    return landed(_landed(t)).select("query_id", "page", "error", "taken")
 
 
 @query("take_while", """with p as (select item, page, raw % 5 as fresh, raw as extracted, has_next from v_page), s as (select item, min(case when fresh = 0 then page end) as b, min(case when not has_next or extracted < 10 then page end) as a from p group by 1) select item, page from p join s using (item) where (b is null or page < b) and (a is null or page <= a)""")
@@ -128,13 +159,10 @@ def _(t):
     return rows.select("doc_id").join(known, "doc_id", "left").select("doc_id", F.coalesce("plan_site", F.lit("unknown")).alias("plan_site")).unionByName(failed)
 
 
-@query("html_results")
+@query("html_results", f"with {_PAGES} select page_id, (i)::integer as pos, concat('T ', i) as title, link as url, concat('S ', trim(regexp_replace(coalesce(url, ''), '\\s+', ' ', 'g'))) as snippet from (select li.page_id, i, li.query_id, li.page, concat('https://x.com/u/status/', (li.query_id * 10 + case when k = 8 then page - 1 else page end) * 100 + i) as link, case when k = 0 then 'https://www.google.com/sorry/index' else p.url end as url from li join pages p using (page_id))")
 def _(t):
-    """Landed pages with three result blocks around each page's own markup, one of them an ad, one wrapped."""
-    link = lambda path: F.concat(F.lit(f"<a href='{path}"), F.col("page_id").cast("string"), F.lit("'>"))
-    block = lambda attrs, path, title: F.concat(F.lit(f"<div class='tF2Cxc'{attrs}>"), link(path), F.lit(f"<h3>{title}</h3></a><div class='VwiC3b'>"), F.left("url", F.lit(60)), F.lit("</div></div>"))
-    html = F.concat("html", block(" data-text-ad='1'", "https://ad.example/", "Ad"), block("", "https://x.com/u/status/", "One"), block("", "/url?q=https%3A%2F%2Fx.com%2Fu%2Fstatus%2F9", "Two"), block("", "https://x.com/u/status/", "Again"))
-    return result_blocks(t("pages").withColumn("html", html))
+    """Landed pages with result blocks in each page's own markup."""
+    return result_blocks(_landed(t))
 
 
 @query("ckpt_io")
