@@ -111,3 +111,53 @@ def test_running_credit_of_a_hot_day(spark):
             own = sum(x[3] == key for x in upto)
             assert named[i] == (len(upto), own, len(upto) <= 100 and own <= 50)
     assert len(got) == len(given)
+
+
+def test_catalog_of_a_file_in_several_tasks(spark, tmp_path):
+    lines = ["prose", "### list private"] + [f"h{k % 700}:1" for k in range(2000)] + ["## end"] + ["hidden:1"] * 300 + ["### list public"] + [f"g{k}:2" for k in range(500)] + ["link reset = a=b", "### unknown", "link reset=zz", "x:9"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "c.txt").write_text("\n".join(lines))
+    (tmp_path / "in" / "empty.txt").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        read = catalogs.read_lines(spark, f"{tmp_path}/in")
+        assert read.rdd.getNumPartitions() > 5 and read.select("split").distinct().count() > 5
+        got = rows(catalogs.sectioned(read, {"list private": "private", "list public": "public"}, ("link reset", "public")), "label", "value", "attribute")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    expected = [(f"private_{k + 1}", f"h{k}:1", None) for k in range(700)] + [(f"public_{k + 1}", f"g{k}:2", "a=b") for k in range(500)]
+    assert got == sorted(expected, key=repr)
+
+
+def test_checkpoint_compaction(spark, tmp_path):
+    schema = "fingerprint string, item string, page int, status string, seq bigint"
+    path = f"file://{tmp_path}/c"
+    now = lambda accepted=None: rows(tables.read_checkpoint(spark, path, "f", schema, accepted), "item", "page", "status")
+    state = lambda *r: tables.write_checkpoint(spark.createDataFrame(list(r), schema), path)
+    tables.compact_checkpoint(spark, path, schema)  # nothing to do
+    state(("f", "a", 1, "pending", 1), ("g", "z", 1, "done", 1))
+    state(("f", "a", 1, "done", 2), ("f", "b", 1, "pending", 1))
+    told = [("a", 1, "done"), ("b", 1, "pending")]
+    for _ in range(4):
+        assert now() == told
+        tables.compact_checkpoint(spark, path, schema)
+    assert now() == told and now(["g"]) == [*told, ("z", 1, "done")]
+    state(("f", "b", 1, "failed", 2), ("h", "y", 1, "done", 1))
+    for _ in range(3):
+        assert now() == [("a", 1, "done"), ("b", 1, "failed")]
+        tables.compact_checkpoint(spark, path, schema)
+    kept = spark.read.schema(schema).parquet(path)
+    assert kept.count() == 4  # one row a page, of all plans
+    with pytest.raises(ValueError):
+        tables.read_checkpoint(spark, path, "other", schema)
+    assert rows(tables.read_checkpoint(spark, path, "other", schema, ["h"]), "item") == [("y",)]
+
+
+def test_resume_fingerprints():
+    own = lambda **more: plan.resume_fingerprints(**({"profile": "en", "date_from": "2026-05-01", "date_to": "2026-07-31", "window_days": 14, "places_per_query": 3, "tiers": ["A"], "sites": ["x.com"], "page_max": {"A": 2}, "full_page": 8} | more))
+    first = own()
+    assert len(set(first)) == 3 and first[0] == own(page_max={"A": 9}, full_page=1)[0] and first[1] != own(page_max={"A": 9})[1]
+    assert first[2] == own(page_max={"A": 9})[2] != own(full_page=1)[2] and first[0] != own(sites=["tiktok.com"])[0]
+    usual = own(page_max={"A": 10, "B": 3, "C": 1})
+    assert usual[1] == usual[2]

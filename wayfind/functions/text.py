@@ -28,8 +28,10 @@ WORD_BUDGET = 32
 #: An ASCII word boundary; the JVM's \b takes all letters for word characters.
 B = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
 AD_LETTERS = r"[\x{1D400}-\x{1D7FF}]"
-AD_PRICE = rf"(?iu)[0-9]{{2,}}\s?(k|tr|đ|vnđ|vnd|nghìn|triệu|ngàn){B}"
-AD_PHONE = r"(^|[^0-9])0[0-9]{8,10}([^0-9]|$)"
+#: The first bytes of all these letters in UTF-8.
+AD_LETTERS_START = bytes([0xF0, 0x9D])
+AD_PRICE = rf"[0-9]{{2,}}\s?(k|tr|đ|vnđ|vnd|nghìn|triệu|ngàn){B}"
+AD_PHONE = r"(?<![0-9])0[0-9]{8,10}(?![0-9])"
 AD_TERMS = ["voucher", "combo", "khuyến mãi", "khuyến mại", "inbox", "booking", "đặt phòng", "đặt tour", "liên hệ", "ưu đãi", "giảm giá", "đặt ngay", "pass phòng", "còn phòng", "nhận đặt", "hotline", "giá rẻ", "zalo", "sđt", "báo giá"]
 AD_BOUNDED = {"deal": rf"{B}deal{B}", "sale": rf"{B}sale{B}", "ib": rf"ib{B}"}
 SAFE_LABEL = r"(?i)^[a-z][a-z0-9_-]{0,63}$"
@@ -159,21 +161,21 @@ def compose(site: Column, text: Column, date_from: Column, date_to: Column, time
 def ad_flag(title: Column, snippet: Column) -> Column:
     """Signs of advertising in title or snippet; blank text has none.
 
-    Terms are searched as plain strings in the lower-cased text, and the few that need a word boundary
-    by a pattern where they occur at all: a pattern of all terms would try each at every character.
+    The text is lower-cased once. Terms are searched as plain strings, and a pattern only where a plain
+    search has found what it begins with: a pattern of all terms would try each at every character.
     """
     text = F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(snippet, F.lit("")))
 
-    def terms(low: Column) -> Column:
+    def signs(low: Column) -> Column:
         found = F.lit(False)
         for term in AD_TERMS:
             found = found | low.contains(term)
         for part, pattern in AD_BOUNDED.items():
             found = found | (low.contains(part) & low.rlike(pattern))
-        return found
+        return found | low.rlike(AD_PRICE) | (low.contains("0") & low.rlike(AD_PHONE))
 
-    worded = F.get(F.transform(F.array(F.lower(text)), terms), F.lit(0))  # lower-cased once
-    return text.rlike(AD_LETTERS) | text.rlike(AD_PRICE) | text.rlike(AD_PHONE) | worded
+    worded = F.get(F.transform(F.array(F.lower(text)), signs), F.lit(0))
+    return worded | (F.contains(text.cast("binary"), F.lit(bytearray(AD_LETTERS_START))) & text.rlike(AD_LETTERS))
 
 
 def mask_credentials(text: Column) -> Column:

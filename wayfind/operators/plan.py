@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +34,27 @@ def due_chunks(chunks: DataFrame, cadence: DataFrame, today: Column) -> DataFram
     return joined.filter(dates.is_due(F.col("key"), F.col("cadence_days"), today)).withColumn("w", dates.window_back(today, F.col("window_days"))).select("key", "province", "cadence", "idx", "names", "w.date_from", "w.date_to")
 
 
+def profile_plan(profiles: DataFrame, places: DataFrame, cadences: DataFrame, provinces: DataFrame, today: Column, requested: int, overall: int) -> DataFrame:
+    """From tables of profiles, places and cadences the query bodies that are due: profile, key, province, cadence, tier, site, body, date_from, date_to, pages.
+
+    A profile says how many places go into a query, which sites it covers, its intents and negative
+    terms, overridden for single sites, and how many pages deep it goes by tier and cadence. Chunks
+    whose bodies fit no budget give none; a place of an unknown province is an error.
+    """
+    size = F.col("places_per_query")
+    order = Window.partitionBy("profile", "province", "cadence").orderBy("ord", "name")  # places of one province and cadence, a dimension
+    numbered = places.join(profiles.select("profile", "places_per_query"), "profile").withColumn("idx", F.floor((F.row_number().over(order) - 1) / size).cast("int"))
+    chunks = numbered.groupBy("profile", "province", "cadence", "idx").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "name"))), lambda p: p["name"]).alias("names"))
+    chunks = chunks.withColumn("key", F.concat_ws("|", "province", "cadence", F.col("idx").cast("string"))).join(cadences, ["profile", "cadence"])
+    due = chunks.filter(dates.is_due(F.col("key"), F.col("cadence_days"), today)).withColumn("w", dates.window_back(today, F.col("window_days"))).select("profile", "province", "cadence", "key", "names", "w.date_from", "w.date_to")
+    rows = place_provinces(due, provinces).join(profiles, "profile").withColumn("site", F.explode("sites"))
+    rows = rows.withColumn("negatives", F.coalesce(F.try_element_at("negatives_by_site", F.col("site")), F.col("negatives")))
+    made = text.fitted_groups(F.col("site"), F.col("names"), F.col("intents"), F.lit(None).cast("string"), F.col("negatives"), text.WORD_BUDGET)
+    bodies = F.flatten(F.transform(made, lambda g: text.bodies(F.col("site"), g, F.col("intents"), F.lit(None).cast("string"), F.col("negatives"), text.WORD_BUDGET)))
+    depth = F.try_element_at(F.try_element_at("page_depth", F.col("tier")), F.col("cadence"))
+    return rows.select("profile", "key", "province", "cadence", "tier", "site", F.explode(bodies).alias("body"), "date_from", "date_to", page_cap(depth, F.col("tier"), F.lit(requested), F.lit(overall)).alias("pages"))
+
+
 def page_cap(profile_cap: Column, tier: Column, requested: Column, overall: Column) -> Column:
     """The smallest of the profile's (or the tier's), the requested and the overall number of pages, at least 1."""
     return F.greatest(F.lit(1), F.least(F.coalesce(profile_cap, text.table(PAGES_BY_TIER)[tier]), requested, overall))
@@ -159,3 +183,14 @@ def require_known(wanted: DataFrame, known: DataFrame, key: str) -> DataFrame:
 def fingerprint(plan: DataFrame, fields: list[str]) -> DataFrame:
     """Plan with the SHA-256 of the JSON of fixed fields, in that order."""
     return plan.withColumn("fingerprint", F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256))
+
+
+def resume_fingerprints(profile: str, date_from: str, date_to: str, window_days: int, places_per_query: int, tiers: list[str], sites: list[str], page_max: dict[str, int], full_page: int) -> list[str]:
+    """The fingerprint of a backfill and the two older ones under which it may be resumed: with its paging limits, and with the usual caps by tier.
+
+    SHA-256 of the compact JSON of fixed fields, in that order. The present one leaves paging limits
+    out, so that a trial run can be resumed as a full one.
+    """
+    base = {"profile": profile, "range": {"from": date_from, "to": date_to}, "windowDays": window_days, "placesPerQuery": places_per_query, "tiers": tiers, "sites": sites}
+    older = [base | {"pageMaxByTier": caps, "pageFullThreshold": full_page} for caps in (page_max, PAGES_BY_TIER)]
+    return [hashlib.sha256(json.dumps(value, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest() for value in (base, *older)]

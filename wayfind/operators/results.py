@@ -20,15 +20,24 @@ def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select(*(c for c in rows.columns if c != name), F.explode(F.array(value)).alias(name))
 
 
+def _linked(results: DataFrame) -> DataFrame:
+    out = once(results, "__link", urls.parts(urls.absolute(F.col("url"))))
+    out = once(out, "clean_url", urls.unwrapped(F.col("__link"))).drop("__link")
+    out = once(out, "__clean", urls.parts(F.col("clean_url")))
+    return once(out, "post_id", urls.post_id_of(F.col("__clean"), F.col("site")))
+
+
+def with_link(results: DataFrame) -> DataFrame:
+    """results(url, site) with clean_url and post_id."""
+    return _linked(results).drop("__clean")
+
+
 def with_reason(results: DataFrame, status: Column | None = None) -> DataFrame:
     """results(url, site, title, snippet) with clean_url, post_id and the first failing rule as reject_reason.
 
     Rules in order: no usable URL, advertising, no post id, not eligible, not accessible; null where all pass.
     """
-    out = once(results, "__link", urls.parts(urls.absolute(F.col("url"))))
-    out = once(out, "clean_url", urls.unwrapped(F.col("__link"))).drop("__link")
-    out = once(out, "__clean", urls.parts(F.col("clean_url")))
-    out = once(out, "post_id", urls.post_id_of(F.col("__clean"), F.col("site")))
+    out = _linked(results)
     reason = F.when(F.col("clean_url").isNull(), "bad_url").when(text.ad_flag(F.col("title"), F.col("snippet")), "ad").when(F.col("post_id").isNull(), "no_post_id").when(~urls.eligible_of(F.col("__clean"), F.col("site")), "bad_pattern")
     return once(out, "reject_reason", reason.when((status if status is not None else F.lit("accessible")) != "accessible", "inaccessible")).drop("__clean")
 

@@ -8,6 +8,8 @@ from wayfind.functions import text
 from wayfind.operators import accounting, ledger, triggers
 from wayfind.plans.registry import query
 from wayfind.sources import catalogs, tables
+from wayfind.sources.scratch import scratch_path
+
 
 def _stats(t):
     return t("v_page").select("item", "page", "tier", "w", "status", "raw", "requests", F.col("requests").alias("credit"), (F.col("raw") * 2).alias("eligible"), F.col("raw").alias("inserted"), F.col("raw").alias("duplicate"), "key_no")
@@ -247,15 +249,36 @@ def _(t):
     return rows.select(F.get_json_object("fields", "$.event_id").cast("long").alias("event_id"), "level", "msg")
 
 
-@query("catalog_sections", """with l as (select s_nationkey as nk, s_suppkey as k, concat('h', s_suppkey % 37, ':80') as v from supplier), d as (select nk, v, min(k) as k from l group by 1, 2) select concat('f', nk) as file, concat(case nk % 2 when 0 then 'private' else 'public' end, '_', row_number() over (partition by nk order by k)) as label, concat('http', '://', v) as url from d""")
-def _(t):
+_SECTIONS = """with l as (select s_nationkey as nk, s_suppkey as k, concat('h', s_suppkey % 37, ':80') as v from supplier), d as (select nk, v, min(k) as k from l group by 1, 2) select concat('f', nk) as file, concat(case nk % 2 when 0 then 'private' else 'public' end, '_', row_number() over (partition by nk order by k)) as label, concat('http', '://', v) as url, case nk % 2 when 0 then concat('r', nk) end as attribute from d"""
+_KINDS = {"list private": "private", "list_public": "public"}
+
+
+def _catalog(t):
     s = t("supplier")
     file = F.concat(F.lit("f"), F.col("s_nationkey").cast("string"))
     head = s.select(file.alias("file"), F.lit(-1).cast("long").alias("line_no"), F.when(F.col("s_nationkey") % 2 == 0, "### List Private").otherwise("### list_public").alias("value")).distinct()
-    body = s.select(file.alias("file"), F.col("s_suppkey").alias("line_no"), F.concat(F.lit("h"), (F.col("s_suppkey") % 37).cast("string"), F.lit(":80")).alias("value"))
-    note = s.select(file.alias("file"), F.col("s_suppkey").alias("line_no"), F.lit("# a note").alias("value"))
-    rows = catalogs.sectioned(head.unionByName(body).unionByName(note), {"list private": "private", "list_public": "public"})
-    return rows.select("file", "label", F.concat(F.lit("http://"), "value").alias("url"))
+    note = s.select(file.alias("file"), F.col("s_suppkey").alias("line_no"), F.concat(F.lit("h"), (F.col("s_suppkey") % 37).cast("string"), F.lit(":80\n# a note")).alias("value"))
+    reset = s.groupBy(file.alias("file"), F.col("s_nationkey").cast("string").alias("nk")).agg((F.max("s_suppkey") + 1).alias("line_no")).select("file", "line_no", F.concat(F.lit("Link reset = r"), "nk").alias("value"))
+    return head.unionByName(note).unionByName(reset)
+
+
+def _sectioned(lines, file):
+    return catalogs.sectioned(lines, _KINDS, ("link reset", "private")).select(file.alias("file"), "label", F.concat(F.lit("http://"), "value").alias("url"), "attribute")
+
+
+@query("catalog_sections", _SECTIONS)
+def _(t):
+    lines = _catalog(t).withColumn("value", F.explode(F.split("value", "\n")))
+    return _sectioned(lines, F.col("file"))
+
+
+@query("catalog_files", _SECTIONS)
+def _(t):
+    """The same lines written as a text file for each catalog and scanned."""
+    spark = t("supplier").sparkSession
+    path = scratch_path(spark, "catalogs")
+    _catalog(t).repartition("file").sortWithinPartitions("file", "line_no").select("file", "value").write.partitionBy("file").text(path)
+    return _sectioned(catalogs.read_lines(spark, path), F.regexp_extract("file", "file=([^/]+)/", 1))
 
 
 @query("csv_registry", """select concat('p', n_nationkey) as province, case n_nationkey % 3 when 0 then 'A' when 1 then 'B' else 'C' end as tier, concat(n_name, ';', 'Old ', n_name) as places, 'tag' || n_nationkey as hashtags from nation""")

@@ -109,7 +109,7 @@ def _(t):
 
 @query("inserted_by_site", f"select s.site, count(i.item) as inserted from (select unnest([{_SITES}, 'threads.com']) as site) s left join (select * from v_job_item where inserted > 0) i using (site) group by 1")
 def _(t):
-    sites = t("region").limit(1).select(F.explode(text.strings([*SITES, "threads.com"])).alias("site"))
+    sites = t("region").sparkSession.range(1).select(F.explode(text.strings([*SITES, "threads.com"])).alias("site"))
     return accounting.inserted_by_site(t("v_job_item").filter("inserted > 0"), sites)
 
 
@@ -164,11 +164,20 @@ def _(t):
 _ENTRIES = "e as (select event_id as ord, case when event_id % 6 = 0 then concat('http:', user_id) else concat('label_', user_id) end as label, case event_id % 3 when 0 then 'rotating' when 1 then 'private' else 'public' end as kind from events)"
 
 
+def _entries(t):
+    k = F.col("event_id")
+    return t("events").select(k.alias("ord"), F.when(k % 6 == 0, F.concat(F.lit("http:"), F.col("user_id").cast("string"))).otherwise(F.concat(F.lit("label_"), F.col("user_id").cast("string"))).alias("label"), F.when(k % 3 == 0, "rotating").when(k % 3 == 1, "private").otherwise("public").alias("kind"))
+
+
 @query("labels_selected", f"with {_ENTRIES} select label, arg_min(kind, ord) as kind, min(ord) as ord from e where kind <> 'rotating' and label like 'label_%' group by 1 order by 3 limit 20")
 def _(t):
-    k = F.col("event_id")
-    entries = t("events").select(k.alias("ord"), F.when(k % 6 == 0, F.concat(F.lit("http:"), F.col("user_id").cast("string"))).otherwise(F.concat(F.lit("label_"), F.col("user_id").cast("string"))).alias("label"), F.when(k % 3 == 0, "rotating").when(k % 3 == 1, "private").otherwise("public").alias("kind"))
-    return ledger.selected_labels(entries, 20)
+    return ledger.selected_labels(_entries(t), 20)
+
+
+@query("labels_required", f"with {_ENTRIES} select ord, label, kind from e where kind <> 'rotating' and label in ('label_1', 'label_2', 'label_3')")
+def _(t):
+    """The entries of three labels that there are."""
+    return ledger.require_labels(_entries(t).filter("kind <> 'rotating'"), ["label_1", "label_2", "label_3"])
 
 
 @query("resource_snapshot", """with l as (select * from v_ledger where ts <= timestamp '2024-01-20 00:00:00'), x as (select label, kind, count(*) filter (where event = 'attempt' and ts::date = date '2024-01-20') as uses_today, arg_max(event, struct_pack(a := ts, b := event)) as e, max(ts) filter (where event = 'result') as r, arg_max(status, struct_pack(a := ts, b := status)) filter (where event = 'result') as o from l group by 1, 2)
@@ -266,3 +275,22 @@ def _(t):
 def _(t):
     known = quality.orphans(t("v_job_item"), t("v_province"), "province").select("province").distinct()
     return plan.require_known(t("v_job_item").join(known, "province", "left_anti"), t("v_province"), "province").groupBy("province").agg(F.count(F.lit(1)).alias("n"))
+
+
+_PROFILE = f"""with c as ({_CHUNKS}), {_DUE}, s as (select unnest(['facebook.com', 'instagram.com']) as site)
+    select 'p_' || case when key like 'p1%' then 'one' else 'rest' end as profile, key, site, unnest([concat({_ORED.format('names')}, ' ("I stayed" OR "we stayed")', case site when 'instagram.com' then ' -ib' else ' -tour' end), concat({_ORED.format('names')}, ' ("worth it")', case site when 'instagram.com' then ' -ib' else ' -tour' end)]) as body, date '2026-08-18' - window_days as date_from, case split_part(key, '|', 2) when 'core' then 5 else least(case tier when 'A' then 10 when 'B' then 3 else 1 end, 6) end as pages from d join v_province v using (province), s"""
+
+
+@query("profile_plan", _PROFILE)
+def _(t):
+    """Tables of profiles, places and cadences written, read with their schemas and made a plan of two profiles: due chunks, bodies and page caps."""
+    spark = t("region").sparkSession
+    root = scratch_path(spark, "dimensions")
+    profiles = spark.range(2).select(F.when(F.col("id") == 0, "p_one").otherwise("p_rest").alias("profile"), F.lit(3).alias("places_per_query"), text.strings(SITES[:2]).alias("sites"), F.array(text.strings(["I stayed", "we stayed"]), text.strings(["worth it"])).alias("intents"), text.strings(["tour"]).alias("negatives"), text.table({"instagram.com": ["ib"]}).alias("negatives_by_site"), F.create_map(F.lit("A"), F.create_map(F.lit("core"), F.lit(5)), F.lit("B"), F.create_map(F.lit("core"), F.lit(5)), F.lit("C"), F.create_map(F.lit("core"), F.lit(5))).alias("page_depth"))
+    own = F.when(F.col("province").startswith("p1"), "p_one").otherwise("p_rest")
+    profiles.write.parquet(f"{root}/profiles")
+    t("v_place").select(own.alias("profile"), F.col("ord").cast("int").alias("ord"), "name", "province", "cadence").write.parquet(f"{root}/places")
+    t("v_cadence").crossJoin(profiles.select("profile")).select("profile", "cadence", "cadence_days", "window_days").write.parquet(f"{root}/cadences")
+    read = lambda name, schema: tables.read_dimension(spark, f"{root}/{name}", schema)
+    rows = plan.profile_plan(read("profiles", tables.PROFILE_SCHEMA), read("places", tables.PLACE_SCHEMA), read("cadences", tables.CADENCE_SCHEMA), t("v_province").select("province", "tier"), today(), requested=10, overall=6)
+    return rows.select("profile", "key", "site", "body", "date_from", "pages")

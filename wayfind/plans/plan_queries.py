@@ -198,7 +198,7 @@ def _(t):
 
 
 def _windows(t):
-    return t("region").limit(1).select(F.explode(dates.split_overlapping(F.lit("2026-05-01").cast("date"), F.lit("2026-07-31").cast("date"), 14)).alias("w")).select("w.*")
+    return t("region").sparkSession.range(1).select(F.explode(dates.split_overlapping(F.lit("2026-05-01").cast("date"), F.lit("2026-07-31").cast("date"), 14)).alias("w")).select("w.*")
 
 
 _WIN = "w as (select date '2026-05-01' + 13 * i::integer as content_from, least(date '2026-05-01' + 13 * i::integer + 13, date '2026-07-31') as content_to from range(0, 7) r(i))"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wayfind.functions import text, urls
 from wayfind.operators import accounting, results
 from wayfind.plans.registry import query
-from wayfind.sources import posts
+from wayfind.sources import posts, tables
 from wayfind.sources.html import landed, result_blocks
 from wayfind.sources.scratch import scratch_path
 
@@ -68,10 +68,19 @@ def _(t):
 
 @query("first_wins", f"with {_RES} select doc_id, post_id, clean_url from (select *, row_number() over (partition by post_id order by doc_id) as k from r where post_id is not null) where k = 1")
 def _(t):
-    return results.first_wins(_reasoned(t).select("doc_id", "post_id", "clean_url"), "post_id", ["doc_id"])
+    return results.first_wins(results.with_link(t("v_result").select("doc_id", "url", "site")).select("doc_id", "post_id", "clean_url"), "post_id", ["doc_id"])
 
 
-@query("insert_new", f"with {_RES} select doc_id, post_id from (select *, row_number() over (partition by post_id order by doc_id) as k from r where reason is null and doc_id % 3 <> 0) where k = 1 and post_id not in (select post_id from r where reason is null and doc_id % 3 = 0)")
+_NEW = f"with {_RES} select doc_id, post_id from (select *, row_number() over (partition by post_id order by doc_id) as k from r where reason is null and doc_id % 3 <> 0) where k = 1 and post_id not in (select post_id from r where reason is null and doc_id % 3 = 0)"
+
+
+@query("insert_new", _NEW)
+def _(t):
+    kept = _reasoned(t).filter("reject_reason is null").select("doc_id", "post_id")
+    return results.new_posts(kept.filter("doc_id % 3 <> 0"), kept.filter("doc_id % 3 = 0"), ["doc_id"])
+
+
+@query("insert_posts", _NEW)
 def _(t):
     """A table that holds the posts of every third document already gets those of the others."""
     kept = _reasoned(t).filter("reject_reason is null").select("doc_id", "post_id")
@@ -171,14 +180,34 @@ def _(t):
     return result_blocks(_landed(t))
 
 
-@query("ckpt_io")
+_CKPT = "with p as (select item, cast(page as integer) as page, status, requests as seq from v_page) select item, page, case when item % 2 = 0 then 'done' else status end as status, case when item % 2 = 0 then seq + 1 else seq end as seq from p"
+
+
+def _states(t, **names):
+    return t("v_page").select(F.when(F.col("item") % 3 == 0, names.get("old", "f1")).otherwise("f1").alias("fingerprint"), "item", F.col("page").cast("int").alias("page"), "status", F.col("requests").alias("seq"))
+
+
+_CKPT_SCHEMA = "fingerprint string, item bigint, page int, status string, seq bigint"
+
+
+@query("ckpt_io", _CKPT)
 def _(t):
-    """Page states written to a checkpoint table and read back as latest state per page."""
-    from wayfind.sources.tables import read_checkpoint, write_checkpoint
+    """Page states written to a checkpoint table twice and read back as the latest state per page."""
+    rows = _states(t)
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "ckpt")
+    tables.write_checkpoint(rows, path)
+    tables.write_checkpoint(rows.filter("item % 2 = 0").withColumn("status", F.lit("done")).withColumn("seq", F.col("seq") + 1), path)
+    return tables.read_checkpoint(spark, path, "f1", _CKPT_SCHEMA).select("item", "page", "status", "seq")
+
 
-    rows = t("v_page").select(F.lit("f1").alias("fingerprint"), "item", F.col("page").cast("int").alias("page"), "status", F.col("requests").alias("seq"))
-    spark = rows.sparkSession
-    path = scratch_path(spark, "ckpt")
-    write_checkpoint(rows, path)
-    write_checkpoint(rows.withColumn("status", F.lit("done")).withColumn("seq", F.col("seq") + 1), path)
-    return read_checkpoint(spark, path, "f1", "fingerprint string, item bigint, page int, status string, seq bigint")
+@query("ckpt_compacted", _CKPT)
+def _(t):
+    """The same with compactions in between, and a third of the states under an older fingerprint of the plan."""
+    rows = _states(t, old="f0")
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "ckpt")
+    tables.write_checkpoint(rows, path)
+    for later in (rows.filter("item % 4 = 0"), rows.filter("item % 4 = 2"), None):
+        tables.compact_checkpoint(spark, path, _CKPT_SCHEMA)
+        if later is not None:
+            tables.write_checkpoint(later.withColumn("status", F.lit("done")).withColumn("seq", F.col("seq") + 1), path)
+    return tables.read_checkpoint(spark, path, "f1", _CKPT_SCHEMA, accepted=["f0"]).select("item", "page", "status", "seq")

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfind.operators.accounting import latest
+from wayfind.sources.scratch import discard, materialise
 
 PLACE_SCHEMA = "profile string, ord int, name string, province string, cadence string"
 PROVINCE_SCHEMA = "province string, name string, tier string, places array<string>, hashtags array<string>"
 PLATFORM_SCHEMA = "platform_id int, domain string"
 CADENCE_SCHEMA = "profile string, cadence string, cadence_days int, window_days int"
+PROFILE_SCHEMA = "profile string, places_per_query int, sites array<string>, intents array<array<string>>, negatives array<string>, negatives_by_site map<string,array<string>>, page_depth map<string,map<string,int>>"
 
 
 def read_dimension(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -36,18 +38,55 @@ def load_keywords(table: DataFrame, ids: list[int] | None = None) -> DataFrame:
     return rows
 
 
-def write_checkpoint(rows: DataFrame, path: str) -> None:
-    """Append page states (fingerprint, item, page, status, seq, …), partitioned by fingerprint."""
-    rows.write.mode("append").partitionBy("fingerprint").parquet(path)
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def read_checkpoint(spark: SparkSession, path: str, fingerprint: str, schema: str) -> DataFrame:
-    """The latest state of each page of a plan. Rows of other plans only are an error, a missing table is empty."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+def _epochs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the parts of a checkpoint table, rising; none if there is no table."""
+    target, fs = _files(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+    return sorted(int(n.removeprefix("epoch=")) for n in names if n.startswith("epoch="))
+
+
+def write_checkpoint(rows: DataFrame, path: str) -> None:
+    """Append page states (fingerprint, item, page, status, seq, …) to the newest part of the table."""
+    now = (_epochs(rows.sparkSession, path) or [1])[-1]
+    rows.withColumn("epoch", F.lit(max(now, 1))).write.mode("append").partitionBy("epoch", "fingerprint").parquet(path)
+
+
+def compact_checkpoint(spark: SparkSession, path: str, schema: str) -> None:
+    """Rewrite the states of parts that nothing is appended to any more as the latest one of each page.
+
+    A call begins a new part for appends and rewrites those that the call before closed, so an append
+    that began meanwhile is never rewritten from under its writer, if it ends before the next call. The
+    rewritten states are part 0, overwritten by partitions; only then the parts they came from are
+    deleted. A call that breaks off leaves states twice, of which readers take the latest.
+    """
+    epochs = _epochs(spark, path)
+    if not epochs:
+        return
+    closed = [e for e in epochs if e < epochs[-1]]
+    target, fs = _files(spark, f"{path}/epoch={epochs[-1] + 1}")
+    fs.mkdirs(target)
+    if not [e for e in closed if e > 0]:
+        return
+    rows = spark.read.schema(f"{schema}, epoch int").parquet(path).filter(F.col("epoch").isin(closed)).drop("epoch")
+    kept, scratch = materialise(latest(rows, ["fingerprint", "item", "page"], "seq"), "checkpoint")
+    kept.withColumn("epoch", F.lit(0)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "fingerprint").parquet(path)
+    discard(spark, scratch)
+    for e in closed:
+        if e > 0:
+            discard(spark, f"{path}/epoch={e}")
+
+
+def read_checkpoint(spark: SparkSession, path: str, fingerprint: str, schema: str, accepted: list[str] | None = None) -> DataFrame:
+    """The latest state of each page of a plan, also under the older fingerprints `accepted`. Rows of other plans only are an error, a missing table is empty."""
+    if not _epochs(spark, path):
         return latest(spark.createDataFrame([], schema), ["item", "page"], "seq")
-    rows = spark.read.schema(schema).parquet(path)
-    own = rows.filter(F.col("fingerprint") == fingerprint)
+    rows = spark.read.schema(f"{schema}, epoch int").parquet(path).drop("epoch")
+    own = rows.filter(F.col("fingerprint").isin([fingerprint, *(accepted or [])]))
     if own.isEmpty() and not rows.isEmpty():
         raise ValueError("the checkpoint belongs to another plan")
     return latest(own, ["item", "page"], "seq")

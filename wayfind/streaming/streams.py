@@ -238,7 +238,7 @@ class _Throttle(StatefulProcessor):
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer((last + self.every) // 1000 + 1)
-        yield pd.DataFrame({self.group: [key[0]] * len(out), "t": out})
+        yield pd.DataFrame({self.group: pd.Series([key[0]] * len(out), dtype=object), "t": pd.Series(out, dtype="int64")})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.last.clear()
