@@ -35,7 +35,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_by_source(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mixing.mix_by_source(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "sources", "mix_taken", "mix_source")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
