@@ -28,7 +28,7 @@ def documents(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_with_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         duck.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = queries.queries()[name](spark, SF)
     expected = duck.sql(queries.ORACLE_SQL[name])

@@ -27,6 +27,8 @@ SLICES = 4096
 BOX = 8
 #: Dimensions after which products are bounded.
 STEPS = (8, 16, 32, 64, 128, 256, 512)
+#: Lengths of vectors that get a basis of their own, the most frequent ones; others are compared as they are, with the same result.
+LENGTHS = 64
 #: Covers rounding of the turned vectors; what passes is compared anew as given.
 SLACK = 1e-9
 
@@ -54,7 +56,9 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
 
 
 def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
-    """For each number of dimensions an orthogonal basis, strongest direction first, from sums over all vectors."""
+    """For each of the LENGTHS most frequent numbers of dimensions an orthogonal basis, strongest direction first, from sums over all its vectors; dim * dim numbers of each reach the driver."""
+    often = classes.groupBy("dim").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "dim").limit(LENGTHS)
+    classes = classes.join(often.select("dim"), "dim", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, np.ndarray] = {}
@@ -75,6 +79,12 @@ def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
+def _turned(x: np.ndarray, axes: dict[int, np.ndarray], leading: int | None = None) -> np.ndarray:
+    """Unit vectors in the basis of their length, all or the leading coordinates."""
+    own = axes.get(x.shape[1])
+    return x[:, :leading] if own is None else x @ own[:, :leading]
+
+
 def _tiled(classes: DataFrame, axes: dict[int, np.ndarray], tile: int) -> DataFrame:
     """classes with lead (leading coordinates) and tile, numbered along the first coordinate within a label and dim."""
     shared = classes.sparkSession.sparkContext.broadcast({d: a[:, :BOX] for d, a in axes.items()})
@@ -83,7 +93,7 @@ def _tiled(classes: DataFrame, axes: dict[int, np.ndarray], tile: int) -> DataFr
         for batch in batches:
             for dim, own in batch.groupby("dim"):
                 lead = np.zeros((len(own), BOX))
-                lead[:, : min(BOX, dim)] = _unit(own["embedding"]) @ shared.value[dim]
+                lead[:, : min(BOX, dim)] = _turned(_unit(own["embedding"]), shared.value, BOX)
                 yield own.assign(lead=list(lead))
 
     kind = classes.schema["embedding"].dataType.simpleString()
@@ -162,7 +172,7 @@ def near_links(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE) ->
     def compare(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(["side", "rep"], ignore_index=True)
         raw = _scaled(own["embedding"])
-        turned = _unit(own["embedding"]) @ shared.value[raw.shape[1]]
+        turned = _turned(_unit(own["embedding"]), shared.value)
         n, split = own["n"].to_numpy(), int((own["side"] == 0).sum())
         same = split == len(own)
         a, b = near_pairs(turned[:split], turned if same else turned[split:], threshold)

@@ -132,6 +132,11 @@ class LanguageModel:
             out[t - 1] = back[t, out[t]]
         return out
 
+    @property
+    def step(self) -> int:
+        """Documents whose words are scored together: fewer where each word has scores of many languages."""
+        return max(1, 1000 * 64 // max(64, len(self.langs)))
+
     def predict(self, rows: np.ndarray) -> tuple[str, float]:
         letters = self.letters[rows]
         total = int(letters.sum())
@@ -142,18 +147,17 @@ class LanguageModel:
         return self.langs[top], float(share[top])
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order_by: Column | None = None, max_docs: int = 4000, max_langs: int = 400) -> LanguageModel:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order_by: Column | None = None, max_docs: int = 4000) -> LanguageModel:
     """Fit a model on at most about max_docs documents of each language, drawn by the hash of order_by (default: the text).
 
     max_docs is the only bound on what is learned from; whole texts count. Rows with null text or
     language are left out; with none left the model knows no language and predicts `und`. The driver
     gets at most BUCKETS + scripts rows per language, and the model that predict() broadcasts takes
-    256 kB a language: more than max_langs languages are an error.
+    256 kB a language, however many there are; the scores of words are then held for fewer documents
+    at a time.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col) if order_by is None else order_by).alias("h")).filter("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(max_langs + 1).collect()}
-    if len(sizes) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
     langs = sorted(sizes)
     model = LanguageModel(langs, np.zeros((BUCKETS, len(langs)), np.float32), np.zeros((len(SCRIPTS), len(langs)), bool))
     if not langs:
@@ -188,15 +192,16 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     """doc_id, lang_pred, score for every whole text: the language of most letters on the best path, and their share.
 
     `und` with score 0 if the text is null or has no letters. Ties go to the first language in order
-    of code points. One row per input row; other columns are ignored.
+    of code points. One row per input row, repeated ones too, none for an empty table; texts are taken
+    whole, however long. Other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.iloc[at : at + 1000]
+            for at in range(0, len(batch), own.step):
+                part = batch.iloc[at : at + own.step]
                 found = [own.predict(x) for x in own.index([WORD.findall(t.lower()) for t in part["text"]])]
                 yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "lang_pred": [x for x, _ in found], "score": [x for _, x in found]})
 
@@ -204,7 +209,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
 
 def keep_languages(docs: DataFrame, model: LanguageModel, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose text has letters, with at least this share of them in one language; all columns, null and repeated ids alike.
+    """The rows of docs whose text has letters, with at least this share of them in one language; all columns, null and repeated ids and repeated rows alike.
 
     The prediction is a column beside the text, so rows stay where they were read.
     """
@@ -213,8 +218,8 @@ def keep_languages(docs: DataFrame, model: LanguageModel, least: float, text_col
     @F.pandas_udf("boolean")
     def told(text: pd.Series) -> pd.Series:
         own, out = shared.value, []
-        for at in range(0, len(text), 1000):
-            found = (own.predict(x) for x in own.index([WORD.findall(t.lower()) for t in text.iloc[at : at + 1000]]))
+        for at in range(0, len(text), own.step):
+            found = (own.predict(x) for x in own.index([WORD.findall(t.lower()) for t in text.iloc[at : at + own.step]]))
             out += [lang != "und" and share >= least for lang, share in found]
         return pd.Series(out, dtype=bool)
 
@@ -222,7 +227,7 @@ def keep_languages(docs: DataFrame, model: LanguageModel, least: float, text_col
 
 
 def spans(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start, end, lang: runs of words of one language, as offsets in code points of the text, in order."""
+    """doc_id, start, end, lang: runs of words of one language, as offsets in code points of the text, in order. Null texts and texts without letters have none; rows that repeat an id have theirs each."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,8 +6,11 @@ is. The recursive query meets each leaf with its parent, emits the siblings, fol
 on from the parent, until there is none.
 
 Every leaf climbs to the root, so upper nodes are met by all rows of a group. A node is therefore
-stored once for each block of BLOCK consecutive leaves below it, and is joined by block: no key of the
-join holds more than BLOCK leaves, whatever the size of a group. That adds a row per block and level.
+stored once for each block of 4,096 consecutive leaves below it, and is joined by block: no key of the
+join holds more than a block of leaves, whatever the size of a group. That adds a row per block and level.
+
+The siblings of a level are a row of the recursion's result, and a leaf's rows are put together after
+it. One growing value would be shuffled again in every round, with all levels below.
 """
 
 from __future__ import annotations
@@ -164,6 +167,9 @@ def manifest(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "l
     tops, _ = materialise(tops, "subroots")
     above = _levels(tops.select(F.lit(-1).cast("long").alias("tree"), F.col("tree").alias("idx"), F.lit(told["groups"]).cast("long").alias("n"), "hash"), told["groups"])
     root = (above[-1] if above else tops).select(hex_text(F.col("hash")).alias("root")).first()["root"]
+    if not levels and not above:  # one row, which has nothing to climb
+        only = leaves.select("id", hex_text(F.col("leaf")).alias("leaf"), hex_text(F.col("leaf")).alias("subroot"), F.lit(root).alias("root"), F.sha2(F.lit(""), 256).alias("proof_sha256"), hex_text(F.col("changed")).alias("folded_root"))
+        return only.withColumn("verified", F.col("folded_root") == F.col("root"))
     nodes, _ = materialise(_spread(levels, above, groups.select("tree", F.col("n").alias("leaves"))), "nodes")
     begin = leaves.select("tree", "o", "changed", *(F.when(F.lit(bool(above)) | (F.col("n") > 1), c).alias(x) for c, x in zip(_link(F.col("tree"), F.lit(0), F.col("o"), F.col("n")), ("above", "level", "idx", "place"), strict=True)))
     with _unlimited(spark):

@@ -50,7 +50,8 @@ def _sums(rows: DataFrame, books: np.ndarray, scale: int) -> tuple[np.ndarray, n
                 count[p] += np.bincount(at, minlength=size)
                 np.add.at(total[p], at, x[:, p])
         used = np.flatnonzero(count.reshape(-1))
-        yield pd.DataFrame({"entry": used, "n": count.reshape(-1)[used], "total": list(total.reshape(-1, width)[used])})
+        if len(used):
+            yield pd.DataFrame({"entry": used, "n": count.reshape(-1)[used], "total": list(total.reshape(-1, width)[used])})
 
     found = rows.select("embedding").mapInPandas(run, "entry bigint, n bigint, total array<bigint>")
     told = found.select("entry", "n", F.posexplode("total").alias("at", "v")).groupBy("entry", "at").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toPandas()
