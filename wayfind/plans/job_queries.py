@@ -188,19 +188,19 @@ def _(t):
 
 
 def _windows(t) -> DataFrame:
-    """Due chunks of the odd provinces, and of every third province a legacy window of its first places."""
+    """Due chunks, and a legacy window of each province with all of its places as names."""
     chunks = plan.due_chunks(plan.chunk_places(t("v_place"), 3), t("v_cadence"), today())
     intents = F.array(text.strings(["I stayed", "we stayed"]), text.strings(["worth it"]))
     none = F.lit(None).cast("array<array<string>>")
     own = chunks.select("key", F.lit(False).alias("use_legacy"), "names", intents.alias("intents"), "date_from", "date_to")
-    first = plan.chunk_places(t("v_place"), 5).filter("idx = 0 and cadence = 'core'")
-    legacy = first.select(F.concat(F.lit("legacy|"), "province").alias("key"), F.lit(True).alias("use_legacy"), "names", none.alias("intents"), F.lit("2026-05-01").cast("date").alias("date_from"), F.lit("2026-05-02").cast("date").alias("date_to"))
+    names = t("v_place").groupBy("province").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "name"))), lambda p: p["name"]).alias("names"))  # a dimension
+    legacy = names.select(F.concat(F.lit("legacy|"), "province").alias("key"), F.lit(True).alias("use_legacy"), "names", none.alias("intents"), F.lit("2026-05-01").cast("date").alias("date_from"), F.lit("2026-05-02").cast("date").alias("date_to"))
     return own.unionByName(legacy).withColumn("tier", F.lit("A")).withColumn("supported", text.strings(SITES[:3])).withColumn("literal", F.lit(None).cast("string")).withColumn("negatives", text.strings(["tour"]))
 
 
 _DUE = """d as (select * from (select *, list_reduce(list_prepend(0::bigint, list_transform(string_split(key, ''), lambda c: ascii(c)::bigint)), lambda h, c: (h * 31 + c) % 4294967296) as h from c join v_cadence using (cadence)) where (date '2026-08-18' - date '1970-01-01' - abs(cast(case when h >= 2147483648 then h - 4294967296 else h end as bigint)) % cadence_days) % cadence_days = 0)"""
 _ORED = """concat('("', array_to_string({}, '" OR "'), '")')"""
-_BODIES = f"""with c as ({_CHUNKS}), {_DUE}, f as (select province, list(name order by ord, name) as names from (select *, row_number() over (partition by province order by ord, name) as r from v_place where cadence = 'core') where r <= 5 group by 1),
+_BODIES = f"""with c as ({_CHUNKS}), {_DUE}, f as (select province, list(name order by ord, name) as names from v_place group by 1),
     s as (select unnest([{_SITES}]) as site),
     b as (select key, site, 'chunk' as branch, unnest([concat({_ORED.format('names')}, ' ("I stayed" OR "we stayed") -tour'), concat({_ORED.format('names')}, ' ("worth it") -tour')]) as body, date '2026-08-18' - window_days as f, date '2026-08-18' as l from d, s where site <> 'x.com'
         union all select concat('legacy|', province), site, 'legacy', concat({_ORED.format('names[1:4]')}, ' "du lịch" {_NEG}'), date '2026-05-01', date '2026-05-02' from f, s where site <> 'x.com')"""
