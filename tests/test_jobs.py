@@ -127,3 +127,20 @@ def test_scratch(spark):
     scratch.discard(spark, path)
     with pytest.raises(Exception, match="(?i)path"):
         spark.read.parquet(path)
+
+
+def test_tables_of_a_step_go_at_its_end(spark):
+    with scratch.step(spark) as keep:
+        gone, _ = scratch.materialise(spark.range(2), "gone")
+        with pytest.raises(RuntimeError), scratch.step(spark):
+            broken, _ = scratch.materialise(spark.range(4), "broken")
+            raise RuntimeError
+        with scratch.step(spark) as keep_inner:
+            inner, path = scratch.materialise(gone, "inner")
+            keep_inner(path)
+        kept, path = scratch.materialise(inner.unionByName(gone), "kept")
+        keep(path)
+    assert kept.count() == 4
+    for table in (gone, inner, broken):
+        with pytest.raises(Exception, match="(?i)path|exist"):
+            table.withColumn("x", F.lit(1)).collect()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfind.sources.scratch import discard, materialise
+from wayfind.sources.scratch import discard, materialise, step
 
 #: Values of a range of an order statistic that are told apart in one step, as a power of two.
 DIGIT = 10
@@ -70,10 +70,16 @@ def spaced(rows: DataFrame, group: str, at: str, least: int) -> DataFrame:
     Of two rows let through no two lie in one period of length `least`, which bounds the windows here.
     Rows without `at` are left out, null groups are a group.
     """
-    spark = rows.sparkSession
+    with step(rows.sparkSession) as keep:
+        reached, path = _reached(rows, group, at, least)
+        keep(path)
+    return reached.select(F.col("g.of").alias(group), F.col("t").alias(at))
+
+
+def _reached(rows: DataFrame, group: str, at: str, least: int) -> tuple[DataFrame, str]:
     nodes = rows.select(F.struct(F.col(group).alias("of")).alias("g"), F.col(at).cast("long").alias("t")).filter("t is not null").distinct()
     nodes = previous(nodes, ["g"], "t", max(least, 1) * 64, "before")
-    nodes, at_nodes = materialise(nodes.select("g", "t", (F.col("before").isNull() | (F.col("t") - F.col("before") >= least)).alias("begins"), F.floor(F.col("t") / least).alias("p")), "nodes")
+    nodes, _ = materialise(nodes.select("g", "t", (F.col("before").isNull() | (F.col("t") - F.col("before") >= least)).alias("begins"), F.floor(F.col("t") / least).alias("p")), "nodes")
     later = _later_periods(nodes)
     # the first row of the next period that is late enough: rows and probes of a period in one falling order, the least row so far
     probes = nodes.select("g", "t", (F.col("p") + 1).alias("p"), (F.col("t") + least).alias("x"), F.lit(None).cast("long").alias("y"))
@@ -85,14 +91,11 @@ def spaced(rows: DataFrame, group: str, at: str, least: int) -> DataFrame:
     links, path = materialise(links.filter("to is not null").join(begins, ["g", "to"], "left_anti"), "links")
     reached, at_reached = materialise(nodes.filter("begins").select("g", "t"), "reached")
     while not links.isEmpty():
-        after, at_after = materialise(reached.unionByName(reached.join(links, ["g", "t"]).select("g", F.col("to").alias("t"))).distinct(), "reached")
-        twice, path_twice = materialise(links.join(links.select("g", F.col("t").alias("to"), F.col("to").alias("on")), ["g", "to"]).select("g", "t", F.col("on").alias("to")), "links")
-        discard(spark, path)
-        discard(spark, at_reached)
-        reached, links, path, at_reached = after, twice, path_twice, at_after
-    discard(spark, path)
-    discard(spark, at_nodes)
-    return reached.select(F.col("g.of").alias(group), F.col("t").alias(at))
+        reached, at_reached = materialise(reached.unionByName(reached.join(links, ["g", "t"]).select("g", F.col("to").alias("t"))).distinct(), "reached")
+        twice = links.join(links.select("g", F.col("t").alias("to"), F.col("to").alias("on")), ["g", "to"]).select("g", "t", F.col("on").alias("to"))
+        before, (links, path) = path, materialise(twice, "links")
+        discard(rows.sparkSession, before)
+    return reached, at_reached
 
 
 def _later_periods(nodes: DataFrame) -> DataFrame:
