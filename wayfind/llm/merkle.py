@@ -15,14 +15,14 @@ it. One growing value would be shuffled again in every round, with all levels be
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayfind.llm.common import union_all, with_key
-from wayfind.sources.scratch import discard, materialise
+from wayfind.sources.scratch import materialise, step
 
 #: Children of a node as a power of two: 8 consecutive ones.
 BITS = 3
@@ -67,13 +67,12 @@ def _joined(digests: Column) -> Column:
 
 def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     """rows with o, their place from 0 in their group: by ranges of the order, so that a large group is counted in many tasks."""
-    ranged, path = materialise(rows.repartitionByRange(group, *order).withColumn("part", F.spark_partition_id()), "ranged")
+    ranged, _ = materialise(rows.repartitionByRange(group, *order).withColumn("part", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy(group, "part").agg(F.count(F.lit(1)).alias("m"))
     before = F.coalesce(F.sum("m").over(Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per group and range
     counts = counts.select(group, "part", before.alias("before"))
     within = F.row_number().over(Window.partitionBy(group, "part").orderBy(*order)) - 1
     placed, _ = materialise(ranged.withColumn("within", within).join(counts, [group, "part"]).withColumn("o", F.col("within") + F.col("before")).drop("part", "within", "before"), "numbered")
-    discard(rows.sparkSession, path)
     return placed
 
 
@@ -148,23 +147,28 @@ def manifest(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "l
     its own root, with the digest of nothing as its proof; an empty table gives no rows. Columns beyond
     those named are ignored.
     """
+    with step(docs.sparkSession) as keep:  # levels, nodes and the order of leaves go at its end
+        return _manifest(docs, columns, group, order, changed or {}, where, keep)
+
+
+def _manifest(docs: DataFrame, columns: tuple[str, ...], group: str, order: str, changed: dict[str, Column], where: Column | None, keep: Callable[[str], None]) -> DataFrame:
     spark = docs.sparkSession
     field = lambda c: F.col("d").getField(c)
-    changed = changed or {}
     keyed = with_key(docs)
     leaf = digest(canonical([field(c) for c in columns]))
     after = F.when(where, digest(canonical([changed.get(c, field(c)) for c in columns]))).otherwise(leaf) if where is not None else leaf
     name = F.coalesce(F.concat(F.lit("1"), field(group).cast("string")), F.lit("0"))  # null first, a group of its own
-    rows, rows_at = materialise(keyed.select(name.alias("g"), field(order).alias("id"), leaf.alias("leaf"), after.alias("changed"), "key"), "leaves")
+    rows, _ = materialise(keyed.select(name.alias("g"), field(order).alias("id"), leaf.alias("leaf"), after.alias("changed"), "key"), "leaves")
     groups = numbered(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(0)), "all", ["g"]).select("g", F.col("o").alias("tree"), "n")
     told = groups.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("groups")).first()
     if not told["groups"]:
         return spark.createDataFrame([], docs.select(F.col(order).alias("id")).schema.add("leaf", "string").add("subroot", "string").add("root", "string").add("proof_sha256", "string").add("folded_root", "string").add("verified", "boolean"))
     leaves, leaves_at = materialise(numbered(rows, "g", ["id", "leaf", "key"]).join(groups, "g").select("tree", "o", "n", "id", "leaf", "changed"), "placed")
-    discard(spark, rows_at)
+    keep(leaves_at)
     levels = _levels(leaves.select("tree", F.col("o").alias("idx"), "n", F.col("leaf").alias("hash")), told["most"])
     tops = union_all([x.filter("n = 1").select("tree", "hash") for x in [leaves.select("tree", "n", F.col("leaf").alias("hash")), *levels]])
-    tops, _ = materialise(tops, "subroots")
+    tops, tops_at = materialise(tops, "subroots")
+    keep(tops_at)
     above = _levels(tops.select(F.lit(-1).cast("long").alias("tree"), F.col("tree").alias("idx"), F.lit(told["groups"]).cast("long").alias("n"), "hash"), told["groups"])
     root = (above[-1] if above else tops).select(hex_text(F.col("hash")).alias("root")).first()["root"]
     if not levels and not above:  # one row, which has nothing to climb
@@ -176,7 +180,8 @@ def manifest(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "l
         climbed = spark.sql(CLIMB, leaves=begin, nodes=nodes)
         steps = F.sort_array(F.collect_list(F.struct("step", "siblings")))
         proofs = climbed.groupBy("tree", "o").agg(F.sha2(F.array_join(F.transform(steps, lambda s: hex_text(s["siblings"])), ""), 256).alias("proof_sha256"), hex_text(F.max("last_fold")).alias("folded_root"))
-        proofs, _ = materialise(proofs, "proofs")
+        proofs, proofs_at = materialise(proofs, "proofs")
+    keep(proofs_at)
     subroots = tops.select("tree", hex_text(F.col("hash")).alias("subroot"))
     out = leaves.join(proofs, ["tree", "o"]).join(subroots, "tree").select("id", hex_text(F.col("leaf")).alias("leaf"), "subroot", F.lit(root).alias("root"), "proof_sha256", "folded_root")
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
