@@ -161,3 +161,18 @@ def test_resume_fingerprints():
     assert first[2] == own(page_max={"A": 9})[2] != own(full_page=1)[2] and first[0] != own(sites=["tiktok.com"])[0]
     usual = own(page_max={"A": 10, "B": 3, "C": 1})
     assert usual[1] == usual[2]
+
+
+def test_plan_order(spark):
+    chunks = spark.createDataFrame([("b", "A"), ("a", "B"), ("a", "A"), ("c", "C")], "key string, tier string").repartition(3)
+    windows = spark.createDataFrame([("2026-05-15", "2026-05-28"), ("2026-05-01", "2026-05-14")], "f string, t string").selectExpr("date(f) as content_from", "date(t) as content_to")
+    got = [(r["tier"], str(r["content_from"]), r["key"], r["intent"]) for r in plan.cross_plan(chunks, windows, 2).collect()]
+    assert got == sorted(got) and len(got) == len(set(got)) == 16
+
+
+def test_ranks_of_a_kind_in_several_tasks(spark):
+    attempts = spark.createDataFrame([("k" if k % 9 else None, f"l{k % 400:03d}", k) for k in range(900)], "kind string, label string, s bigint").select("kind", "label", F.timestamp_add("SECOND", "s", F.lit("2026-01-01").cast("timestamp_ntz")).alias("ts"))
+    got = ledger.ranked(attempts, F.lit("2026-01-01").cast("date")).collect()
+    for kind in ("k", None):
+        own = [(r["uses"], r["last_used"], r["label"], r["rank"]) for r in got if r["kind"] == kind]
+        assert [r[3] for r in sorted(own)] == list(range(1, len(own) + 1)) and len(own) > 50

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfind.functions.text import safe_label
-from wayfind.operators.ordered import first_reached, micros, order_statistics, product, spaced
+from wayfind.operators.ordered import first_reached, micros, numbered, order_statistics, product, spaced
 
 # Reasons before anything was attempted, reasons of a failed attempt, outcomes of a label check, order of kinds.
 CAPTURE_REASONS = ["challenge_unavailable", "audio_unavailable", "audio_payload_unavailable", "audio_control_unavailable", "audio_control_not_visible", "audio_control_disabled", "audio_control_click_failed", "audio_response_timeout", "audio_response_http_error", "audio_payload_too_large", "audio_payload_body_unavailable", "proxy_blocked"]
@@ -122,7 +122,8 @@ def snapshot(attempts: DataFrame, now: Column, rests: dict[str, int]) -> DataFra
 def ranked(attempts: DataFrame, day: Column) -> DataFrame:
     """Labels by kind: uses on the day, last use, rank among those of the kind (least used first)."""
     used = attempts.groupBy("kind", "label").agg(F.count_if(F.to_date("ts") == day).alias("uses"), F.max("ts").alias("last_used"))
-    return used.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy("uses", "last_used", "label")))
+    keyed = used.withColumn("__kind", F.coalesce(F.concat(F.lit("1"), "kind"), F.lit("0")))
+    return numbered(keyed, "__kind", ["uses", "last_used", "label"], "__place").withColumn("rank", F.col("__place") + 1).drop("__kind", "__place")
 
 
 def cooldown(attempts: DataFrame, now: Column, rests: dict[str, int]) -> DataFrame:

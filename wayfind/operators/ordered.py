@@ -41,6 +41,17 @@ def previous(rows: DataFrame, group: list[str], at: str, width: int, name: str)
     return told.unionByName(rows.filter(F.col(at).isNull()).withColumn(name, F.lit(None).cast(rows.schema[at].dataType)))
 
 
+def numbered(rows: DataFrame, group: str, order: list[str], name: str = "o") -> DataFrame:
+    """rows with their place from 0 in their group, which is never null: counted by ranges of the order, so that a large group is ranked in many tasks."""
+    ranged, _ = materialise(rows.repartitionByRange(group, *order).withColumn("__part", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy(group, "__part").agg(F.count(F.lit(1)).alias("__m"))
+    before = F.coalesce(F.sum("__m").over(Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per group and range
+    counts = counts.select(group, "__part", before.alias("__before"))
+    within = F.row_number().over(Window.partitionBy(group, "__part").orderBy(*order)) - 1
+    placed = ranged.withColumn("__within", within).join(counts, [group, "__part"])
+    return placed.withColumn(name, F.col("__within") + F.col("__before")).drop("__part", "__within", "__before")
+
+
 def first_reached(rows: DataFrame, group: str, order: list[str], slices: Column, counted: Column, target: int, elapsed: tuple[str, int]) -> DataFrame:
     """Per group the first of rows in `order` by which `counted` was true `target` times or elapsed[1] have gone by since the group's first elapsed[0]; with `reason`, the count tested first.
 

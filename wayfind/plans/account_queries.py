@@ -289,7 +289,7 @@ def _(t):
     return catalogs.packed_registry(rows, "a", "b").select("province", "tier", F.array_join("places", ";").alias("places"), F.array_join("hashtags", ";").alias("hashtags"))
 
 
-@query("report_json")
+@query("report_json", f"""select concat('{{"tier":"', tier, '","counters":{{"requests":', requests, ',"credit":', credit, ',"raw":', raw, ',"eligible":', eligible, ',"inserted":', inserted, ',"duplicate":', duplicate, '}}}}') as report from (select tier, {_SUMS} from v_page group by 1)""")
 def _(t):
     totals = accounting.sums(_stats(t), ["tier"])
     return totals.select(F.to_json(F.struct("tier", F.struct(*accounting.COUNTERS).alias("counters"))).alias("report"))

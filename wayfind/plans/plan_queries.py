@@ -251,7 +251,7 @@ def _(t):
     return t("v_province").select("tier", "province", F.size(text.phrases(F.col("tier"))).alias("phrases"), F.element_at(text.phrases(F.col("tier")), -1).alias("last_phrase"))
 
 
-@query("fingerprint")
+@query("fingerprint", _PLAN + """ select item_id, sha256(concat('{"tier":"', tier, '","key":"', key, '","content_from":"', content_from, '","content_to":"', content_to, '","intent":', intent, '}')) as fingerprint from p""")
 def _(t):
     return plan.fingerprint(_plan(t), ["tier", "key", "content_from", "content_to", "intent"]).select("item_id", "fingerprint")
 
