@@ -18,10 +18,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfind.llm.common import union_all, with_key
+from wayfind.operators.ordered import numbered
 from wayfind.sources.scratch import materialise, step
 
 #: Children of a node as a power of two: 8 consecutive ones.
@@ -65,17 +66,6 @@ def _joined(digests: Column) -> Column:
     return F.unhex(F.array_join(F.transform(digests, F.hex), ""))
 
 
-def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """rows with o, their place from 0 in their group: by ranges of the order, so that a large group is counted in many tasks."""
-    ranged, _ = materialise(rows.repartitionByRange(group, *order).withColumn("part", F.spark_partition_id()), "ranged")
-    counts = ranged.groupBy(group, "part").agg(F.count(F.lit(1)).alias("m"))
-    before = F.coalesce(F.sum("m").over(Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per group and range
-    counts = counts.select(group, "part", before.alias("before"))
-    within = F.row_number().over(Window.partitionBy(group, "part").orderBy(*order)) - 1
-    placed, _ = materialise(ranged.withColumn("within", within).join(counts, [group, "part"]).withColumn("o", F.col("within") + F.col("before")).drop("part", "within", "before"), "numbered")
-    return placed
-
-
 def _levels(leaves: DataFrame, most: int) -> list[DataFrame]:
     """Tables of nodes (tree, level, idx, n, children, hash), from the parents of leaves(tree, idx, n, hash) upwards; n is the number of nodes of the tree at that level, most the largest at the leaves."""
     out, now = [], leaves
@@ -159,7 +149,7 @@ def _manifest(docs: DataFrame, columns: tuple[str, ...], group: str, order: str,
     after = F.when(where, digest(canonical([changed.get(c, field(c)) for c in columns]))).otherwise(leaf) if where is not None else leaf
     name = F.coalesce(F.concat(F.lit("1"), field(group).cast("string")), F.lit("0"))  # null first, a group of its own
     rows, _ = materialise(keyed.select(name.alias("g"), field(order).alias("id"), leaf.alias("leaf"), after.alias("changed"), "key"), "leaves")
-    groups = numbered(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(0)), "all", ["g"]).select("g", F.col("o").alias("tree"), "n")
+    groups, _ = materialise(numbered(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(0)), "all", ["g"]).select("g", F.col("o").alias("tree"), "n"), "groups")
     told = groups.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("groups")).first()
     if not told["groups"]:
         return spark.createDataFrame([], docs.select(F.col(order).alias("id")).schema.add("leaf", "string").add("subroot", "string").add("root", "string").add("proof_sha256", "string").add("folded_root", "string").add("verified", "boolean"))
