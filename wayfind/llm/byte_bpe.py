@@ -184,7 +184,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
 
 def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256: encode_documents without moving the ids out of the worker."""
+    """doc_id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256: encode_documents without moving the ids out of the worker. One row per input row, repeated ones too; null text is empty, an empty table gives no rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path, pattern)

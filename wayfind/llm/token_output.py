@@ -185,7 +185,7 @@ def _read(spark: SparkSession, target: str, columns: Callable[[list[bytes]], dic
 
 
 def read_dataset(spark: SparkSession, target: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), ids (binary, little-endian unsigned 32-bit integers), read from the files alone."""
+    """doc_id, start (ids of all documents before it), ids (binary, little-endian unsigned 32-bit integers), read from the files alone; a dataset of an empty table gives no rows."""
     return _read(spark, target, lambda ids: {"ids": ids}, "ids binary")
 
 
