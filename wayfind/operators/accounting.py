@@ -15,6 +15,11 @@ def sums(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in COUNTERS))
 
 
+def sums_with_total(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """A1-A3: the six counters by keys and in total, in one pass; the total has null keys, and an empty table gives no row."""
+    return rows.groupingSets([keys, []], *keys).agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in COUNTERS))
+
+
 def rate(part: Column, whole: Column, digits: int = 6) -> Column:
     """Part of whole; null where whole is 0."""
     return F.round(F.try_divide(part.cast("double"), whole), digits)

@@ -69,6 +69,12 @@ def histogram(events: DataFrame, keys: list[str], value: str) -> DataFrame:
     return events.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
+def histogram_map(events: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Counts of value by keys as one map each, in the order of values; null values are left out, and keys without any have no row."""
+    counts = histogram(events.filter(F.col(value).isNotNull()), keys, value)
+    return counts.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(value, "n")))).alias("counts"))  # as many entries as the result holds
+
+
 def zero_filled(rows: DataFrame, categories: DataFrame, keys: DataFrame, key: str, value: str) -> DataFrame:
     """N of every category for every key, 0 where there is none; null keys and categories are left out."""
     names = categories.select(value).distinct().filter(F.col(value).isNotNull())

@@ -20,9 +20,7 @@ _SUMS = "sum(requests)::bigint as requests, sum(requests)::bigint as credit, sum
 
 @query("report_rows", f"select tier, w, {_SUMS} from v_page group by 1, 2 union all select null, null, {_SUMS} from v_page")
 def _(t):
-    rows = _stats(t)
-    total = accounting.sums(rows, []).select(F.lit(None).cast("string").alias("tier"), F.lit(None).cast("int").alias("w"), *accounting.COUNTERS)
-    return accounting.sums(rows, ["tier", "w"]).unionByName(total)
+    return accounting.sums_with_total(_stats(t), ["tier", "w"])
 
 
 @query("continuation", "select count(*) filter (where raw >= 8) as full_pages, count(*) as pages, round(count(*) filter (where raw >= 8) / count(*), 6) as rate, 8 as threshold from v_page where status = 'done'")
@@ -160,6 +158,12 @@ def _(t):
     return ledger.histogram(_classified(t).filter("event = 'result'"), ["kind"], "class")
 
 
+@query("outcome_maps", f"""with {_CLS}, c as (select kind, class, count(*) as n from l where event = 'result' group by 1, 2) select kind, concat('{{', string_agg(concat('"', class, '":', n), ',' order by class), '}}') as counts from c group by 1""")
+def _(t):
+    maps = ledger.histogram_map(_classified(t).filter("event = 'result'"), ["kind"], "class")
+    return maps.select("kind", F.to_json("counts").alias("counts"))
+
+
 @query("gate", f"with {_CLS}, c as (select kind, {_COUNTS}, quantile_disc({_DUR}, 0.95) as p95 from l group by 1) select kind, offered, solve_rate, case when paid > 0 or (offered >= 20 and offered_labels >= 3 and (solve_rate < 0.6 or coalesce(p95 > 60000, true))) then 'failed' when offered >= 20 and offered_labels >= 3 then 'ready' else 'inconclusive' end as gate from c")
 def _(t):
     return ledger.gate(ledger.counters(_classified(t), ["kind"]), 20).select("kind", "offered", "solve_rate", "gate")
