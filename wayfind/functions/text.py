@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -31,12 +32,15 @@ AD_LETTERS = r"[\x{1D400}-\x{1D7FF}]"
 #: The first bytes of all these letters in UTF-8.
 AD_LETTERS_START = bytes([0xF0, 0x9D])
 AD_PRICE = rf"[0-9]{{2,}}\s?(k|tr|đ|vnđ|vnd|nghìn|triệu|ngàn){B}"
-AD_PHONE = r"(?<![0-9])0[0-9]{8,10}(?![0-9])"
+AD_PHONE = r"0(?<![0-9]0)[0-9]{8,10}(?![0-9])"
 AD_TERMS = ["voucher", "combo", "khuyến mãi", "khuyến mại", "inbox", "booking", "đặt phòng", "đặt tour", "liên hệ", "ưu đãi", "giảm giá", "đặt ngay", "pass phòng", "còn phòng", "nhận đặt", "hotline", "giá rẻ", "zalo", "sđt", "báo giá"]
+#: Parts that several of these terms share, none of them ASCII.
+AD_PARTS = ["đặt", "giá", "phòng", "khuyến m"]
 AD_BOUNDED = {"deal": rf"{B}deal{B}", "sale": rf"{B}sale{B}", "ib": rf"ib{B}"}
 SAFE_LABEL = r"(?i)^[a-z][a-z0-9_-]{0,63}$"
 
-#: White space at the ends of terms, beyond the blank.
+#: White space at the ends of terms, beyond the blank: a set of characters, and the same as a pattern.
+SPACES = " \t\n\x0b\f\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 SPACE = r"[\s\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 
 
@@ -50,12 +54,16 @@ def table(rows: dict[str, object]) -> Column:
 
 
 def trimmed(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def normalize_site(site: Column) -> Column:
     """Canonical domain of a site alias; an unknown one as it is, lower-cased and trimmed."""
-    own = trimmed(F.lower(site))
+    return canonical_site(trimmed(F.lower(site)))
+
+
+def canonical_site(own: Column) -> Column:
+    """P1 of a lower-cased, trimmed alias."""
     return F.coalesce(F.try_element_at(table(SITE_ALIASES), own), own)
 
 
@@ -161,18 +169,23 @@ def compose(site: Column, text: Column, date_from: Column, date_to: Column, time
 def ad_flag(title: Column, snippet: Column) -> Column:
     """Signs of advertising in title or snippet; blank text has none.
 
-    The text is lower-cased once. Terms are searched as plain strings, and a pattern only where a plain
-    search has found what it begins with: a pattern of all terms would try each at every character.
+    The text is lower-cased once. Terms are searched as plain strings, those with other letters than
+    ASCII's only in texts that have some, several with a common part only where that is found, and
+    patterns only where a plain search has found what they begin with: a pattern of all terms would try
+    each at every character.
     """
     text = F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(snippet, F.lit("")))
+    parts = {part: [x for x in AD_TERMS if part in x] for part in AD_PARTS}
+    alone = [x for x in AD_TERMS if not any(x in own for own in parts.values())]
+
+    def any_of(terms: list[Column]) -> Column:
+        return reduce(lambda a, b: a | b, terms, F.lit(False))
 
     def signs(low: Column) -> Column:
-        found = F.lit(False)
-        for term in AD_TERMS:
-            found = found | low.contains(term)
-        for part, pattern in AD_BOUNDED.items():
-            found = found | (low.contains(part) & low.rlike(pattern))
-        return found | low.rlike(AD_PRICE) | (low.contains("0") & low.rlike(AD_PHONE))
+        plain = any_of([low.contains(x) for x in alone if x.isascii()])
+        bounded = any_of([low.contains(part) & low.rlike(pattern) for part, pattern in AD_BOUNDED.items()])
+        other = any_of([low.contains(x) for x in alone if not x.isascii()] + [low.contains(part) & any_of([low.contains(x) for x in own]) for part, own in parts.items()])
+        return plain | bounded | low.rlike(AD_PRICE) | (low.contains("0") & low.rlike(AD_PHONE)) | ((F.octet_length(low) > F.char_length(low)) & other)
 
     worded = F.get(F.transform(F.array(F.lower(text)), signs), F.lit(0))
     return worded | (F.contains(text.cast("binary"), F.lit(bytearray(AD_LETTERS_START))) & text.rlike(AD_LETTERS))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfind.functions.text import SPACE, normalize_site, trimmed
+from wayfind.functions.text import SPACE, canonical_site, trimmed
 from wayfind.operators.results import once
 
 # Allowed words of a message.
@@ -16,7 +16,7 @@ SCHEMA = "job_id string, job_type string, search_sites array<string>, date_from
 
 def _date(c: Column) -> Column:
     own = F.regexp_extract(c, rf"^{SPACE}*([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}){SPACE}*$", 1)
-    return F.when(own != "", F.try_to_date(own, "yyyy-MM-dd"))
+    return F.when(own != "", own.try_cast("date"))
 
 
 def parsed(messages: DataFrame, profiles: list[str], default_profile: str, value: str = "value") -> DataFrame:
@@ -29,7 +29,8 @@ def parsed(messages: DataFrame, profiles: list[str], default_profile: str, value
     raw = lambda name: F.col(f"__m.{name}")
     blank = lambda c: c.isNull() | (c == "")
     word = lambda name: F.lower(trimmed(raw(name)))
-    sites = F.array_distinct(F.filter(F.transform(raw("search_sites"), normalize_site), lambda s: s != ""))
+    words = F.transform(raw("search_sites"), lambda s: trimmed(F.lower(s)))
+    sites = F.array_distinct(F.filter(F.transform(words, canonical_site), lambda s: s != ""))
     named = {"job_id": trimmed(raw("job_id")), "job_type": word("job_type"), "sites": sites, "date_from": _date(raw("date_from")), "date_to": _date(raw("date_to")), "profile": word("search_profile"), "time_filter": word("time_filter")}
     m = once(m, "__n", F.struct(*(c.alias(name) for name, c in named.items())))
     n = lambda name: F.col(f"__n.{name}")
@@ -49,7 +50,8 @@ def parsed(messages: DataFrame, profiles: list[str], default_profile: str, value
         "split_days": F.coalesce((raw("split_days") < 0) | ~whole(raw("split_days")), F.lit(False)),
         "max_pages": F.coalesce((raw("max_pages") < 1) | (raw("max_pages") > 10) | ~whole(raw("max_pages")), F.lit(False)),
     }
-    broken = F.array_compact(F.array(*(F.when(rule, F.lit(name)) for name, rule in rules.items())))
+    told = F.concat_ws(",", *(F.when(rule, F.lit(name)) for name, rule in rules.items()))  # unlike a filtered array, compiled code
+    broken = F.when(told == "", F.array().cast("array<string>")).otherwise(F.split(told, ","))
     object_ = F.trim(F.col(value).cast("string")).startswith("{") & F.col("__m").isNotNull()
     return m.select(
         *messages.columns, F.when(object_, broken).otherwise(F.array(F.lit("payload"))).alias("errors"), n("job_id").alias("job_id"), n("job_type").alias("job_type"), n("sites").alias("sites"), n("date_from").alias("date_from"), n("date_to").alias("date_to"), profile.alias("profile"),
