@@ -206,7 +206,7 @@ def test_op5_models_against_dictionaries(spark):
             pairs[k % 2].update(steps(word))
     seen = set(pairs[0]) | set(pairs[1])
     by_class = [Counter({(long, c): n for (long, _, c), n in p.items()}) for p in pairs]
-    strong = {long for long, c in by_class[0] | by_class[1] if max(p[long, c] for p in by_class) > 3}
+    strong = {long for long, c in by_class[0] | by_class[1] if max(p[long, c] for p in by_class) > toxicity.LEAST_COUNT}
     contexts = {(short, long, c) for long, short, c in seen}
 
     def single(c):
@@ -224,7 +224,7 @@ def test_op5_models_against_dictionaries(spark):
 
     def likelihood(counts, long, short, c):
         n = {y: k for (x, y), k in counts.items() if x == long and long in strong}
-        left = {y: max(0.0, k - 0.75 - 1.5 * k**0.5) for y, k in n.items()}
+        left = {y: max(0.0, k - model.discount[0] - model.discount[1] * k**0.5) for y, k in n.items()}  # the discount that training chose
         total = sum(n.values())
         share = min(1.0, max(toxicity.LEAST_LEFT, 1 - sum(left.values()) / max(1, total))) if long in strong else 1.0
         return left.get(c, 0.0) / max(1, total) + share * backoff(long, short, c)
