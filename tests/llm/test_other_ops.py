@@ -139,6 +139,31 @@ def test_band_join_of_tiles(spark):
     assert len(got) == len(set(got)) and set(got) == expected
 
 
+def test_leading_coordinates_lose_no_pair(spark):
+    """Whole vectors follow only where a partner may be: few of a cloud without structure, and all that link, for pairs about the threshold and ids that repeat."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(400, 48))
+    near = base[:120] + rng.normal(size=(120, 48)) * rng.uniform(0.2, 0.6, size=(120, 1))
+    x = np.concatenate([base, near])
+    rows = [(k % 500, v.tolist(), "c", 1) for k, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string, tile int")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(unit @ unit.T >= 0.93, 1))
+    assert 20 < len(a) < 120
+    classes = embedding_dedup.distinct_vectors(frame)
+    axes = embedding_dedup.principal_axes(classes)
+    tiled = embedding_dedup._tiled(classes, axes, 32).cache()
+    pairs = embedding_dedup._tile_pairs(tiled, 0.93)
+    sent = embedding_dedup._in_pairs(tiled, pairs, "rep").count()
+    met = embedding_dedup._with_partner(tiled, pairs, 0.93).toPandas()
+    assert not met.duplicated(["a", "b", "side", "h1", "h2"]).any() and len(met) < sent / 4
+    numbered = spark.createDataFrame([(k, v.tolist(), "c") for k, v in enumerate(x)], "vec_id bigint, embedding array<double>, label string")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_links(numbered, tile=32).collect()}
+    assert [got[k] for k in range(len(x))] == np.bincount(np.concatenate([a, b]), minlength=len(x)).tolist()
+    repeated = embedding_dedup.near_links(frame, tile=32).collect()
+    assert len(repeated) == len(rows) and all(r["component_id"] <= r["vec_id"] for r in repeated)
+
+
 def shingles(text, n=5):
     words = re.sub("[A-Z]", lambda m: m.group().lower(), text).encode().split()
     return {b" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()

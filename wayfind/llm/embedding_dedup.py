@@ -3,7 +3,9 @@
 Vectors are turned into the basis of their second moments, so that leading dimensions carry most of
 every product. Tiles are runs along the first one. Tile pairs whose boxes lie too far apart are never
 formed; in the others products are accumulated a few dimensions at a time, and a pair is dropped once
-its sum so far plus the product of both suffix norms stays under the threshold.
+its sum so far plus the product of both suffix norms stays under the threshold. That happens twice:
+first only the leading coordinates and the norm of the rest travel to the tile pairs, and whole
+vectors follow only into tile pairs where they have a partner left.
 """
 
 from __future__ import annotations
@@ -25,12 +27,16 @@ TILE = 1024
 SLICES = 4096
 #: Leading coordinates of the boxes around tiles.
 BOX = 8
+#: Leading coordinates that travel to every tile pair, with the norm of the rest.
+LEADING = 16
 #: Dimensions after which products are bounded.
 STEPS = (8, 16, 32, 64, 128, 256, 512)
 #: Lengths of vectors that get a basis of their own, the most frequent ones; others are compared as they are, with the same result.
 LENGTHS = 64
 #: Covers rounding of the turned vectors; what passes is compared anew as given.
 SLACK = 1e-9
+#: Covers rounding of leads to single precision, as which they travel.
+LEAD_SLACK = 1e-6
 
 
 def _scaled(vectors: pd.Series) -> np.ndarray:
@@ -79,21 +85,26 @@ def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
-def _turned(x: np.ndarray, axes: dict[int, np.ndarray], leading: int | None = None) -> np.ndarray:
-    """Unit vectors in the basis of their length, all or the leading coordinates."""
+def _turned(x: np.ndarray, axes: dict[int, np.ndarray]) -> np.ndarray:
+    """Unit vectors in the basis of their length."""
     own = axes.get(x.shape[1])
-    return x[:, :leading] if own is None else x @ own[:, :leading]
+    return x if own is None else x @ own
 
 
 def _tiled(classes: DataFrame, axes: dict[int, np.ndarray], tile: int) -> DataFrame:
-    """classes with lead (leading coordinates) and tile, numbered along the first coordinate within a label and dim."""
-    shared = classes.sparkSession.sparkContext.broadcast({d: a[:, :BOX] for d, a in axes.items()})
+    """classes with lead (LEADING coordinates, then the norm of the rest) and tile, numbered along the first coordinate within a label and dim.
+
+    The product of two leads is the most that the product of their vectors can be.
+    """
+    shared = classes.sparkSession.sparkContext.broadcast(axes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, own in batch.groupby("dim"):
-                lead = np.zeros((len(own), BOX))
-                lead[:, : min(BOX, dim)] = _turned(_unit(own["embedding"]), shared.value, BOX)
+                turned = _turned(_unit(own["embedding"]), shared.value)
+                lead = np.zeros((len(own), LEADING + 1))
+                lead[:, : min(LEADING, dim)] = turned[:, :LEADING]
+                lead[:, LEADING] = np.sqrt((turned[:, LEADING:] ** 2).sum(axis=1))
                 yield own.assign(lead=list(lead))
 
     kind = classes.schema["embedding"].dataType.simpleString()
@@ -152,6 +163,29 @@ def near_pairs(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarr
     return rows, cols
 
 
+def _in_pairs(tiled: DataFrame, pairs: DataFrame, *columns: str) -> DataFrame:
+    """The rows of both tiles of each pair; side tells which."""
+    sides = [tiled.join(pairs.withColumn("tile", F.col(end)), ["label", "dim", "tile"]).select("label", "dim", "a", "b", *columns, F.lit(k).alias("side")) for k, end in enumerate("ab")]
+    return sides[0].unionByName(sides[1].filter("a <> b"))
+
+
+def _with_partner(tiled: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """label, dim, a, b, side, h1, h2 of vectors that, by their leads, may reach the threshold with one of the other tile."""
+
+    def screen(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("side", ignore_index=True)
+        lead = np.stack(own["lead"].to_numpy()).astype(np.float64)
+        split = int((own["side"] == 0).sum())
+        same = split == len(own)
+        a, b = near_pairs(lead[:split], lead if same else lead[split:], threshold - LEAD_SLACK)
+        a, b = (a[a != b], b[a != b]) if same else (a, b + split)
+        return own.loc[np.union1d(a, b), ["label", "dim", "a", "b", "side", "h1", "h2"]]
+
+    label = tiled.schema["label"].dataType.simpleString()
+    leads = _in_pairs(tiled.withColumn("lead", F.col("lead").cast("array<float>")), pairs, "lead", *_identity("embedding"))
+    return leads.groupBy("label", "dim", "a", "b").applyInPandas(screen, f"label {label}, dim int, a string, b string, side int, h1 bigint, h2 bigint")
+
+
 def near_links(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE) -> DataFrame:
     """vec_id, n_links, component_id, kept of vectors(vec_id, embedding, label), one row per input row.
 
@@ -190,8 +224,8 @@ def near_links(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE) ->
         rep = own["rep"].to_numpy()
         return pd.DataFrame({"rep": rep[some], "links": links[some].astype(np.int64), "root": rep[parent[some]]})
 
-    sides = [tiled.join(pairs.withColumn("tile", F.col(end)), ["label", "dim", "tile"]).select("label", "dim", "a", "b", "rep", "n", "embedding", F.lit(k).alias("side")) for k, end in enumerate("ab")]
-    both = sides[0].unionByName(sides[1].filter("a <> b"))
+    met, _ = materialise(_with_partner(tiled, pairs, threshold), "met")
+    both = met.join(tiled.select("label", "dim", *_identity("embedding"), "rep", "n", "embedding"), ["label", "dim", "h1", "h2"])
     found, _ = materialise(both.groupBy("label", "dim", "a", "b").applyInPandas(compare, "rep bigint, links bigint, root bigint"), "links")
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = connected_components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
