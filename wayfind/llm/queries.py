@@ -165,6 +165,17 @@ ORACLE_SQL = {
         root as (select h as root from over where n = 1)
         select doc_id, h as leaf, subroot, root, sha256(proof) as proof_sha256, f as folded_root, f = root as verified
         from (select doc_id, own, f, proof from climb where t = -1 and n = 1) join (select doc_id, h from leaf) using (doc_id) join (select t as own, h as subroot from top) using (own), root""",
+    "op7_embedding_dedup": f"""
+        with recursive v as (select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings where label is not null and {_FINITE} and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        c as (select label, e, min(vec_id) as rep, count(*) as n, sqrt(list_dot_product(e, e)) as norm from v group by label, e),
+        near as (select a.rep as u, b.rep as w, b.n from c a join c b on a.label = b.label and len(a.e) = len(b.e) and a.rep <> b.rep
+            where case when len(a.e) = len(b.e) then list_dot_product(a.e, b.e) / (a.norm * b.norm) end >= 0.93),
+        reach as (select rep as r, rep as m from c union select r, w from reach join near on u = m),
+        least as (select r as rep, min(m) as component from reach group by r),
+        linked as (select u as rep, sum(n) as links from near group by u),
+        known as (select vec_id, n - 1 + coalesce(links, 0) as n_links, component from v join c using (label, e) join least using (rep) left join linked using (rep))
+        select vec_id, coalesce(n_links, 0)::bigint as n_links, coalesce(component, vec_id)::bigint as component_id, coalesce(vec_id = coalesce(component, vec_id), false) as kept
+        from embeddings left join known using (vec_id)""",
     "op12_top_k": f"""
         with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as w from embeddings where {_FINITE}),
         s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.w, c.w)::bigint as score from v q, v c where q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
