@@ -1,5 +1,6 @@
 import datetime
 import logging
+import os
 
 import numpy as np
 import pytest
@@ -7,7 +8,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from wayfind.plans import stream_queries
 from wayfind.sources import posts
+from wayfind.sources.scratch import scratch_path, shared_dir
 from wayfind.streaming import streams
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -202,3 +205,24 @@ def test_most_posts_are_neither_read_nor_shuffled(spark, tmp_path, monkeypatch):
     assert posts.insert(spark.range(50).select(F.concat(F.lit("p"), F.col("id") * 400).alias("post_id"), F.col("id").alias("ord")), target, 4, ["ord"], 8) == 50 - 23
     assert posts.insert(spark.range(50).select(F.concat(F.lit("p"), F.col("id") * 400).alias("post_id"), F.col("id").alias("ord")), target, 5, ["ord"], 8) == 0
     assert posts.insert(new.limit(0), target, 6, ["ord"], 8) == 0
+
+
+def test_files_of_a_stream_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 50)
+    stream = stream_queries._stream(spark, spark.range(3000).coalesce(1), batches=2)
+    seen = []
+    streams.run(stream, lambda batch, number: seen.append([r["n"] for r in batch.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]), scratch_path(spark, "state")).awaitTermination()
+    assert len(seen) == 2 and sum(map(sum, seen)) == 3000 and max(map(max, seen)) <= 50
+
+
+def test_versions_of_a_small_dimension_are_broadcast(spark, tmp_path, monkeypatch):
+    rows = [(MESSAGE % f"j{k}", datetime.datetime(2026, 1, 1 + k % 3)) for k in range(6)]
+    stream = files(spark, tmp_path, [rows], "value string, received timestamp_ntz")
+    versions = spark.createDataFrame([("vi", "x.com", "a", datetime.datetime(2026, 1, 2)), ("vi", "x.com", "b", datetime.datetime(2026, 1, 3))], "profile string, site string, text string, since timestamp_ntz")
+    joined = []
+    inner = streams._fanned
+    monkeypatch.setattr(streams, "_fanned", lambda r: joined.append(r._jdf.queryExecution().executedPlan().toString()) or inner(r))
+    streams.plan_table(stream, ["vi"], "vi", lambda s: versions, f"{tmp_path}/plan", f"{tmp_path}/state", received="received").awaitTermination()
+    assert sorted((r["job_id"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/plan").collect()) == [("j1", "a"), ("j2", "b"), ("j4", "a"), ("j5", "b")]
+    assert "BroadcastHashJoin" in joined[0] and "SortMergeJoin" not in joined[0]
+    assert not [x for x in os.listdir(shared_dir(spark).removeprefix("file://")) if x.startswith("versions-")]

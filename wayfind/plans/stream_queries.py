@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -19,11 +20,16 @@ from wayfind.sources.scratch import scratch_path
 from wayfind.streaming import streams
 
 
-def _stream(spark: SparkSession, rows: DataFrame, files: int = 4) -> DataFrame:
-    """rows written as a few files and read as a stream, one file per micro-batch."""
+def _stream(spark: SparkSession, rows: DataFrame, batches: int = 4) -> DataFrame:
+    """rows written as files of at most streams.FILE_ROWS and read as a stream of `batches` micro-batches, so that every core has a file and no task gets more of a larger table."""
     path = scratch_path(spark, "source")
-    rows.repartition(files).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows.write.option("maxRecordsPerFile", streams.FILE_ROWS).parquet(path)
+    written = spark.read.schema(rows.schema).parquet(path)
+    files, least = len(written.inputFiles()), batches * spark.sparkContext.defaultParallelism
+    if files < least:  # a small table, dealt anew
+        path, files = scratch_path(spark, "source"), least
+        written.repartition(files).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", math.ceil(files / batches)).parquet(path)
 
 
 def stream_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +118,10 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _planned(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).groupBy("job_id", "site", "text", "label").agg(F.count(F.lit(1)).alias("n"), F.min("query").alias("query"))
+    """A row per query of a plan. The least text needs sorted rows, so they are dealt by job first, into tasks of a few files' rows."""
+    rows = spark.read.parquet(target)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows.count() / (4 * streams.FILE_ROWS)))
+    return rows.repartition(tasks, "job_id").groupBy("job_id", "site", "text", "label").agg(F.count(F.lit(1)).alias("n"), F.min("query").alias("query"))
 
 
 def stream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,10 @@ from wayfind.operators import plan, triggers
 from wayfind.operators.accounting import latest
 from wayfind.operators.ordered import micros
 from wayfind.sources import posts
-from wayfind.sources.scratch import discard, materialise
+from wayfind.sources.scratch import discard, materialise, step
+
+#: Most rows of a file that is read again, here and by what feeds a stream: a task reads a few files, whatever their number.
+FILE_ROWS = 100_000
 
 
 def message_options(servers: str, topic: str) -> dict[str, str]:
@@ -92,9 +95,17 @@ def as_of(rows: DataFrame, versions: DataFrame, keys: list[str], at: str, since:
     A version is all rows of a key with the same `since`. Rows of a time before the first version find
     none and are dropped, like rows of an unknown or null key.
     """
+    return _within(rows, _dated(versions, keys, since), keys, at, since)
+
+
+def _dated(versions: DataFrame, keys: list[str], since: str) -> DataFrame:
+    """versions with __until, when the next one of their key begins."""
     spans = versions.select(*keys, since).distinct()
     spans = spans.withColumn("__until", F.lead(since).over(Window.partitionBy(*keys).orderBy(since)))  # the versions of one key
-    dated = versions.join(spans, [*keys, since])
+    return versions.join(spans, [*keys, since])
+
+
+def _within(rows: DataFrame, dated: DataFrame, keys: list[str], at: str, since: str) -> DataFrame:
     valid = (F.col(at) >= F.col(since)) & (F.col("__until").isNull() | (F.col(at) < F.col("__until")))
     return rows.join(dated, keys).filter(valid).drop("__until")
 
@@ -105,13 +116,20 @@ def plan_table(messages: DataFrame, profiles: list[str], default_profile: str, t
     texts gives the dimension (profile, site, text) anew for every micro-batch, so that a change shows
     in the next one. With `received`, a column of messages, the dimension has versions
     (profile, since, site, text), and a job gets the one that was valid when its message came, in a replay too.
+    The spans of the versions are written first: Spark knows the size of a table, but takes that of a
+    join for the product of its sides, and would send all jobs to the few keys of a small dimension.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
+        spark, keys = batch.sparkSession, ["profile", "site"]
         jobs = triggers.accepted(triggers.parsed(batch, profiles, default_profile))
-        now = texts(batch.sparkSession)
-        rows = _fanned(as_of(jobs.withColumn("site", F.explode("sites")), now, ["profile", "site"], received)) if received else planned(jobs, now)
-        rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        with step(spark):
+            if received:
+                dated, _ = materialise(_dated(texts(spark), keys, "since").coalesce(1), "versions")
+                rows = _fanned(_within(jobs.withColumn("site", F.explode("sites")), dated, keys, received, "since"))
+            else:
+                rows = planned(jobs, texts(spark))
+            rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(f"{target}/batch={number}")
 
     return run(messages, sink, checkpoint)
 
