@@ -66,3 +66,9 @@ def test_parts_of_a_page(spark):
 def test_blocks_of_the_second_kind(spark):
     html = "<div data-hveid='1' data-ved='2'><a href='https://a.example/1'><h3>A</h3></a></div><div data-hveid='1'><a href='https://a.example/2'><h3>B</h3></a></div><div data-hveid='1' data-ved='2'><b data-text-ad></b><a href='https://a.example/3'><h3>C</h3></a></div>"
     assert [r["title"] for r in result_blocks(spark.createDataFrame([(1, html)], "page_id bigint, html string")).collect()] == ["A"]
+
+
+def test_a_worker_holds_few_pages(spark):
+    rows = spark.createDataFrame([(1, "<h3>a</h3>")], "page_id bigint, html string")
+    plan = parsed_pages(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan  # a hundred rows at a time, not Arrow's 10,000

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -139,25 +138,25 @@ class _Page(HTMLParser):
         usual = [b for b in self.blocks if b.main and not b.nested]
         kept = [b.row() for b in usual or self.blocks if not b.ad and b.title]
         lines = (" ".join(x.split()) for x in "".join(self.text).split("\n"))
-        return self.h3, self.has_next, self.challenge, "\n".join(x for x in lines if x), [dict(zip(("title", "href", "snippet"), x, strict=True)) for x in kept]
+        return self.h3, self.has_next, self.challenge, "\n".join(x for x in lines if x), kept
 
 
-def _parsed(html: pd.Series) -> pd.DataFrame:
-    rows = []
-    for page in html:
-        parser = _Page()
-        parser.feed(page or "")
-        rows.append(parser.row())
-    return pd.DataFrame(rows, columns=["h3", "has_next", "challenge", "body", "blocks"])
+def _parsed(html: str | None) -> tuple:
+    parser = _Page()
+    parser.feed(html or "")
+    return parser.row()
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """pages(html, ...) with `page`: the number of h3, whether there is a next link and a challenge, the visible text, and title, href and snippet of each result block that is no advertisement, has a heading and stands in no other one. A null page is an empty one."""
-    return pages.withColumn("page_parts", F.pandas_udf(_parsed, PARSED)("html")).select(*(c for c in pages.columns if c != "html"), "page_parts.*")
+    """pages(html, ...) with `page`: the number of h3, whether there is a next link and a challenge, the visible text, and title, href and snippet of each result block that is no advertisement, has a heading and stands in no other one. A null page is an empty one.
+
+    Pages go to Python a hundred at a time, not in Arrow's batches of 10,000 rows, all of which, and what they say, a worker would hold at once.
+    """
+    return pages.withColumn("page_parts", F.udf(_parsed, PARSED, useArrow=False)("html")).select(*(c for c in pages.columns if c != "html"), "page_parts.*")
 
 
 def result_blocks(pages: DataFrame) -> DataFrame:
-    """page_id, pos, title, url, snippet of pages(page_id, html): links unwrapped, each URL once per page. Only the parse runs in Python, batch by batch."""
+    """page_id, pos, title, url, snippet of pages(page_id, html): links unwrapped, each URL once per page. Only the parse runs in Python."""
     rows = parsed_pages(pages.select("page_id", "html")).select("page_id", F.posexplode("blocks").alias("pos", "b")).select("page_id", "pos", "b.*")
     rows = rows.withColumn("url", unwrap(F.col("href"))).filter("url is not null").withColumn("__key", F.struct("page_id", "url"))
     return results.first_wins(rows, "__key", ["pos"]).select("page_id", "pos", "title", "url", "snippet")
