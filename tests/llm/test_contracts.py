@@ -15,6 +15,8 @@ import tiktoken
 import xxhash
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from wayfind.llm import byte_bpe, language_id, queries, substring_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -233,3 +235,12 @@ def test_op5_models_against_dictionaries(spark):
     expected = [sum(np.log(likelihood(by_class[1], *s)) - np.log(likelihood(by_class[0], *s)) for s in steps(w)) for w in words]
     assert np.allclose(model.ratios(words), expected, atol=1e-9)
     assert max(map(abs, expected)) > 1
+
+
+def test_op5_learns_from_every_labelled_row(spark):
+    """More rows of a class than a sample held before."""
+    texts = [(k, "calm river " + ("zork " * 4 if k in (11, 9_000) else "stone ")) for k in range(9_100)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = docs.select("doc_id", F.col("text").contains("zork").cast("int").alias("toxic"))
+    rows = toxicity.labelled_rows(docs, labels.unionByName(labels.limit(3)))
+    assert rows.count() == 9_100 and rows.agg(F.sum("toxic")).first()[0] == 2

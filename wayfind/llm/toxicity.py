@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfind.llm.common import text_or_empty
-from wayfind.sources.scratch import materialise
+from wayfind.sources.scratch import discard, materialise
 
 WORD = re.compile(r"[^\W_]+")
 #: Characters of context in the class models and in the shared one's lower order.
@@ -42,6 +42,8 @@ WINDOW = 12
 FEATURES = 7
 #: Bounds the memory of a worker's table of words that it has seen, nothing else.
 CACHE_WORDS = 1_500_000
+#: Sums over the training rows are of multiples of 1 / UNIT.
+UNIT = float(1 << 24)
 #: Models that training makes: of each half of the rows, and of all.
 HALVES, ALL = (0, 1), 2
 
@@ -97,6 +99,7 @@ class ToxicityModel:
     shared: tuple = ()  # of the backoff: pair and context counts and kinds, by order
     discount: tuple = ()  # the one of DISCOUNTS that was chosen
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
+    most: int = CACHE_WORDS
     seen: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self) -> dict:
@@ -115,11 +118,15 @@ class ToxicityModel:
         try:
             return np.fromiter(map(self.seen.__getitem__, words), np.float64, len(words))
         except KeyError:
-            if len(self.seen) > CACHE_WORDS:
-                self.seen = {}
-            self.learn(set(words))
+            self.fresh(set(words))
             return np.fromiter(map(self.seen.__getitem__, words), np.float64, len(words))
 
+    def fresh(self, words: set[str]) -> None:
+        """Learn words, after forgetting all others if there are too many."""
+        if len(self.seen) > self.most:
+            self.seen = {}
+        self.learn(words)
+
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.seen]
         for at in range(0, len(new), 50_000):
@@ -145,36 +152,31 @@ class ToxicityModel:
         if not self.ready:
             return [0.0] * len(texts)
         words = [WORD.findall(t.lower()) for t in texts]
-        if len(self.seen) > CACHE_WORDS:
-            self.seen = {}
-        self.learn(set().union(*words))
+        self.fresh(set().union(*words))
         x = np.array([self.features(w) for w in words]).reshape(-1, FEATURES) @ self.weights
         return (1 / (1 + np.exp(-np.clip(x, -30, 30)))).tolist()
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, max_docs: int) -> DataFrame:
-    """text, toxic, half, weight of at most about max_docs labelled rows per class, drawn by the hash of doc_id.
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text, toxic, half of every labelled row; half by the hash of doc_id. Whole texts count.
 
-    The only bounded sample here; whole texts count. A doc_id labelled twice is toxic if any label
-    says so; null ids, labels other than 0 and 1 and labels without a document are left out. The
-    drawn labels, at most about 2 * max_docs rows, are broadcast.
+    A doc_id labelled twice is toxic if any label says so; null ids, labels other than 0 and 1 and
+    labels without a document are left out.
     """
-    marks = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sizes = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.when(F.col("toxic") == 1, min(1.0, max_docs / max(1, sizes.get(1, 0)))).otherwise(min(1.0, max_docs / max(1, sizes.get(0, 0))))
-    drawn = marks.filter(F.xxhash64("doc_id") / F.lit(float(1 << 64)) + 0.5 < share).select("doc_id", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("half"), (1 / share).alias("weight"))
-    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(drawn), "doc_id").select("text", "toxic", "half", "weight")
+    marks = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marks = marks.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
+    return docs.select("doc_id", text_or_empty().alias("text")).join(marks, "doc_id").select("text", "toxic", "half")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> ToxicityModel:
-    """Fit on rows of docs(doc_id, text) with labels(doc_id, toxic); without both classes the model scores 0.
+def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    """Fit on all rows of docs(doc_id, text) with labels(doc_id, toxic); without both classes the model scores 0.
 
-    Each half of the drawn rows is scored by models of the other half, for each of DISCOUNTS; the one
+    Each half of the rows is scored by models of the other half, for each of DISCOUNTS; the one
     whose logistic curve has the least loss, and that curve, are taken for the models of all of them.
-    The driver gets sums per hash bucket, bounded by the texts of the sample and by BUCKETS, and a row
-    of features per drawn row and discount.
+    The driver gets sums per hash bucket, bounded by BUCKETS, and the sums of each round of the curves.
     """
-    sample, _ = materialise(sample_rows(docs, labels, max_docs), "toxic-sample")
+    sample, path = materialise(labelled_rows(docs, labels), "toxic-rows")
+    paths = [path]  # none is read once the model is there
     if sample.select("toxic").distinct().count() < 2:
         return ToxicityModel()
 
@@ -191,7 +193,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> ToxicityM
                         yield pd.DataFrame({k: g[k][first] for k in kinds}).assign(toxic=toxic, half=half, n=n)
 
     counts = sample.mapInPandas(count, "long_next bigint, long bigint, short_next bigint, short bigint, next bigint, toxic int, half int, n bigint")
-    counts, _ = materialise(counts.groupBy("long_next", "long", "short_next", "short", "next", "toxic", "half").agg(F.sum("n").cast("int").alias("n")), "toxic-counts")
+    counts, path = materialise(counts.groupBy("long_next", "long", "short_next", "short", "next", "toxic", "half").agg(F.sum("n").cast("int").alias("n")), "toxic-counts")
+    paths.append(path)
     cells = [(half, toxic) for half in HALVES for toxic in (0, 1)]
     cell = lambda half, toxic: F.coalesce(F.sum(F.when((F.col("half") == half) & (F.col("toxic") == toxic), F.col("n"))), F.lit(0)).cast("int").alias(f"n{half}{toxic}")
     pairs = counts.groupBy("long", "long_next").agg(*(cell(*c) for c in cells))
@@ -200,12 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> ToxicityM
     pairs = pairs.join(strong, "long", "left_semi").select(F.col("long").cast("int").alias("long"), F.col("long_next").cast("int").alias("long_next"), *(f"n{h}{t}" for h, t in cells)).toPandas()
     of_class = {half: pairs[[f"n{half}0", f"n{half}1"]].to_numpy() for half in HALVES}
     of_class[ALL] = of_class[0] + of_class[1]
-
-    def summed(key: str, values: np.ndarray) -> Table:
-        keys, at = np.unique(pairs[key].to_numpy(), return_inverse=True)
-        out = np.zeros((len(keys), *values.shape[1:]))
-        np.add.at(out, at, values)
-        return Table(keys, out)
+    counted = _Counts({key: pairs[key].to_numpy() for key in ("long", "long_next")}, of_class)
 
     def table(rows: pd.DataFrame, key: str, value: str = "n") -> Table:
         return Table(*_sorted(rows, key, value))
@@ -217,35 +215,71 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> ToxicityM
     single["n"] = single["n"] / (single["n"].sum() + 1)
     single = Table(*_sorted(single, "next", "n"), default=1e-6)
     both = of_class[ALL].sum(axis=1)
-    shared = (summed("long_next", both), summed("long", both), summed("long", np.ones(len(pairs))), table(lower_pairs, "short_next"), table(lower, "short"), table(lower, "short", "kinds"), single)
+    counted.shared = (counted.summed("long_next", both), counted.summed("long", both), counted.summed("long", np.ones(len(pairs))), table(lower_pairs, "short_next"), table(lower, "short"), table(lower, "short", "kinds"), single)
+
+    shipped = sample.sparkSession.sparkContext.broadcast(counted)
+    told, path = _cross_fitted(sample, shipped)
+    paths.append(path)
+    shipped.destroy()
+    losses, weights = _curves(told)
+    best = int(np.argmin(losses))
+    model = counted.fit(ALL, DISCOUNTS[best])
+    model.weights = weights[best]
+    for path in paths:
+        discard(sample.sparkSession, path)
+    return model
+
+
+@dataclass
+class _Counts:
+    """What models are fitted from: keys of pairs, their counts by class for each half and for all rows, and the shared backoff. It is what workers get: a table of each model would be several times as large."""
+
+    keys: dict[str, np.ndarray]
+    of_class: dict[int, np.ndarray]
+    shared: tuple = ()
+    apart: list = field(default_factory=list, repr=False)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"apart": []}
 
-    def fit(model: int, discount: tuple[float, float]) -> ToxicityModel:
-        mass = discounted(of_class[model], discount)
-        context, kept = summed("long", of_class[model]), summed("long", mass)
+    def summed(self, key: str, values: np.ndarray) -> Table:
+        keys, at = np.unique(self.keys[key], return_inverse=True)
+        out = np.zeros((len(keys), *values.shape[1:]))
+        np.add.at(out, at, values)
+        return Table(keys, out)
+
+    def fit(self, model: int, discount: tuple[float, float]) -> ToxicityModel:
+        mass = discounted(self.of_class[model], discount)
+        context, kept = self.summed("long", self.of_class[model]), self.summed("long", mass)
         left = np.clip(1 - kept.values[:-1] / np.maximum(context.values[:-1], 1), LEAST_LEFT, 1)
-        return ToxicityModel(True, summed("long_next", mass), context, Table(context.keys[:-1], left, 1.0), shared, discount)
+        return ToxicityModel(True, self.summed("long_next", mass), context, Table(context.keys[:-1], left, 1.0), self.shared, discount)
 
-    spark = sample.sparkSession
-    tried = [_cross_fitted(sample, spark.sparkContext.broadcast([fit(1 - half, discount) for half in HALVES])) for discount in DISCOUNTS]
-    _, weights, discount = min(((loss, weights, discount) for (loss, weights), discount in zip(tried, DISCOUNTS, strict=True)), key=lambda x: x[0])
-    model = fit(ALL, discount)
-    model.weights = weights
-    return model
+    def models(self) -> list[list[ToxicityModel]]:
+        """For each of DISCOUNTS the models that score either half, once per worker."""
+        if not self.apart:
+            self.apart = [[self.fit(1 - half, discount) for half in HALVES] for discount in DISCOUNTS]
+            for model in (m for own in self.apart for m in own):
+                model.most = CACHE_WORDS // (len(HALVES) * len(DISCOUNTS))
+        return self.apart
 
 
-def _cross_fitted(sample: DataFrame, apart: Broadcast) -> tuple[float, np.ndarray]:
-    """The mean loss of the logistic curve of sample rows under the models of the other half, and its weights."""
+def _cross_fitted(sample: DataFrame, apart: Broadcast) -> tuple[DataFrame, str]:
+    """x, the features of each row under the models of the other half, for each of DISCOUNTS in turn, and toxic."""
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models = apart.value.models()
         for batch in batches:
-            x = np.array([apart.value[h].features(WORD.findall(t.lower())) for t, h in zip(batch["text"], batch["half"], strict=True)]).reshape(-1, FEATURES)
-            yield pd.DataFrame(x, columns=list("abcdefg")).assign(toxic=batch["toxic"].to_numpy(), weight=batch["weight"].to_numpy())
+            for at in range(0, len(batch), 1000):
+                part = batch.iloc[at : at + 1000]
+                words = [WORD.findall(t.lower()) for t in part["text"]]
+                for half in HALVES:
+                    new = set().union(*(w for w, h in zip(words, part["half"], strict=True) if h == half))
+                    for own in models:
+                        own[half].fresh(new)
+                x = [np.concatenate([own[h].features(w) for own in models]) for w, h in zip(words, part["half"], strict=True)]
+                yield pd.DataFrame({"x": x, "toxic": part["toxic"].to_numpy()})
 
-    rows = sample.mapInPandas(features, "a double, b double, c double, d double, e double, f double, g double, toxic int, weight double").toPandas().sort_values(list("abcdefg"))
-    x, y, weight = rows[list("abcdefg")].to_numpy(), rows["toxic"].to_numpy(), rows["weight"].to_numpy()
-    b = logistic(x, y, weight)
-    p = np.clip(1 / (1 + np.exp(-np.clip(x @ b, -30, 30))), 1e-9, 1 - 1e-9)
-    return float(-(weight * np.where(y == 1, np.log(p), np.log(1 - p))).sum() / weight.sum()), b
+    return materialise(sample.mapInPandas(features, "x array<double>, toxic int"), "toxic-features")
 
 
 def _sorted(rows: pd.DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
@@ -253,21 +287,51 @@ def _sorted(rows: pd.DataFrame, key: str, value: str) -> tuple[np.ndarray, np.nd
     return rows[key].to_numpy(), rows[value].to_numpy()
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Weighted logistic regression by Newton's method, with a small ridge on standardised columns."""
-    middle, spread = x.mean(axis=0), x.std(axis=0)
-    middle[0], spread[0] = 0, 1
-    spread[spread == 0] = 1
-    z, b = (x - middle) / spread, np.zeros(x.shape[1])
+def _summed(rows: DataFrame, parts: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all rows of parts(x, toxic), a matrix with a line per row. Each value is rounded to a multiple of 1 / UNIT first, so that reruns agree whatever the order."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            if len(batch):
+                values = parts(np.stack(batch["x"].to_numpy()).reshape(len(batch), len(DISCOUNTS), FEATURES), batch["toxic"].to_numpy())
+                own = np.rint(values.reshape(len(batch), -1) * UNIT).astype(np.int64).sum(axis=0)
+                total = own if total is None else total + own
+        if total is not None:
+            yield pd.DataFrame({"k": np.arange(len(total)), "n": total})
+
+    found = rows.mapInPandas(run, "k int, n bigint").groupBy("k").agg(F.sum(F.col("n").cast("decimal(38,0)")).cast("double").alias("n")).toPandas().sort_values("k")
+    return found["n"].to_numpy() / UNIT
+
+
+def _curves(rows: DataFrame, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of DISCOUNTS the mean loss of a logistic curve and its weights, by Newton's method with a small ridge on standardised columns: each round is one sum over the rows."""
+    d, f = len(DISCOUNTS), FEATURES
+    n, *moments = _summed(rows, lambda x, y: np.concatenate([np.ones((len(x), 1)), x.reshape(len(x), -1), (x * x).reshape(len(x), -1)], axis=1))
+    middle, square = np.array(moments).reshape(2, d, f) / n
+    spread = np.sqrt(np.maximum(square - middle**2, 0))
+    middle[:, 0], spread[:, 0] = 0, 1
+    spread[spread < 1e-3] = 1
+    b = np.zeros((d, f))
+
+    def parts(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        z = (x - middle) / spread
+        p = 1 / (1 + np.exp(-np.clip((z * b).sum(axis=2), -30, 30)))
+        bent = (p * (1 - p))[:, :, None, None] * z[:, :, :, None] * z[:, :, None, :]
+        q = np.clip(p, 1e-9, 1 - 1e-9)
+        loss = -np.where(y[:, None] == 1, np.log(q), np.log(1 - q))
+        return np.concatenate([loss, ((y[:, None] - p)[:, :, None] * z).reshape(len(x), -1), bent.reshape(len(x), -1)], axis=1)
+
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(len(b)), z.T @ (weight * (y - p)) - 1e-2 * b)
+        got = _summed(rows, parts)
+        losses, slope, bend = got[:d] / n, got[d : d + d * f].reshape(d, f), got[d + d * f :].reshape(d, f, f)
+        step = np.stack([np.linalg.solve(bend[k] + 1e-2 * np.eye(f), slope[k] - 1e-2 * b[k]) for k in range(d)])
         b = b + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        if np.abs(step).max() < 1e-5:
             break
     out = b / spread
-    out[0] -= (b[1:] * middle[1:] / spread[1:]).sum()
-    return out
+    out[:, 0] -= (b[:, 1:] * middle[:, 1:] / spread[:, 1:]).sum(axis=1)
+    return losses, out
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
