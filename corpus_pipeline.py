@@ -30,7 +30,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group linked by a similarity of 0.8 or more of their five-word shingles."""
+    """The document of smallest id of each group linked by a similarity of 0.8 or more of their five-word shingles: fingerprints linked as in op4 and, for pairs further apart, minimum hashes give the candidates."""
     return near_copies.drop_near_copies(docs)
 
 

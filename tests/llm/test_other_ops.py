@@ -207,6 +207,16 @@ def test_near_copies(spark, tmp_path, block):
     assert near_copies.drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_near_links_through_fingerprints(spark):
+    """Documents that share no bucket of minimum hashes are linked if the index links their fingerprints and their sets are similar."""
+    alike, odd = np.arange(50, dtype=np.uint32), np.arange(100, 150, dtype=np.uint32)
+    sets = [(1, 0b0, alike), (2, 0b11, alike[1:]), (3, 0b1111, alike[2:]), (4, 0b1, odd), (5, 0b10001111, odd), (6, 0b0, alike[3:]), (7, -1, alike)]
+    rows = [((False, k, 0, k), fp, [1000 * k + t for t in range(near_copies.TABLES)], bytearray(s.tobytes())) for k, fp, s in sets]
+    marked = spark.createDataFrame(rows, "node struct<unnamed:boolean,id:bigint,f:bigint,r:bigint>, fp bigint, buckets array<bigint>, shingles binary")
+    joined = connected_components(near_copies.links(marked, 0.8)).collect()
+    assert {r["node"]["id"]: r["component"]["id"] for r in joined} == {1: 1, 2: 1, 3: 1, 6: 1, 4: 4, 5: 4}  # 7 has a fingerprint like no other
+
+
 def test_rows_without_ids_of_their_own(spark):
     """Null ids, repeated ids and repeated rows in every stage that drops or repeats rows."""
     text, other = "one two three four five six seven eight", "quite another text of some words here"

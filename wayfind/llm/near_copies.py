@@ -1,9 +1,11 @@
-"""Near copies by word-shingle similarity, with the SimHash index where it can decide.
+"""Near copies by word-shingle similarity: SimHash fingerprints linked by the Gray-ordered index, minimum hashes for pairs further apart, shingle sets decide.
 
-A similarity of 0.8 of five-word shingles leaves about 10 of 64 fingerprint bits different, and up to
-20: no index of 64-bit fingerprints finds such pairs without comparing most of all pairs. So candidates
-come from tables of combined minimum hashes, in which documents of that similarity share a bucket with
-a probability of 0.995, and each link is decided by the sets of shingles themselves.
+All documents' fingerprints go through the index of `simhash`, which misses no link of CLOSE_BITS
+differing bits; what such links connect is a bucket. But a similarity of 0.8 of five-word shingles
+leaves about 10 of 64 fingerprint bits different, and up to 20, and no index of 64-bit fingerprints
+finds all such pairs without comparing most of all pairs. So there are further buckets beside those, by
+tables of combined minimum hashes, one of which documents of that similarity share with a probability
+of 0.995. Each link is decided by the sets of shingles themselves.
 
 A bucket is never paired with itself. Its first document leads it, and all others are compared with
 the leader; those that are not similar to it, and only those, are compared with the rest of the
@@ -20,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfind.llm.common import columns_of, connected_components, with_key
-from wayfind.llm.simhash import fingerprint, gray_rank, near_links, shingle_hashes, whole_groups
+from wayfind.llm.simhash import fingerprint, gray_rank, link_edges, near_links, shingle_hashes, whole_groups
 from wayfind.sources.scratch import materialise, step
 
 #: Tables of buckets, and minimum hashes that name a bucket: a pair of similarity s shares a bucket with a probability of 1 - (1 - s**HASHES)**TABLES.
 TABLES, HASHES = 10, 4
+#: Fingerprints of so many differing bits are linked by the index, all of them.
+CLOSE_BITS = 3
 #: Pairs of more differing fingerprint bits aren't looked at. A bit is a majority of the shingles' bits; that of two sets of similarity 0.8 differs most often where one
 #: has five shingles and the other four of them: with a probability of 3/16 (a test tries all sizes). More than 24 of 64 such bits differ in less than 1 pair in 5,000,
 #: 25 times fewer than the 1 in 200 that share no bucket.
@@ -94,9 +98,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.select("node", "leader", ok("a", "b").alias("ok"))
 
 
+def _by_fingerprint(marked: DataFrame) -> DataFrame:
+    """node, bucket of every document: the smallest fingerprint that links of CLOSE_BITS reach from its own."""
+    reps, _ = materialise(marked.select("fp", F.col("fp").alias("rep")).distinct(), "fingerprints")
+    joined = connected_components(link_edges(reps, CLOSE_BITS)).withColumnsRenamed({"node": "fp", "component": "bucket"})
+    return marked.select("node", "fp").join(joined.hint("merge"), "fp", "left").select("node", F.coalesce("bucket", "fp").alias("bucket"))
+
+
 def links(marked: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
-    """Edges (u, v) that connect all documents of marked(node, fp, buckets, shingles) that share a bucket and are similar."""
-    members = marked.select("node", F.explode("buckets").alias("bucket"))
+    """Edges (u, v) that connect all documents of marked(node, fp, buckets, shingles) that are similar and share a bucket or are linked by their fingerprints."""
+    members = marked.select("node", F.explode("buckets").alias("bucket")).unionByName(_by_fingerprint(marked))
     leaders, _ = materialise(members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "leaders")
     members, _ = materialise(members.join(leaders.hint("merge"), "bucket"), "members")
     pairs, _ = materialise(members.filter("node <> leader").select("node", "leader").distinct(), "candidates")
