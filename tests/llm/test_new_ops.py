@@ -8,13 +8,15 @@ import zlib
 from math import comb
 
 import numpy as np
+import pandas as pd
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wayfind.llm import chat_format, language_id, merkle, mixing, near_copies, queries, top_k, toxicity, vector_codes
+from wayfind.llm import byte_bpe, chat_format, language_id, merkle, mixing, near_copies, queries, top_k, toxicity, vector_codes
 from wayfind.llm.gnat import Gnat, squared
 
 SF = "/root/testdata/sf0.001"
@@ -353,6 +355,20 @@ def test_language_stage_keeps_clashing_columns(spark):
     assert {(r["score"], r["lang_pred"]) for r in kept.collect()} == {(1.5, "x")}
 
 
+def test_workers_forget_what_a_task_has_seen():
+    """A Python worker serves tasks of other stages after this one, so tables of words and pieces must not outlive the task."""
+    texts = pd.Series(["the words of a text", "12 34", "", "wörter eines textes"])
+    model = language_id.LanguageModel(["de", "en"], np.zeros((language_id.BUCKETS, 2), np.float32), np.ones((len(language_id.SCRIPTS), 2), bool))
+    told = language_id._told(iter([texts, texts[:0]]), model, 0.35)
+    assert next(told).tolist() == [True, False, False, True] and model.seen
+    assert [len(x) for x in told] == [0] and not model.seen and model.scores is None
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = byte_bpe._encoded(iter([pd.DataFrame({"doc_id": range(4), "text": texts})]), path, public_tokenizers.PATTERN)
+    bpe, part, ids = next(found)
+    assert bpe.seen and [bpe.decode(x).decode() for x in ids] == texts.tolist() and len(part) == 4
+    assert not list(found) and not bpe.seen
+
+
 def test_models_of_many_languages(spark):
     """More languages than any list of them: none is an error."""
     rows = [(f"{chr(0x4E00 + k)}{chr(0x4E00 + k + 1)} {chr(0x4E00 + k)}", f"l{k:03d}") for k in range(450)]

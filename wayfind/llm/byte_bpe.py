@@ -23,8 +23,8 @@ NONE = np.int32(2**31 - 1)
 #: Pieces of a batch are bucketed by these widths; longer ones get a matrix of their own.
 WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 64)
 LONG = 256
-#: Bounds the memory of a worker's table of pieces that it has seen, nothing else.
-CACHE_PIECES = 1_200_000
+#: Bounds the memory of a worker's table of pieces that it has seen in a task, nothing else.
+CACHE_PIECES = 600_000
 
 
 class PairTable:
@@ -165,6 +165,17 @@ def load(path: str, pattern: str) -> ByteBpe:
         return ByteBpe({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}, pattern)
 
 
+def _encoded(batches: Iterator[pd.DataFrame], path: str, pattern: str) -> Iterator[tuple[ByteBpe, pd.DataFrame, list[np.ndarray]]]:
+    """Slices of the batches with the ids of their texts. The pieces seen are forgotten at the end: a worker goes on to tasks of other operators, whose memory they would take."""
+    bpe = load(path, pattern)
+    try:
+        for batch in batches:
+            for part in _slices(batch):
+                yield bpe, part, bpe.encode_batch(part["text"].tolist())
+    finally:
+        bpe.seen = {}
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, ids (array<int>), decoded (binary, the ids' bytes).
 
@@ -173,11 +184,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = load(path, pattern)
-        for batch in batches:
-            for part in _slices(batch):
-                ids = bpe.encode_batch(part["text"].tolist())
-                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": ids, "decoded": list(map(bpe.decode, ids))})
+        for bpe, part, ids in _encoded(batches, path, pattern):
+            yield pd.DataFrame({"doc_id": part["doc_id"], "ids": ids, "decoded": list(map(bpe.decode, ids))})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
@@ -187,17 +195,14 @@ def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     """doc_id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256: encode_documents without moving the ids out of the worker. One row per input row, repeated ones too; null text is empty, an empty table gives no rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = load(path, pattern)
-        for batch in batches:
-            for part in _slices(batch):
-                ids = bpe.encode_batch(part["text"].tolist())
-                yield pd.DataFrame({"doc_id": part["doc_id"], "n_tokens": [len(x) for x in ids], "ids_sha256": [hashlib.sha256(x.tobytes()).hexdigest() for x in ids], "decoded_sha256": [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]})
+        for bpe, part, ids in _encoded(batches, path, pattern):
+            yield pd.DataFrame({"doc_id": part["doc_id"], "n_tokens": [len(x) for x in ids], "ids_sha256": [hashlib.sha256(x.tobytes()).hexdigest() for x in ids], "decoded_sha256": [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
-def _slices(batch: pd.DataFrame, rows: int = 1000) -> Iterator[pd.DataFrame]:
+def _slices(batch: pd.DataFrame, rows: int = 250) -> Iterator[pd.DataFrame]:
     """Bounds what is in memory as lists of pieces."""
     for at in range(0, len(batch), rows):
         yield batch.iloc[at : at + rows]

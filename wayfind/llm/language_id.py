@@ -29,8 +29,8 @@ BUCKETS = 1 << 16
 #: A language is a candidate for a word if this share of its training letters has the word's script.
 SCRIPT_SHARE = 0.01
 EXCLUDED = -1e6
-#: Bounds the memory of a worker's table of words that it has seen, nothing else.
-CACHE_WORDS = 1_000_000
+#: Bounds the memory of a worker's table of words that it has seen in a task, nothing else.
+CACHE_WORDS = 500_000
 
 
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +135,11 @@ class LanguageModel:
     @property
     def step(self) -> int:
         """Documents whose words are scored together: fewer where each word has scores of many languages."""
-        return max(1, 1000 * 64 // max(64, len(self.langs)))
+        return max(1, 250 * 64 // max(64, len(self.langs)))
+
+    def forget(self) -> None:
+        """Let go of the words seen: a worker goes on to tasks of other operators, whose memory they would take."""
+        self.seen, self.scores, self.letters = {}, None, None
 
     def predict(self, rows: np.ndarray) -> tuple[str, float]:
         letters = self.letters[rows]
@@ -199,15 +203,31 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        for batch in batches:
-            for at in range(0, len(batch), own.step):
-                part = batch.iloc[at : at + own.step]
-                found = [own.predict(x) for x in own.index([WORD.findall(t.lower()) for t in part["text"]])]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "lang_pred": [x for x, _ in found], "score": [x for _, x in found]})
+        try:
+            for batch in batches:
+                for at in range(0, len(batch), own.step):
+                    part = batch.iloc[at : at + own.step]
+                    found = [own.predict(x) for x in own.index([WORD.findall(t.lower()) for t in part["text"]])]
+                    yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "lang_pred": [x for x, _ in found], "score": [x for _, x in found]})
+        finally:
+            own.forget()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInPandas(run, "doc_id bigint, lang_pred string, score double")
 
 
+def _told(texts: Iterator[pd.Series], model: LanguageModel, least: float) -> Iterator[pd.Series]:
+    """Whether each text has letters, this share of them in one language."""
+    try:
+        for text in texts:
+            out = []
+            for at in range(0, len(text), model.step):
+                found = (model.predict(x) for x in model.index([WORD.findall(t.lower()) for t in text.iloc[at : at + model.step]]))
+                out += [lang != "und" and share >= least for lang, share in found]
+            yield pd.Series(out, dtype=bool)
+    finally:
+        model.forget()
+
+
 def keep_languages(docs: DataFrame, model: LanguageModel, least: float, text_col: str = "text") -> DataFrame:
     """The rows of docs whose text has letters, with at least this share of them in one language; all columns, null and repeated ids and repeated rows alike.
 
@@ -216,12 +236,8 @@ def keep_languages(docs: DataFrame, model: LanguageModel, least: float, text_col
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def told(text: pd.Series) -> pd.Series:
-        own, out = shared.value, []
-        for at in range(0, len(text), own.step):
-            found = (own.predict(x) for x in own.index([WORD.findall(t.lower()) for t in text.iloc[at : at + own.step]]))
-            out += [lang != "und" and share >= least for lang, share in found]
-        return pd.Series(out, dtype=bool)
+    def told(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return _told(texts, shared.value, least)
 
     return docs.filter(told(text_or_empty(text_col)))
 
