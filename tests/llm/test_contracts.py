@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import pickle
 import random
 import re
 import zlib
@@ -244,3 +245,25 @@ def test_op5_learns_from_every_labelled_row(spark):
     labels = docs.select("doc_id", F.col("text").contains("zork").cast("int").alias("toxic"))
     rows = toxicity.labelled_rows(docs, labels.unionByName(labels.limit(3)))
     assert rows.count() == 9_100 and rows.agg(F.sum("toxic")).first()[0] == 2
+
+
+def test_toxicity_words_are_searched_once_for_all_models():
+    """Cross-fitting looks a word's grams up once, whatever the number of halves and discounts, with the values of each model alone."""
+    words = [["awful", "beast", "calm", "river", "beasts"], [], ["calm", "unseen"]]
+    g = toxicity.grams(["awful", "beast", "calm", "river"] * 3)
+    at = np.unique(g["long_next"], return_index=True)[1]
+    rnd = np.random.default_rng(5)
+    of_class = {half: rnd.integers(0, 40, (len(at), 2)) for half in toxicity.HALVES}
+    counts = toxicity._Counts({key: g[key][at] for key in ("long", "long_next")}, of_class | {toxicity.ALL: of_class[0] + of_class[1]})
+    lower = [toxicity.Table(np.unique(g[key]), rnd.integers(1, 9, len(np.unique(g[key])))) for key in ("short_next", "short", "short", "next")]
+    both = counts.of_class[toxicity.ALL].sum(axis=1)
+    counts.shared = (counts.summed("long_next", both), counts.summed("long", both), counts.summed("long", np.ones(len(at))), *lower)
+    shipped = pickle.loads(pickle.dumps(counts))
+    got = shipped.ratios(words)
+    assert [r.shape for r in got] == [(len(w), 2, len(toxicity.DISCOUNTS)) for w in words]
+    for half in toxicity.HALVES:
+        for k, discount in enumerate(toxicity.DISCOUNTS):
+            alone = counts.fit(1 - half, discount)
+            assert all((r[:, half, k] == alone.ratios(w)).all() for r, w in zip(got, words, strict=True))
+    tables = [t for own in shipped.models() for m in own for t in (m.mass, m.context, m.left, *m.shared)]
+    assert len({id(t.keys) for t in tables}) == 2 + len(lower)

@@ -82,10 +82,37 @@ class Table:
     def __init__(self, keys: np.ndarray, values: np.ndarray, default: float = 0.0):
         self.keys, self.values, self.default = np.append(keys, BUCKETS), np.concatenate([values, np.full((1, *values.shape[1:]), default)]).astype(np.float64), default
 
-    def __getitem__(self, wanted: np.ndarray) -> np.ndarray:
+    def rows(self, wanted: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.keys, wanted)
-        there = self.keys[at] == wanted
-        return self.values[np.where(there, at, len(self.keys) - 1)]
+        return np.where(self.keys[at] == wanted, at, len(self.keys) - 1)
+
+    def __getitem__(self, wanted: np.ndarray) -> np.ndarray:
+        return self.values[self.rows(wanted)]
+
+
+class Places:
+    """Values of the buckets of grams in several tables; tables that hold the same array of keys are searched once."""
+
+    def __init__(self, g: dict[str, np.ndarray]):
+        self.g, self.found = g, {}
+
+    def __call__(self, table: Table, kind: str) -> np.ndarray:
+        key = id(table.keys), kind
+        if key not in self.found:
+            self.found[key] = table.rows(self.g[kind])
+        return table.values[self.found[key]]
+
+
+def features(ratios: np.ndarray) -> np.ndarray:
+    """Of the ratios of a text's words: 1, their mean over the whole text, that of the worst window, of the worst 1, 2 and 4 words, and the log of their number."""
+    n = len(ratios)
+    if not n:
+        return np.eye(FEATURES)[0]
+    total = np.r_[0.0, np.cumsum(ratios)]
+    w = min(WINDOW, n)
+    worst = np.sort(np.partition(ratios, max(0, n - 4))[max(0, n - 4) :])[::-1]
+    worst = np.r_[worst, np.zeros(4 - len(worst))]
+    return np.array([1.0, total[-1] / n, (total[w:] - total[:-w]).max() / WINDOW, worst[0], worst[:2].mean(), worst.mean(), np.log1p(n)])
 
 
 @dataclass
@@ -105,13 +132,18 @@ class ToxicityModel:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"seen": {}}
 
-    def backoff(self, g: dict[str, np.ndarray]) -> np.ndarray:
+    def backoff(self, of: Places) -> np.ndarray:
         pair, context, kinds, short_pair, short, short_kinds, single = self.shared
-        p = single[g["next"]]
-        n = np.maximum(short[g["short"]], 1)
-        p = np.where(short[g["short"]] > 0, (np.maximum(short_pair[g["short_next"]] - DISCOUNT, 0) + DISCOUNT * short_kinds[g["short"]] * p) / n, p)
-        n = np.maximum(context[g["long"]], 1)
-        return np.where(context[g["long"]] > 0, (np.maximum(pair[g["long_next"]] - DISCOUNT, 0) + DISCOUNT * kinds[g["long"]] * p) / n, p)
+        p, n = of(single, "next"), of(short, "short")
+        p = np.where(n > 0, (np.maximum(of(short_pair, "short_next") - DISCOUNT, 0) + DISCOUNT * of(short_kinds, "short") * p) / np.maximum(n, 1), p)
+        n = of(context, "long")
+        return np.where(n > 0, (np.maximum(of(pair, "long_next") - DISCOUNT, 0) + DISCOUNT * of(kinds, "long") * p) / np.maximum(n, 1), p)
+
+    def compared(self, of: Places, backoff: np.ndarray, n: int) -> np.ndarray:
+        """Toxic less ordinary log-probability of each of n words from their grams."""
+        p = of(self.mass, "long_next") / np.maximum(of(self.context, "long"), 1) + of(self.left, "long") * backoff[:, None]
+        logs = np.log(np.maximum(p, 1e-12))
+        return np.bincount(of.g["word"], logs[:, 1] - logs[:, 0], n)
 
     def ratios(self, words: list[str]) -> np.ndarray:
         """Toxic less ordinary log-probability of each word of a text."""
@@ -131,22 +163,12 @@ class ToxicityModel:
         new = [w for w in words if w not in self.seen]
         for at in range(0, len(new), 50_000):
             part = new[at : at + 50_000]
-            g = grams(part)
-            p = self.mass[g["long_next"]] / np.maximum(self.context[g["long"]], 1) + self.left[g["long"]] * self.backoff(g)[:, None]
-            logs = np.log(np.maximum(p, 1e-12))
-            self.seen.update(zip(part, np.bincount(g["word"], logs[:, 1] - logs[:, 0], len(part)).tolist(), strict=True))
+            of = Places(grams(part))
+            self.seen.update(zip(part, self.compared(of, self.backoff(of), len(part)).tolist(), strict=True))
 
     def features(self, words: list[str]) -> np.ndarray:
         """1, the ratio per word of the whole text, of its worst window, of its worst 1, 2 and 4 words, and the log of its length."""
-        n = len(words)
-        if not n:
-            return np.eye(FEATURES)[0]
-        ratios = self.ratios(words)
-        total = np.r_[0.0, np.cumsum(ratios)]
-        w = min(WINDOW, n)
-        worst = np.sort(np.partition(ratios, max(0, n - 4))[max(0, n - 4) :])[::-1]
-        worst = np.r_[worst, np.zeros(4 - len(worst))]
-        return np.array([1.0, total[-1] / n, (total[w:] - total[:-w]).max() / WINDOW, worst[0], worst[:2].mean(), worst.mean(), np.log1p(n)])
+        return features(self.ratios(words))
 
     def scores(self, texts: list[str]) -> list[float]:
         if not self.ready:
@@ -238,48 +260,69 @@ class _Counts:
     of_class: dict[int, np.ndarray]
     shared: tuple = ()
     apart: list = field(default_factory=list, repr=False)
+    places: dict = field(default_factory=dict, repr=False)
+    seen: dict = field(default_factory=dict, repr=False)
+    told: np.ndarray = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"apart": []}
+        return self.__dict__ | {"apart": [], "places": {}, "seen": {}, "told": None}
 
     def summed(self, key: str, values: np.ndarray) -> Table:
-        keys, at = np.unique(self.keys[key], return_inverse=True)
-        out = np.zeros((len(keys), *values.shape[1:]))
+        """All tables by one key hold the same array of keys, so that Places searches them once."""
+        if key not in self.places:
+            keys, at = np.unique(self.keys[key], return_inverse=True)
+            self.places[key] = self.shared[("long_next", "long").index(key)].keys if self.shared else np.append(keys, BUCKETS), at
+        keys, at = self.places[key]
+        out = np.zeros((len(keys) - 1, *values.shape[1:]))
         np.add.at(out, at, values)
-        return Table(keys, out)
+        table = Table(keys[:-1], out)
+        table.keys = keys
+        return table
 
     def fit(self, model: int, discount: tuple[float, float]) -> ToxicityModel:
         mass = discounted(self.of_class[model], discount)
         context, kept = self.summed("long", self.of_class[model]), self.summed("long", mass)
         left = np.clip(1 - kept.values[:-1] / np.maximum(context.values[:-1], 1), LEAST_LEFT, 1)
-        return ToxicityModel(True, self.summed("long_next", mass), context, Table(context.keys[:-1], left, 1.0), self.shared, discount)
+        rest = Table(context.keys[:-1], left, 1.0)
+        rest.keys = context.keys
+        return ToxicityModel(True, self.summed("long_next", mass), context, rest, self.shared, discount)
 
     def models(self) -> list[list[ToxicityModel]]:
-        """For each of DISCOUNTS the models that score either half, once per worker."""
+        """For each half the models of the other one, one for each of DISCOUNTS, once per worker."""
         if not self.apart:
-            self.apart = [[self.fit(1 - half, discount) for half in HALVES] for discount in DISCOUNTS]
-            for model in (m for own in self.apart for m in own):
-                model.most = CACHE_WORDS // (len(HALVES) * len(DISCOUNTS))
+            self.apart = [[self.fit(1 - half, discount) for discount in DISCOUNTS] for half in HALVES]
         return self.apart
 
+    def ratios(self, words: list[list[str]]) -> list[np.ndarray]:
+        """Of each word of each text the ratios under all models(): (words, halves, discounts). The grams of a word and their places in the tables are found once for all of them."""
+        fresh = set().union(*words) if words else set()
+        if self.told is None or len(self.seen) + len(fresh) > len(self.told):
+            self.seen, self.told = {}, np.empty((max(CACHE_WORDS // 3, len(fresh)), len(HALVES), len(DISCOUNTS)))
+        new, models, row = [w for w in fresh if w not in self.seen], self.models(), len(self.seen)
+        for at in range(0, len(new), 20_000):
+            n = len(part := new[at : at + 20_000])
+            of = Places(grams(part))
+            backoff = models[0][0].backoff(of)
+            for half in HALVES:
+                for k, m in enumerate(models[half]):
+                    self.told[row + at : row + at + n, half, k] = m.compared(of, backoff, n)
+        self.seen.update(zip(new, range(row, row + len(new)), strict=True))
+        find = self.seen.__getitem__
+        return [self.told[np.fromiter(map(find, w), np.int64, len(w))] for w in words]
+
 
 def _cross_fitted(sample: DataFrame, apart: Broadcast) -> tuple[DataFrame, str]:
     """x, the features of each row under the models of the other half, for each of DISCOUNTS in turn, and toxic."""
 
-    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models = apart.value.models()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.iloc[at : at + 1000]
-                words = [WORD.findall(t.lower()) for t in part["text"]]
-                for half in HALVES:
-                    new = set().union(*(w for w, h in zip(words, part["half"], strict=True) if h == half))
-                    for own in models:
-                        own[half].fresh(new)
-                x = [np.concatenate([own[h].features(w) for own in models]) for w, h in zip(words, part["half"], strict=True)]
+            for at in range(0, len(batch), 250):
+                part = batch.iloc[at : at + 250]
+                ratios = apart.value.ratios([WORD.findall(t.lower()) for t in part["text"]])
+                x = [np.concatenate([features(np.ascontiguousarray(r[:, h, k])) for k in range(len(DISCOUNTS))]) for r, h in zip(ratios, part["half"], strict=True)]
                 yield pd.DataFrame({"x": x, "toxic": part["toxic"].to_numpy()})
 
-    return materialise(sample.mapInPandas(features, "x array<double>, toxic int"), "toxic-features")
+    return materialise(sample.mapInPandas(run, "x array<double>, toxic int"), "toxic-features")
 
 
 def _sorted(rows: pd.DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
