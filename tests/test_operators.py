@@ -154,6 +154,18 @@ def test_checkpoint_compaction(spark, tmp_path):
     assert rows(tables.read_checkpoint(spark, path, "other", schema, ["h"]), "item") == [("y",)]
 
 
+def test_compaction_writes_states_once(spark, tmp_path, monkeypatch):
+    schema, path, written = "fingerprint string, item string, page int, status string, seq bigint", f"file://{tmp_path}/once", []
+    for seq in (1, 2):
+        tables.write_checkpoint(spark.createDataFrame([("f", "a", 1, f"s{seq}", seq), ("g", f"b{seq}", 1, "done", 1)], schema), path)
+        tables.compact_checkpoint(spark, path, schema)
+    kind = type(spark.range(0).write)
+    monkeypatch.setattr(kind, "parquet", lambda self, to, *a, f=kind.parquet, **b: written.append(to) or f(self, to, *a, **b))
+    tables.compact_checkpoint(spark, path, schema)
+    assert written == [path]
+    assert rows(spark.read.schema(schema).parquet(path), "fingerprint", "item", "page", "status", "seq") == [("f", "a", 1, "s2", 2), ("g", "b1", 1, "done", 1), ("g", "b2", 1, "done", 1)]
+
+
 def test_resume_fingerprints():
     own = lambda **more: plan.resume_fingerprints(**({"profile": "en", "date_from": "2026-05-01", "date_to": "2026-07-31", "window_days": 14, "places_per_query": 3, "tiers": ["A"], "sites": ["x.com"], "page_max": {"A": 2}, "full_page": 8} | more))
     first = own()

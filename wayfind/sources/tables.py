@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfind.operators.accounting import latest
-from wayfind.sources.scratch import discard, materialise
+from wayfind.sources.scratch import discard
 
 PLACE_SCHEMA = "profile string, ord int, name string, province string, cadence string"
 PROVINCE_SCHEMA = "province string, name string, tier string, places array<string>, hashtags array<string>"
@@ -61,8 +61,8 @@ def compact_checkpoint(spark: SparkSession, path: str, schema: str) -> None:
 
     A call begins a new part for appends and rewrites those that the call before closed, so an append
     that began meanwhile is never rewritten from under its writer, if it ends before the next call. The
-    rewritten states are part 0, overwritten by partitions; only then the parts they came from are
-    deleted. A call that breaks off leaves states twice, of which readers take the latest.
+    rewritten states are part 0, overwritten by partitions, which Spark moves there when all of them
+    are written, so the old part 0 is read meanwhile; only then the parts they came from are deleted. A call that breaks off leaves states twice, of which readers take the latest.
     """
     epochs = _epochs(spark, path)
     if not epochs:
@@ -73,9 +73,8 @@ def compact_checkpoint(spark: SparkSession, path: str, schema: str) -> None:
     if not [e for e in closed if e > 0]:
         return
     rows = spark.read.schema(f"{schema}, epoch int").parquet(path).filter(F.col("epoch").isin(closed)).drop("epoch")
-    kept, scratch = materialise(latest(rows, ["fingerprint", "item", "page"], "seq"), "checkpoint")
+    kept = latest(rows.repartition("fingerprint", "item", "page"), ["fingerprint", "item", "page"], "seq")  # states of a page are few, so they are sorted once, after the shuffle
     kept.withColumn("epoch", F.lit(0)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "fingerprint").parquet(path)
-    discard(spark, scratch)
     for e in closed:
         if e > 0:
             discard(spark, f"{path}/epoch={e}")
