@@ -136,6 +136,27 @@ def test_top_k_of_odd_rows(spark, monkeypatch, block, asked):
     assert [tuple(r)[:3] for r in top_k.top_k(frame.filter("vec_id in (0, 1)"), every=10).collect()] == [(0, 1, 1)]
 
 
+def test_top_k_sends_no_queries_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(top_k, "ROWS", 5)
+    rows = [(k, [k % 7 / 8, 0.5, -k / 64]) for k in range(100)]
+    got = top_k.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    plan = got._jdf.queryExecution().executedPlan
+    assert "Broadcast" not in plan().toString()  # two queries, but once for each of twenty blocks of rows
+    assert sorted(map(tuple, got.collect())) == sorted(search(rows, 5, 256, 50))
+    assert "Broadcast" not in plan().toString()
+
+
+def test_filled_postings_score_alike():
+    rng = np.random.default_rng(4)
+    n, share = 200, [0, 0.01, 0.1, 0.125, 0.2, 0.9, 1]
+    kept = {t: np.sort(rng.permutation(n)[: int(n * s)]).astype(np.int32) for t, s in enumerate(share)}
+    postings = {t: (p, rng.integers(-(1 << 52), 1 << 52, len(p))) for t, p in kept.items()}
+    query = [(t, int(x)) for t, x in enumerate(rng.integers(-(1 << 52), 1 << 52, len(share) + 1))]
+    full = top_k.filled(postings, n)
+    assert [len(full[t][0]) for t in range(len(share))] == [0, 2, 20, 200, 200, 200, 200]
+    assert (top_k.scatter(query, full, n) == top_k.scatter(query, postings, n)).all()
+
+
 POINTS = st.lists(st.lists(st.integers(-6, 6), min_size=3, max_size=3), min_size=1, max_size=90)
 
 

@@ -7,6 +7,8 @@ dense array of scores, of which a partition keeps the k best; those of all block
 
 Every block of queries is sent to every block of rows, so what is shuffled is the number of blocks
 times the queries, and rows once for LANE blocks of queries: some thousandths of a byte per product.
+That is a shuffle at every size: Spark takes the repeated queries for as small as their file and
+would send them all through the driver.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ ROWS, QUERIES = 8192, 512
 COMPONENTS = 1 << 20
 #: Blocks of queries that one task compares with a block of candidates.
 LANE = 64
+#: Terms that one in so many of a block's rows has are added to all of them.
+COMMON = 8
 #: Components are cut at this size, so that they can be written as integers.
 MOST = float(1 << 52)
 PACKED = ["ids", "terms", "starts", "places", "weights"]
@@ -71,6 +75,18 @@ def sparse_rows(postings: dict[int, tuple[np.ndarray, np.ndarray]], n: int) -> l
     return rows
 
 
+def filled(postings: dict[int, tuple[np.ndarray, np.ndarray]], n: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Postings, of terms that one in COMMON of the n rows has with the other rows too, at weight 0: adding to all rows in a line is faster than to picked ones."""
+    every, out = np.arange(n, dtype=np.int32), {}
+    for term, (places, w) in postings.items():
+        if n > len(places) >= n / COMMON:
+            full = np.zeros(n, np.int64)
+            full[places] = w
+            places, w = every, full
+        out[term] = places, w
+    return out
+
+
 def scatter(query: list[tuple[int, int]], postings: dict[int, tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
     """Scores of all n rows of a block for one query, term at a time."""
     scores, product = np.zeros(n, np.int64), np.empty(n, np.int64)
@@ -125,13 +141,14 @@ def top_k(vectors: DataFrame, k: int = 5, scale: int = 256, every: int = 50) ->
     queries, n_queries = _blocks(own, F.col("vec_id"), told["asked"], QUERIES, told["longest"] or 0, scale)
     lane = F.floor(F.col("block") / LANE).cast("int")
     sent = queries.select(lane.alias("lane"), *(F.col(c).alias(f"q_{c}") for c in PACKED), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
-    met = sent.join(blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit((n_queries - 1) // LANE)))), ["block", "lane"])
+    met = sent.hint("merge").join(blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit((n_queries - 1) // LANE)))), ["block", "lane"])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for pair in batch.itertuples(index=False):
                 asked, terms = unpacked(*(getattr(pair, f"q_{c}") for c in PACKED))
                 ids, postings = unpacked(*(getattr(pair, c) for c in PACKED))
+                postings = filled(postings, len(ids))
                 found = []
                 for query, sparse_row in zip(asked.tolist(), sparse_rows(terms, len(asked)), strict=True):
                     scores = scatter(sparse_row, postings, len(ids))
