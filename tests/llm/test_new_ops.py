@@ -136,13 +136,16 @@ def test_top_k_of_odd_rows(spark, monkeypatch, block, asked):
     assert [tuple(r)[:3] for r in top_k.top_k(frame.filter("vec_id in (0, 1)"), every=10).collect()] == [(0, 1, 1)]
 
 
-def test_top_k_sends_no_queries_through_the_driver(spark, monkeypatch):
-    monkeypatch.setattr(top_k, "ROWS", 5)
+@pytest.mark.parametrize("most", [1 << 20, 16, 1])
+def test_top_k_sends_no_queries_through_the_driver(spark, monkeypatch, most):
+    monkeypatch.setattr(top_k, "ROWS", 9)
+    monkeypatch.setattr(top_k, "COMPONENTS", most)
+    monkeypatch.setattr(top_k, "LANE_COMPONENTS", 2 * most)
     rows = [(k, [k % 7 / 8, 0.5, -k / 64]) for k in range(100)]
-    got = top_k.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = top_k.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), every=20)
     plan = got._jdf.queryExecution().executedPlan
-    assert "Broadcast" not in plan().toString()  # two queries, but once for each of twenty blocks of rows
-    assert sorted(map(tuple, got.collect())) == sorted(search(rows, 5, 256, 50))
+    assert "Broadcast" not in plan().toString()  # five queries, but once for each block of rows
+    assert sorted(map(tuple, got.collect())) == sorted(search(rows, 5, 256, 20))
     assert "Broadcast" not in plan().toString()
 
 

@@ -6,15 +6,14 @@ a block of rows in one task: each query scatters the postings of its terms, time
 dense array of scores, of which a partition keeps the k best; those of all blocks are merged.
 
 Every block of queries is sent to every block of rows, so what is shuffled is the number of blocks
-times the queries, and rows once for LANE blocks of queries: some thousandths of a byte per product.
-That is a shuffle at every size: Spark takes the repeated queries for as small as their file and
-would send them all through the driver.
+times the queries, and rows once for a lane of blocks of queries: some thousandths of a byte per product.
+They meet by a cogroup, a shuffle at every size: for a join Spark takes the repeated queries for as
+small as their file and sends them all through the driver, and a block of rows goes to Python once
+for each block of queries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -27,8 +26,8 @@ from wayfind.sources.scratch import materialise
 ROWS, QUERIES = 8192, 512
 #: Components of a block, where vectors are long.
 COMPONENTS = 1 << 20
-#: Blocks of queries that one task compares with a block of candidates.
-LANE = 64
+#: Blocks of queries that one task compares with a block of candidates, and their components, where vectors are long: a worker holds them all.
+LANE, LANE_COMPONENTS = 64, 4 * COMPONENTS
 #: Terms that one in so many of a block's rows has are added to all of them.
 COMMON = 8
 #: Components are cut at this size, so that they can be written as integers.
@@ -137,25 +136,26 @@ def top_k(vectors: DataFrame, k: int = 5, scale: int = 256, every: int = 50) ->
     rows = with_key(vectors).select("key", field("vec_id").cast("long").alias("vec_id"), field("embedding").alias("embedding")).filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     own = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     told = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("asked"), F.max(F.size("embedding")).alias("longest")).first()
-    blocks, n_blocks = _blocks(rows, F.col("key"), told["n"], ROWS, told["longest"] or 0, scale)
-    queries, n_queries = _blocks(own, F.col("vec_id"), told["asked"], QUERIES, told["longest"] or 0, scale)
-    lane = F.floor(F.col("block") / LANE).cast("int")
-    sent = queries.select(lane.alias("lane"), *(F.col(c).alias(f"q_{c}") for c in PACKED), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
-    met = sent.hint("merge").join(blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit((n_queries - 1) // LANE)))), ["block", "lane"])
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for pair in batch.itertuples(index=False):
-                asked, terms = unpacked(*(getattr(pair, f"q_{c}") for c in PACKED))
-                ids, postings = unpacked(*(getattr(pair, c) for c in PACKED))
-                postings = filled(postings, len(ids))
-                found = []
-                for query, sparse_row in zip(asked.tolist(), sparse_rows(terms, len(asked)), strict=True):
+    longest = told["longest"] or 0
+    blocks, n_blocks = _blocks(rows, F.col("key"), told["n"], ROWS, longest, scale)
+    queries, n_queries = _blocks(own, F.col("vec_id"), told["asked"], QUERIES, longest, scale)
+    lane = max(1, min(LANE, LANE_COMPONENTS // max(1, longest, min(QUERIES * longest, COMPONENTS))))
+    sent = queries.withColumn("lane", F.floor(F.col("block") / lane).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    met = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit((n_queries - 1) // lane))))
+
+    def compare(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        found = [(np.zeros(0, np.int64),) * 3]
+        for block in own[PACKED].itertuples(index=False):
+            ids, postings = unpacked(*block)
+            postings = filled(postings, len(ids))
+            for some in asked[PACKED].itertuples(index=False):
+                queried, terms = unpacked(*some)
+                for query, sparse_row in zip(queried.tolist(), sparse_rows(terms, len(queried)), strict=True):
                     scores = scatter(sparse_row, postings, len(ids))
                     top = best(scores, ids, query, k)
                     found.append((np.full(len(top), query), ids[top], scores[top]))
-                yield pd.DataFrame({c: np.concatenate(x) for c, x in zip(("query_id", "vec_id", "score"), zip(*found, strict=True), strict=True)})
+        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(("query_id", "vec_id", "score"), zip(*found, strict=True), strict=True)})
 
-    found = met.select(*PACKED, *(f"q_{c}" for c in PACKED)).mapInPandas(compare, "query_id bigint, vec_id bigint, score bigint")
+    found = sent.groupBy("block", "lane").cogroup(met.groupBy("block", "lane")).applyInPandas(compare, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows for each block; Spark keeps k in each task
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
